@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from acceptance.registry import query, table
 from tablemill.operators import counting as C
 from tablemill.operators.columns import sample_rows as sample_rows_of
-from tablemill.operators.merging import merge_on_key
+from tablemill.operators.merging import merge_counts, merge_on_key
 from tablemill.operators.pivots import pivot_counts
 from tablemill.operators.ranking import top_name_with_total
 from tablemill.sinks.tables import chart_feed as chart_feed_of
@@ -182,24 +182,50 @@ _NATION_COUNTS = """
 """
 
 
-def _nation_counts(spark, sf_dir) -> list[DataFrame]:
+def _by_nation(spark, sf_dir) -> dict[str, DataFrame]:
     customers = table(spark, sf_dir, "customer").where("c_acctbal > 9000")
-    frames = {
+    return {
         "customers": customers.withColumnRenamed("c_nationkey", "nation"),
         "suppliers": table(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "nation"),
         "nations": table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "nation"),
     }
-    return [C.count_by_key(df, ["nation"], name=name) for name, df in frames.items()]
 
 
 @query("join_outer_counts", f"SELECT nation, customers, suppliers, nations FROM {_NATION_COUNTS.format(how='FULL')}")
 def join_outer_counts(spark, sf_dir):
-    return merge_on_key(_nation_counts(spark, sf_dir), "nation", "full")
+    return merge_counts(_by_nation(spark, sf_dir), "nation", "full")
 
 
 @query("join_inner_counts", f"SELECT nation, customers, suppliers, nations FROM {_NATION_COUNTS.format(how='INNER')}")
 def join_inner_counts(spark, sf_dir):
-    return merge_on_key(_nation_counts(spark, sf_dir), "nation", "inner")
+    return merge_counts(_by_nation(spark, sf_dir), "nation", "inner")
+
+
+@query("merge_grouped", f"SELECT nation, customers, suppliers, nations FROM {_NATION_COUNTS.format(how='FULL')}")
+def merge_grouped(spark, sf_dir):
+    counts = [C.count_by_key(df, ["nation"], name=name) for name, df in _by_nation(spark, sf_dir).items()]
+    return merge_on_key(counts, "nation", "full")
+
+
+@query(
+    "merge_winners_with_totals",
+    """
+    WITH counts AS (
+        SELECT l_partkey, l_returnflag, count(*) AS n FROM lineitem WHERE l_linestatus = 'O'
+        GROUP BY l_partkey, l_returnflag),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY n DESC, l_returnflag) AS place FROM counts),
+    totals AS (SELECT l_partkey, count(l_quantity) AS quantity_rows FROM lineitem GROUP BY l_partkey)
+    SELECT l_partkey, l_returnflag, n, quantity_rows
+    FROM (SELECT * FROM ranked WHERE place = 1) AS winners FULL JOIN totals USING (l_partkey)
+    """,
+)
+def merge_winners_with_totals(spark, sf_dir):
+    """The most frequent flag among open lines next to a total over all lines of the part."""
+    lines = table(spark, sf_dir, "lineitem")
+    winners = top_name_with_total(lines.where("l_linestatus = 'O'"), "l_partkey", "l_returnflag").drop("total")
+    totals = C.count_by_key(lines, ["l_partkey"], "l_quantity", name="quantity_rows")
+    return merge_on_key([winners, totals], "l_partkey", "full")
 
 
 _SCANNED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,20 +10,23 @@ from tablemill.sources.records import REJECTED_LINE, RecordType
 
 
 def parse_lines(lines: DataFrame, record: RecordType) -> DataFrame:
-    """One row per line of ``value``: the record's fields, and the line in ``rejected_line`` if it does not fit."""
-    cut = F.from_csv("value", record.text_schema.toDDL(), record.reader_options)
-    mark = F.when(F.col("value") == "", F.col("value")).otherwise(F.col(f"_r.{REJECTED_LINE}"))
-    fields = [F.col(f"_r.{f.name}").alias(f.name) for f in record.schema.fields]
-    rows = lines.select("value", cut.alias("_r")).select(*fields, mark.alias(REJECTED_LINE))
-    return typed_rows(rows, record)
+    """One row per line of ``value``: the record's fields, and the line in ``rejected_line`` if it does not fit.
+
+    The cut line goes through ``inline`` so that a later filter on its fields stays above the cut. As a plain column
+    it would be cut again for every field that the filter looks at.
+    """
+    cut = F.from_csv("_line", record.text_schema.toDDL(), record.reader_options)
+    mark = F.when(F.col("_line") == "", F.col("_line")).otherwise(F.col(REJECTED_LINE))
+    rows = lines.select(F.coalesce("value", F.lit("")).alias("_line")).select("_line", F.inline(F.array(cut)))
+    return typed_rows(rows.withColumn(REJECTED_LINE, mark), record, F.col("_line"))
 
 
-def typed_rows(rows: DataFrame, record: RecordType) -> DataFrame:
+def typed_rows(rows: DataFrame, record: RecordType, line: Column | None = None) -> DataFrame:
     """Converts text fields to the record's types.
 
     ``rows`` has every field as text, and in ``rejected_line`` the lines with too few or too many fields. A line
-    that lacks a number, or has other text in its place, is rejected as well; it is put together from its fields.
-    Empty text stays empty text in accepted rows, where the reader gives null for it.
+    that lacks a number, or has other text in its place, is rejected as well; where ``line`` does not give its text
+    it is put together from its fields. Empty text stays empty text in accepted rows, where the reader gives null.
     """
     fields = record.schema.fields
     is_text = {f.name: isinstance(f.dataType, T.StringType) for f in fields}
@@ -33,9 +36,10 @@ def typed_rows(rows: DataFrame, record: RecordType) -> DataFrame:
     for name, value in converted.items():
         if not is_text[name]:
             misfit = misfit | value.isNull()
-    line = F.when(misfit, F.coalesce(F.col(REJECTED_LINE), _line(record)))
+    text = _rebuilt_line(record) if line is None else line
+    kept = F.when(misfit, F.coalesce(F.col(REJECTED_LINE), text))
 
-    checked = rows.select(*(value.alias(name) for name, value in converted.items()), line.alias(REJECTED_LINE))
+    checked = rows.select(*(value.alias(name) for name, value in converted.items()), kept.alias(REJECTED_LINE))
     filled = [
         F.when(F.col(REJECTED_LINE).isNull(), F.coalesce(F.col(f.name), F.lit(""))).otherwise(F.col(f.name))
         if is_text[f.name]
@@ -45,7 +49,7 @@ def typed_rows(rows: DataFrame, record: RecordType) -> DataFrame:
     return checked.select(*(value.alias(f.name) for f, value in zip(fields, filled)), REJECTED_LINE)
 
 
-def _line(record: RecordType):
+def _rebuilt_line(record: RecordType) -> Column:
     """The line again, from fields that are still text."""
     names = [f.name for f in record.schema.fields]
     if record.quoted:
