@@ -1,0 +1,244 @@
+"""Counts, pivots, rankings and merges against plain Python, with null keys, ties and one very large key."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from plan_text import final_plan, physical_plan
+from tablemill.operators import counting as C
+from tablemill.operators import pivots
+from tablemill.operators.merging import merge_counts, merge_on_key
+from tablemill.operators.pivots import category_values, pivot_counts
+from tablemill.operators.ranking import top_name_with_total
+from tablemill.sinks.tables import chart_feed
+from tablemill.sources.tables import find, parquet_tables, stored_table
+
+SCHEMA = "k string, c string, v bigint"
+
+
+def skewed_rows(n=3000, seed=7):
+    """A third of the rows has the key ``hot``; keys, categories and values are null now and then."""
+    dice = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        key = "hot" if dice.random() < 1 / 3 else dice.choice(["a", "b", "c", "d", None])
+        category = dice.choice(["x", "y", "z", None]) if key != "d" else "x"
+        value = dice.choice([None, *range(200)])
+        rows.append((key, category, value))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return skewed_rows()
+
+
+@pytest.fixture(scope="module")
+def df(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(8)
+
+
+def as_dict(result):
+    return {row[0]: row[1] if len(row) == 2 else tuple(row[1:]) for row in result.collect()}
+
+
+def test_count_by_key(df, rows):
+    assert as_dict(C.count_by_key(df, ["k"])) == Counter(k for k, _, _ in rows if k is not None)
+    by_value = Counter(k for k, _, v in rows if k is not None and v is not None)
+    assert as_dict(C.count_by_key(df, ["k"], "v")) == by_value
+    assert as_dict(C.count_by_key(df, ["k"], drop_null_keys=False)) == Counter(k for k, _, _ in rows)
+
+
+def test_count_by_two_keys(df, rows):
+    result = {(r.k, r.c): r.n for r in C.count_by_key(df, ["k", "c"]).collect()}
+    assert result == Counter((k, c) for k, c, _ in rows if k is not None and c is not None)
+
+
+def test_distinct_by_key(df, rows):
+    expected = defaultdict(set)
+    for k, _, v in rows:
+        if k is not None and v is not None:
+            expected[k].add(v)
+    assert as_dict(C.distinct_by_key(df, ["k"], "v")) == {k: len(v) for k, v in expected.items()}
+
+
+def test_distinct_by_key_spreads_the_values_of_one_key(df):
+    plan = physical_plan(C.distinct_by_key(df, ["k"], "v"))
+    assert "hashpartitioning(k#" in plan
+    assert any("v#" in line for line in plan.splitlines() if "hashpartitioning" in line), plan
+
+
+def test_distinct_values(df, rows):
+    assert {row[0] for row in C.distinct_values(df, "c").collect()} == {c for _, c, _ in rows}
+
+
+def test_filtered_count_and_total(df, rows):
+    expected = Counter(k for k, c, v in rows if k is not None and c == "x" and v is not None and v > 150)
+    counts = C.filtered_count(df, (F.col("c") == "x") & (F.col("v") > 150), ["k"])
+    assert as_dict(counts) == expected
+    result = C.with_total(counts, "k").collect()
+    assert {r.k: r.n for r in result if not r.is_total} == expected
+    assert [(r.k, r.n) for r in result if r.is_total] == [(None, sum(expected.values()))]
+
+
+def test_total_of_nothing_is_zero(df):
+    counts = C.filtered_count(df, F.col("c") == "nothing", ["k"])
+    assert [tuple(r) for r in C.with_total(counts, "k").collect()] == [(None, 0, True)]
+
+
+def test_total_reads_its_input_once(df, spark, tmp_path):
+    df.write.parquet(str(tmp_path / "t"))
+    stored = stored_table(spark, str(tmp_path / "t"))
+    plan = final_plan(C.with_total(C.filtered_count(stored, F.col("c") == "x", ["k"]), "k"))
+    assert plan.count("FileScan") == 1, plan
+    assert "ReusedExchange" in plan, plan
+
+
+def test_rate_by_key_and_top_rate(spark):
+    rows = [("many", "yes")] * 6 + [("many", "no")] * 14 + [("few", "yes")] * 2 + [("few", "no")] * 2
+    rows += [("few", None), (None, "yes"), ("unknown", None)]
+    df = spark.createDataFrame(rows, "region string, smoker string")
+    rates = C.rate_by_key(df, ["region"], "smoker", "yes")
+    assert as_dict(rates) == {"many": (6, 20, 0.3), "few": (2, 4, 0.5), "unknown": (0, 0, None)}
+    assert tuple(C.top_rate(rates, ["region"]).first()) == ("few", 2, 4, 0.5)
+
+
+def test_top_rate_tie_goes_to_the_smallest_key(spark):
+    df = spark.createDataFrame([("b", "yes"), ("a", "yes"), ("c", "no")], "region string, smoker string")
+    assert C.top_rate(C.rate_by_key(df, ["region"], "smoker", "yes"), ["region"]).first().region == "a"
+
+
+def brute_pivot(rows, values):
+    table = defaultdict(Counter)
+    for k, c, _ in rows:
+        if k is not None and c in values:
+            table[k][c] += 1
+    return {k: tuple(counts.get(v) for v in values) for k, counts in table.items()}
+
+
+@pytest.mark.parametrize("limit", [64, 1])
+def test_pivot_both_ways(df, rows, monkeypatch, limit):
+    """The second limit sends the same counts through the two-step pivot."""
+    monkeypatch.setattr(pivots, "MAX_CONDITIONAL_COUNTS", limit)
+    expected = brute_pivot(rows, ["x", "y", "z"])
+    assert expected["d"][1:] == (None, None)
+    wide = pivot_counts(df, "k", "c")
+    assert wide.columns == ["k", "x", "y", "z"]
+    assert as_dict(wide) == expected
+    assert as_dict(pivot_counts(df, "k", "c", ["x", "y"])) == brute_pivot(rows, ["x", "y"])
+    complete = {k: counts for k, counts in expected.items() if None not in counts}
+    assert "d" not in complete
+    assert as_dict(pivot_counts(df, "k", "c", complete=True)) == complete
+
+
+def test_pivot_over_many_values(spark):
+    rows = [(str(i % 7), f"c{i % 90:02d}") for i in range(4000)]
+    df = spark.createDataFrame(rows, "k string, c string")
+    expected = brute_pivot([(k, c, None) for k, c in rows], [f"c{i:02d}" for i in range(90)])
+    assert as_dict(pivot_counts(df, "k", "c")) == expected
+
+
+def test_pivot_of_numbers_and_names_with_dots(spark):
+    df = spark.createDataFrame([("a", 2014), ("a", 2015), ("b", 2014)], "k string, y bigint")
+    wide = pivot_counts(df, "k", "y", complete=True)
+    assert wide.columns == ["k", "2014", "2015"]
+    assert as_dict(wide) == {"a": (1, 1)}
+    dotted = spark.createDataFrame([("a", "v1.0")], "k string, c string")
+    assert as_dict(pivot_counts(dotted, "k", "c", complete=True)) == {"a": 1}
+
+
+def test_pivot_has_one_shuffle(df):
+    plan = physical_plan(pivot_counts(df.coalesce(4), "k", "c", ["x", "y", "z"]))
+    assert plan.count("hashpartitioning") == 1, plan
+
+
+def test_too_many_category_values_is_an_error(spark):
+    spark.conf.set("spark.sql.pivotMaxValues", "5")
+    try:
+        with pytest.raises(ValueError, match="more than 5 values"):
+            category_values(spark.range(6), "id")
+        assert category_values(spark.range(5), "id") == [0, 1, 2, 3, 4]
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")
+
+
+def brute_top(rows):
+    per_key = defaultdict(Counter)
+    for k, c, _ in rows:
+        if k is not None:
+            per_key[k][c] += 1
+    best = {}
+    for k, counts in per_key.items():
+        name = min(counts, key=lambda c: (-counts[c], c is None, c or ""))
+        best[k] = (name, counts[name], sum(counts.values()))
+    return best
+
+
+def test_top_name_with_total(df, rows):
+    assert as_dict(top_name_with_total(df, "k", "c")) == brute_top(rows)
+
+
+def test_top_name_ties_and_nulls(spark):
+    rows = [("t", "b", 0), ("t", "a", 0), ("n", None, 0), ("n", None, 0), ("n", "z", 0), ("m", None, 0), ("m", "z", 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert as_dict(top_name_with_total(df, "k", "c")) == {"t": ("a", 1, 2), "n": (None, 2, 3), "m": ("z", 1, 2)}
+
+
+def test_top_name_of_one_large_key_with_many_names(spark):
+    """A third of the rows shares a key and has a name each; no task may hold them all."""
+    rows = [("hot", f"n{i:05d}", 0) for i in range(5000)] + [("hot", "n00777", 0)]
+    rows += [(f"k{i % 2000}", f"n{i % 3}", 0) for i in range(10000)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(8)
+    result = top_name_with_total(df, "k", "c")
+    assert as_dict(result) == brute_top(rows)
+    plan = physical_plan(result)
+    assert "Window" not in plan and "partial_min" in plan, plan
+
+
+def test_merges(spark):
+    one = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
+    two = spark.createDataFrame([("b",), ("c",)], "k string")
+    three = spark.createDataFrame([("b",), ("a",)], "k string")
+    frames = {"one": one, "two": two, "three": three}
+    full = {"a": (2, None, 1), "b": (1, 1, 1), "c": (None, 1, None)}
+    inner = {"b": (1, 1, 1)}
+    assert as_dict(merge_counts(frames, "k")) == full
+    assert as_dict(merge_counts(frames, "k", "inner")) == inner
+    grouped = [C.count_by_key(df, ["k"], name=name) for name, df in frames.items()]
+    assert as_dict(merge_on_key(grouped, "k")) == full
+    assert as_dict(merge_on_key(grouped, "k", "inner")) == inner
+    with pytest.raises(ValueError):
+        merge_counts(frames, "k", "left")
+
+
+def test_merged_counts_need_no_join(spark, tmp_path):
+    for name in ("one", "two"):
+        spark.range(100).selectExpr("id % 7 AS k").write.parquet(f"{tmp_path}/{name}.parquet")
+    plan = physical_plan(merge_counts(parquet_tables(spark, str(tmp_path), ["one", "two"]), "k"))
+    assert "Join" not in plan and plan.count("hashpartitioning") == 1, plan
+
+
+def test_find_reaches_the_files(spark, df, tmp_path):
+    df.write.parquet(str(tmp_path / "t"))
+    stored = stored_table(spark, str(tmp_path / "t"))
+    found = find(stored, (F.col("c") == "x") & (F.col("v") > 150), ["k"])
+    plan = physical_plan(found)
+    assert "EqualTo(c,x)" in plan and "GreaterThan(v,150)" in plan, plan
+    assert "ReadSchema: struct<k:string,c:string,v:bigint>" in plan
+    assert "ReadSchema: struct<k:string>" in physical_plan(find(stored, columns=["k"]))
+    assert find(stored).count() == df.count()
+
+
+def test_chart_feed_is_in_key_order(df):
+    keys = [row.k for row in chart_feed(C.count_by_key(df, ["k"]), "k").collect()]
+    assert keys == sorted(keys)
+
+
+def test_parallelism_does_not_change_results(df, rows):
+    expected = brute_top(rows)
+    for n in (1, 3, 16):
+        assert as_dict(top_name_with_total(df.repartition(n), "k", "c")) == expected
