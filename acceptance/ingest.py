@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acceptance.crosswalk import view, view_sql
+from acceptance.crosswalk import VIEWS, view, view_sql
 from acceptance.registry import query, table
 from tablemill.plans import marketplace, warehouse
 from tablemill.session import shared_dir
@@ -135,19 +135,13 @@ def multi_part_union(spark, sf_dir):
     part = F.when(F.col("l_linenumber") <= 2, 1).when(F.col("l_linenumber") <= 4, 2)
     part = part.when(F.col("l_linenumber") <= 6, 3).otherwise(4).alias("part")
     lines = table(spark, sf_dir, "lineitem")
-    columns = [F.expr(f"{value} AS {name}") for name, value in _benefit_columns().items()]
+    columns = [F.expr(f"{value} AS {name}") for name, value in VIEWS["benefits"][1].items()]
     folder = _written_files(lines.select(*columns, part), marketplace.BENEFITS_COST_SHARING, "benefits", "part")
     return marketplace.benefits_cost_sharing(
         spark, f"{folder}/part=*", shared_dir(spark, "marketplace"), maxFilesPerTrigger="64"
     )
 
 
-def _benefit_columns() -> dict[str, str]:
-    from acceptance.crosswalk import VIEWS
-
-    return VIEWS["benefits"][1]
-
-
 @query("ingest_plan_attributes", f"SELECT * FROM {view_sql('plan_attributes')}")
 def ingest_plan_attributes(spark, sf_dir):
     rows = view(spark, sf_dir, "plan_attributes")
@@ -176,6 +170,17 @@ def ingest_insurance(spark, sf_dir):
     return marketplace.insurance(spark, path, shared_dir(spark, "marketplace"))
 
 
+@query("collection_forward", f"SELECT * FROM {view_sql('insurance')}")
+def collection_forward(spark, sf_dir):
+    """From files to the landed table, from there to a second store; running both steps again adds nothing."""
+    path = _written_files(view(spark, sf_dir, "insurance"), marketplace.INSURANCE, "insurance")
+    lake = shared_dir(spark, "marketplace")
+    for _ in range(2):
+        marketplace.insurance(spark, path, lake)
+        marketplace.to_collection(spark, marketplace.INSURANCE, lake, "json", target=f"{lake}/collection")
+    return stored_table(spark, f"{lake}/collection", "json", marketplace.INSURANCE.schema)
+
+
 @query("append_roundtrip", "SELECT * FROM customer UNION ALL SELECT * FROM customer")
 def append_roundtrip(spark, sf_dir):
     return _appended_twice(spark, sf_dir, "parquet")

@@ -13,7 +13,8 @@ DATE_SEPARATOR = "-"
 
 # A word is a run of cased letters; everything else (digits, quotes, hyphens, marks) separates words.
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{IsTitlecase}"
-_WORD_OR_GAP = f"([{_CASED}]+|[^{_CASED}]+)"
+# U+FDD0 is set aside by Unicode for use inside programs.
+_WORD_MARK = "\ufdd0 "
 
 
 def phone_mask_10(phone: Column, strict: bool = True) -> Column:
@@ -56,12 +57,14 @@ def date_key(year: Column, month: Column, day: Column) -> Column:
 def title_case(text: Column) -> Column:
     """Upper-cases the first letter of every word and lower-cases the others, with ``O'Brien`` and ``Mary-Jane``.
 
-    ``initcap`` alone starts words at spaces only. It is right for text of plain letters and spaces, which most
-    names are; other text is cut into words and gaps first.
+    ``initcap`` alone starts words at spaces only, so a marker that ends in a space goes before every word and is
+    taken out again. Text that holds the marker by itself is cut into words and gaps instead.
     """
-    pieces = F.regexp_extract_all(text, F.lit(_WORD_OR_GAP), F.lit(0))
-    by_word = F.array_join(F.transform(pieces, F.initcap), "")
-    return F.when(text.rlike("^[A-Za-z ]*$"), F.initcap(text)).otherwise(by_word)
+    marked = F.regexp_replace(text, f"([{_CASED}]+)", f"{_WORD_MARK}$1")
+    by_mark = F.replace(F.initcap(marked), F.lit(_WORD_MARK), F.lit(""))
+    pieces = F.regexp_extract_all(text, F.lit(f"([{_CASED}]+|[^{_CASED}]+)"), F.lit(0))
+    by_piece = F.array_join(F.transform(pieces, F.initcap), "")
+    return F.when(F.contains(text, F.lit(_WORD_MARK)), by_piece).otherwise(by_mark)
 
 
 def lower_case(text: Column) -> Column:

@@ -6,7 +6,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablemill.sinks.tables import append_table
 from tablemill.sources.lines import kafka_line_stream
 from tablemill.sources.parsing import accepted
 from tablemill.sources.records import (
@@ -17,7 +16,7 @@ from tablemill.sources.records import (
     SERVICE_AREA,
     RecordType,
 )
-from tablemill.streaming.ingest import ingest_files, ingest_lines
+from tablemill.streaming.ingest import forward, ingest_files, ingest_lines
 
 # The topics of each record type; the largest table comes in four parts.
 TOPICS = {
@@ -75,9 +74,17 @@ def benefits_cost_sharing(spark: SparkSession, path: str, folder: str, **options
     return from_files(spark, BENEFITS_COST_SHARING, path, folder, options)
 
 
-def publish_collection(table: DataFrame, fmt: str, options: Mapping[str, str]) -> None:
-    """Appends a landed table to a document collection through a connector."""
-    append_table(table, None, fmt, options)
+def to_collection(
+    spark: SparkSession,
+    record: RecordType,
+    folder: str,
+    fmt: str,
+    options: Mapping[str, str] | None = None,
+    target: str | None = None,
+) -> None:
+    """Sends what has newly landed in ``folder`` to a document collection, or to files below ``target``."""
+    source, _ = _places(record, folder)
+    forward(spark, record, source, target, f"{folder}/_checkpoints/{record.name}-{fmt}", fmt, options)
 
 
 def _places(record: RecordType, folder: str) -> tuple[str, str]:

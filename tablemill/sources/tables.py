@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -28,6 +29,12 @@ def find(df: DataFrame, condition: Column | None = None, columns: Sequence[str]
     return rows.select(*columns) if columns else rows
 
 
+def with_row_id(df: DataFrame) -> DataFrame:
+    """Adds ``_id``, the place of a row in its Parquet file: unique, and the same each time the file is read."""
+    place = F.concat_ws(":", "_metadata.file_name", "_metadata.row_index")
+    return df.select(place.alias("_id"), *df.columns)
+
+
 def parquet_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[str, DataFrame]:
     """One frame per table name, each built once and read only when used."""
     return {name: stored_table(spark, f"{folder}/{name}.parquet") for name in names}

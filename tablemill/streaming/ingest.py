@@ -7,25 +7,28 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from tablemill.sources.lines import record_file_stream
-from tablemill.sources.parsing import parse_lines
+from tablemill.sources.parsing import accepted, parse_lines
 from tablemill.sources.records import RecordType
+from tablemill.sources.tables import with_row_id
 
 
-def land(rows: DataFrame, target: str, checkpoint: str) -> None:
+def land(
+    rows: DataFrame,
+    target: str | None,
+    checkpoint: str,
+    fmt: str = "parquet",
+    options: Mapping[str, str] | None = None,
+) -> None:
     """Runs a stream over everything that is there now, then stops.
 
-    The checkpoint remembers what has been read and the Parquet sink commits each batch once, so running it again
-    adds only what is new.
+    The checkpoint remembers what has been read and a file sink commits each batch once, so running it again adds
+    only what is new. A connector's stream sink has no ``target`` folder and may see a batch again after a failure;
+    rows with ``_id`` (:func:`forward`) then replace themselves.
     """
-    query = (
-        rows.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .outputMode("append")
-        .start()
-    )
-    query.awaitTermination()
+    writer = rows.writeStream.format(fmt).options(**(options or {})).option("checkpointLocation", checkpoint)
+    if target:
+        writer = writer.option("path", target)
+    writer.trigger(availableNow=True).outputMode("append").start().awaitTermination()
 
 
 def landed(spark: SparkSession, record: RecordType, target: str) -> DataFrame:
@@ -33,6 +36,20 @@ def landed(spark: SparkSession, record: RecordType, target: str) -> DataFrame:
     return spark.read.schema(record.landed_schema).parquet(target)
 
 
+def forward(
+    spark: SparkSession,
+    record: RecordType,
+    source: str,
+    target: str | None,
+    checkpoint: str,
+    fmt: str,
+    options: Mapping[str, str] | None = None,
+) -> None:
+    """Sends the accepted rows that have landed since the last run on to another store, each under its own ``_id``."""
+    rows = spark.readStream.schema(record.landed_schema).parquet(source)
+    land(accepted(with_row_id(rows)), target, checkpoint, fmt, options)
+
+
 def ingest_lines(lines: DataFrame, record: RecordType, target: str, checkpoint: str) -> DataFrame:
     """From a line stream (files or Kafka) to the landed table."""
     land(parse_lines(lines, record), target, checkpoint)

@@ -8,6 +8,7 @@ from tablemill.plans import marketplace
 from tablemill.sources.lines import file_line_stream, record_file_stream
 from tablemill.sources.parsing import accepted, parse_lines, rejected
 from tablemill.sources.records import BENEFITS_COST_SHARING, INSURANCE, SERVICE_AREA
+from tablemill.sources.tables import with_row_id
 from tablemill.streaming.ingest import ingest_files, ingest_lines, landed
 
 PERSON = "19\tfemale\t27.9\t0\tyes\tsouthwest\t16884.924"
@@ -107,3 +108,24 @@ def test_lines_of_a_stream_from_anywhere(spark, tmp_path):
     stream = spark.readStream.text(str(tmp_path / "in")).selectExpr("CAST(value AS BINARY) AS value")
     lines = stream.selectExpr("CAST(value AS STRING) AS value")
     assert marketplace.from_lines(lines, INSURANCE, str(tmp_path / "lake")).count() == 1
+
+
+def test_forwarding_sends_each_row_once_under_its_own_id(spark, tmp_path):
+    lake, target = str(tmp_path / "lake"), str(tmp_path / "collection")
+    write(tmp_path / "in" / "a.txt", INSURANCE.header, PERSON, PERSON, "broken")
+    for _ in range(2):
+        marketplace.insurance(spark, str(tmp_path / "in"), lake)
+        marketplace.to_collection(spark, INSURANCE, lake, "json", target=target)
+    rows = spark.read.json(target).collect()
+    assert len(rows) == 2 and len({row["_id"] for row in rows}) == 2
+    write(tmp_path / "in" / "b.txt", INSURANCE.header, PERSON)
+    marketplace.insurance(spark, str(tmp_path / "in"), lake)
+    marketplace.to_collection(spark, INSURANCE, lake, "json", target=target)
+    assert len({row["_id"] for row in spark.read.json(target).collect()}) == 3
+
+
+def test_row_ids_are_the_same_each_time(spark, tmp_path):
+    spark.range(1000).repartition(3).write.parquet(str(tmp_path / "t"))
+    ids = [bag(with_row_id(spark.read.parquet(str(tmp_path / "t")))) for _ in range(2)]
+    assert ids[0] == ids[1]
+    assert len({row[0] for row in ids[0]}) == 1000
