@@ -11,7 +11,7 @@ from tablemill.plans import marketplace, warehouse
 from tablemill.session import shared_dir
 from tablemill.sinks.kafka import encoded
 from tablemill.sinks.tables import append_table, append_tables
-from tablemill.sources.lines import decoded, file_line_stream, record_files, text_lines
+from tablemill.sources.lines import decoded, file_line_stream, lines_below_header, text_lines
 from tablemill.sources.parsing import accepted, parse_lines, rejected
 from tablemill.sources.records import RecordType
 from tablemill.sources.tables import stored_table
@@ -41,12 +41,9 @@ def _written_files(df: DataFrame, record: RecordType, purpose: str, *parts: str)
     """Delimited files with header lines in the shared folder; with ``parts`` in one folder per value."""
     folder = shared_dir(df.sparkSession, purpose)
     options = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "emptyValue": ""}
-    (
-        df.write.options(**{**record.reader_options, **options})
-        .option("header", "true")
-        .partitionBy(*parts)
-        .csv(folder)
-    )
+    quoting = {"escape": '"'} if record.quoted else {"quote": ""}
+    writer = df.write.options(header="true", sep=record.separator, **options, **quoting)
+    writer.partitionBy(*parts).csv(folder)
     return folder
 
 
@@ -104,7 +101,7 @@ def parse_accepted(spark, sf_dir):
 
 @query("text_scan", f"SELECT * FROM {view_sql('event_records')}")
 def text_scan(spark, sf_dir):
-    """Files with a header line each, read as plain lines."""
+    """Files with a known header line each."""
     events = view(spark, sf_dir, "event_records")
     folder = _written_files(events, EVENT_RECORD, "text-scan")
     return accepted(parse_lines(text_lines(spark, folder, EVENT_RECORD.header), EVENT_RECORD))
@@ -112,9 +109,10 @@ def text_scan(spark, sf_dir):
 
 @query("delimited_scan", f"SELECT * FROM {view_sql('part_records')}")
 def delimited_scan(spark, sf_dir):
-    """Files with a header line each, read as records."""
+    """Files that lose their first line, with quoted commas and doubled quotes."""
     parts = view(spark, sf_dir, "part_records")
-    return accepted(record_files(spark, PART_RECORD, _written_files(parts, PART_RECORD, "delimited-scan")))
+    lines = lines_below_header(spark, _written_files(parts, PART_RECORD, "delimited-scan"))
+    return accepted(parse_lines(lines, PART_RECORD))
 
 
 @query("stream_ingest", f"SELECT * FROM {view_sql('event_records')}")
@@ -138,7 +136,11 @@ def multi_part_union(spark, sf_dir):
     columns = [F.expr(f"{value} AS {name}") for name, value in VIEWS["benefits"][1].items()]
     folder = _written_files(lines.select(*columns, part), marketplace.BENEFITS_COST_SHARING, "benefits", "part")
     return marketplace.benefits_cost_sharing(
-        spark, f"{folder}/part=*", shared_dir(spark, "marketplace"), maxFilesPerTrigger="64"
+        spark,
+        f"{folder}/part=*",
+        shared_dir(spark, "marketplace"),
+        header=marketplace.BENEFITS_COST_SHARING.header,
+        maxFilesPerTrigger="64",
     )
 
 

@@ -34,11 +34,16 @@ TOPICS = {
 
 
 def from_files(
-    spark: SparkSession, record: RecordType, path: str, folder: str, options: Mapping[str, str] | None = None
+    spark: SparkSession,
+    record: RecordType,
+    path: str,
+    folder: str,
+    options: Mapping[str, str] | None = None,
+    header: str | None = None,
 ) -> DataFrame:
     """Lands new files below ``path``; the table and its checkpoint live in ``folder`` under the record's name."""
     target, checkpoint = _places(record, folder)
-    return accepted(ingest_files(spark, record, path, target, checkpoint, options))
+    return accepted(ingest_files(spark, record, path, target, checkpoint, options, header))
 
 
 def from_lines(lines: DataFrame, record: RecordType, folder: str) -> DataFrame:
@@ -53,25 +58,35 @@ def from_topics(spark: SparkSession, record: RecordType, options: Mapping[str, s
     return from_lines(kafka_line_stream(spark, subscribed), record, folder)
 
 
-def plan_attributes(spark: SparkSession, path: str, folder: str, **options: str) -> DataFrame:
-    return from_files(spark, PLAN_ATTRIBUTES, path, folder, options)
+def plan_attributes(
+    spark: SparkSession, path: str, folder: str, header: str | None = None, **options: str
+) -> DataFrame:
+    return from_files(spark, PLAN_ATTRIBUTES, path, folder, options, header)
 
 
-def network(spark: SparkSession, path: str, folder: str, **options: str) -> DataFrame:
-    return from_files(spark, NETWORK, path, folder, options)
+def network(
+    spark: SparkSession, path: str, folder: str, header: str | None = None, **options: str
+) -> DataFrame:
+    return from_files(spark, NETWORK, path, folder, options, header)
 
 
-def service_area(spark: SparkSession, path: str, folder: str, **options: str) -> DataFrame:
-    return from_files(spark, SERVICE_AREA, path, folder, options)
+def service_area(
+    spark: SparkSession, path: str, folder: str, header: str | None = None, **options: str
+) -> DataFrame:
+    return from_files(spark, SERVICE_AREA, path, folder, options, header)
 
 
-def insurance(spark: SparkSession, path: str, folder: str, **options: str) -> DataFrame:
-    return from_files(spark, INSURANCE, path, folder, options)
+def insurance(
+    spark: SparkSession, path: str, folder: str, header: str | None = None, **options: str
+) -> DataFrame:
+    return from_files(spark, INSURANCE, path, folder, options, header)
 
 
-def benefits_cost_sharing(spark: SparkSession, path: str, folder: str, **options: str) -> DataFrame:
+def benefits_cost_sharing(
+    spark: SparkSession, path: str, folder: str, header: str | None = None, **options: str
+) -> DataFrame:
     """``path`` is a pattern over all parts; equal lines in different parts all stay."""
-    return from_files(spark, BENEFITS_COST_SHARING, path, folder, options)
+    return from_files(spark, BENEFITS_COST_SHARING, path, folder, options, header)
 
 
 def to_collection(

@@ -1,4 +1,4 @@
-"""Text lines as a table or a stream with one column ``value``, and typed records straight from files."""
+"""Text lines as a table or a stream with one column ``value``."""
 
 from __future__ import annotations
 
@@ -7,8 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemill.sources.parsing import typed_rows
-from tablemill.sources.records import RecordType
+# A batch takes on this many files unless told otherwise, and a file counts as new whatever its age: by default Spark
+# passes over files that are a week older than the newest one it has read.
+FILE_STREAM = {"maxFilesPerTrigger": "10000", "maxFileAge": "36500d"}
 
 
 def without_header(lines: DataFrame, header: str | None) -> DataFrame:
@@ -23,9 +24,9 @@ def text_lines(spark: SparkSession, path: str, header: str | None = None) -> Dat
 def file_line_stream(
     spark: SparkSession, path: str, header: str | None = None, options: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Lines of the files below ``path``, present and future. ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``
-    in ``options`` bound what one batch takes on."""
-    return without_header(spark.readStream.options(**(options or {})).text(path), header)
+    """Lines of the files below ``path``, present and future. ``maxFilesPerTrigger`` in ``options`` bounds what one
+    batch takes on."""
+    return without_header(spark.readStream.options(**{**FILE_STREAM, **(options or {})}).text(path), header)
 
 
 def kafka_options(
@@ -57,20 +58,26 @@ def kafka_line_stream(spark: SparkSession, options: Mapping[str, str]) -> DataFr
     return decoded(spark.readStream.format("kafka").options(**options).load())
 
 
-def record_files(spark: SparkSession, record: RecordType, path: str) -> DataFrame:
-    """Records of delimited files, without the first line of each file, whatever it says.
+def lines_below_header(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of files without the first line of each file, whatever it says. Lines of blanks only are skipped."""
+    return _whole_lines(_header_dropping(spark.read).load(path))
 
-    Lines of nothing but blanks hold no record and are skipped by the reader.
-    """
-    return typed_rows(_cut_by_reader(spark.read, record).load(path), record)
 
+def stream_below_header(spark: SparkSession, path: str, options: Mapping[str, str] | None = None) -> DataFrame:
+    """The streaming form of :func:`lines_below_header`; ``options`` as in :func:`file_line_stream`."""
+    return _whole_lines(_header_dropping(spark.readStream.options(**{**FILE_STREAM, **(options or {})})).load(path))
 
-def record_file_stream(
-    spark: SparkSession, record: RecordType, path: str, options: Mapping[str, str] | None = None
-) -> DataFrame:
-    """The streaming form of :func:`record_files`; ``options`` as in :func:`file_line_stream`."""
-    return typed_rows(_cut_by_reader(spark.readStream.options(**(options or {})), record).load(path), record)
+
+def _header_dropping(reader):
+    """The CSV source knows where each file starts; its separator and quote are characters set aside by Unicode for
+    use inside programs, so a line is one field."""
+    return (
+        reader.format("csv")
+        .schema("value string, cut_line string")
+        .options(header="true", sep="\ufdd0", quote="\ufdd1", mode="PERMISSIVE", columnNameOfCorruptRecord="cut_line")
+    )
 
 
-def _cut_by_reader(reader, record: RecordType):
-    return reader.format("csv").schema(record.text_schema).option("header", "true").options(**record.reader_options)
+def _whole_lines(rows: DataFrame) -> DataFrame:
+    """A line that does have the separator in it is kept whole in ``cut_line``."""
+    return rows.select(F.coalesce("cut_line", "value").alias("value"))

@@ -8,26 +8,60 @@ from pyspark.sql import types as T
 
 from tablemill.sources.records import REJECTED_LINE, RecordType
 
+# The CSV parser fails the job on a line with more fields than this, so such a line is rejected without being cut.
+MAX_CSV_FIELDS = 200_000
+
 
 def parse_lines(lines: DataFrame, record: RecordType) -> DataFrame:
     """One row per line of ``value``: the record's fields, and the line in ``rejected_line`` if it does not fit.
 
+    A line fits if it has as many fields as the record and a number in each number field. Empty text stays empty
+    text in accepted rows.
+
     The cut line goes through ``inline`` so that a later filter on its fields stays above the cut. As a plain column
     it would be cut again for every field that the filter looks at.
     """
-    cut = F.from_csv("_line", record.text_schema.toDDL(), record.reader_options)
-    mark = F.when(F.col("_line") == "", F.col("_line")).otherwise(F.col(REJECTED_LINE))
-    rows = lines.select(F.coalesce("value", F.lit("")).alias("_line")).select("_line", F.inline(F.array(cut)))
-    return typed_rows(rows.withColumn(REJECTED_LINE, mark), record, F.col("_line"))
+    text = lines.select(F.coalesce("value", F.lit("")).alias("_line"))
+    cut = _cut_with_quotes(text, record) if record.quoted else _cut_at_separators(text, record)
+    return _typed(cut.select("_line", F.inline(F.array("_fields"))), record)
 
 
-def typed_rows(rows: DataFrame, record: RecordType, line: Column | None = None) -> DataFrame:
-    """Converts text fields to the record's types.
+def accepted(rows: DataFrame) -> DataFrame:
+    """The rows whose line fitted, without the reject column."""
+    return rows.where(F.col(REJECTED_LINE).isNull()).drop(REJECTED_LINE)
 
-    ``rows`` has every field as text, and in ``rejected_line`` the lines with too few or too many fields. A line
-    that lacks a number, or has other text in its place, is rejected as well; where ``line`` does not give its text
-    it is put together from its fields. Empty text stays empty text in accepted rows, where the reader gives null.
-    """
+
+def rejected(rows: DataFrame) -> DataFrame:
+    """The lines that did not fit, as one column ``value``."""
+    return rows.where(F.col(REJECTED_LINE).isNotNull()).select(F.col(REJECTED_LINE).alias("value"))
+
+
+def _cut_at_separators(text: DataFrame, record: RecordType) -> DataFrame:
+    """Adds ``_fields``; a rest beyond the last field stays in one piece, so any number of separators is harmless."""
+    names = record.schema.names
+    parts = text.withColumn("_parts", F.split("_line", record.separator, len(names) + 1))
+    misfit = F.when(F.size("_parts") != len(names), F.col("_line"))
+    fields = [F.get("_parts", F.lit(i)).alias(name) for i, name in enumerate(names)]
+    return parts.withColumn("_fields", F.struct(*fields, misfit.alias(REJECTED_LINE)))
+
+
+def _cut_with_quotes(text: DataFrame, record: RecordType) -> DataFrame:
+    """Adds ``_fields``, where the CSV parser has put the lines with too few or too many fields aside."""
+    line = F.col("_line")
+    separators = F.length(line) - F.length(F.replace(line, F.lit(record.separator), F.lit("")))
+    harmless = (F.length(line) < MAX_CSV_FIELDS) | (separators < MAX_CSV_FIELDS)
+    options = {
+        "sep": record.separator,
+        "escape": '"',
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": REJECTED_LINE,
+        "maxColumns": str(MAX_CSV_FIELDS),
+    }
+    return text.withColumn("_fields", F.from_csv(F.when(harmless, line), record.text_schema.toDDL(), options))
+
+
+def _typed(rows: DataFrame, record: RecordType) -> DataFrame:
+    """Converts the text fields to the record's types."""
     fields = record.schema.fields
     is_text = {f.name: isinstance(f.dataType, T.StringType) for f in fields}
     converted = {f.name: F.col(f.name) if is_text[f.name] else F.col(f.name).try_cast(f.dataType) for f in fields}
@@ -36,33 +70,16 @@ def typed_rows(rows: DataFrame, record: RecordType, line: Column | None = None)
     for name, value in converted.items():
         if not is_text[name]:
             misfit = misfit | value.isNull()
-    text = _rebuilt_line(record) if line is None else line
-    kept = F.when(misfit, F.coalesce(F.col(REJECTED_LINE), text))
-
-    checked = rows.select(*(value.alias(name) for name, value in converted.items()), kept.alias(REJECTED_LINE))
+    if all(is_text.values()):
+        # The CSV parser takes a line without text for one without values.
+        misfit = misfit | (F.col("_line") == "")
+    checked = rows.select(
+        *(value.alias(name) for name, value in converted.items()),
+        F.when(misfit, F.col("_line")).alias(REJECTED_LINE),
+    )
+    fits = F.col(REJECTED_LINE).isNull()
     filled = [
-        F.when(F.col(REJECTED_LINE).isNull(), F.coalesce(F.col(f.name), F.lit(""))).otherwise(F.col(f.name))
-        if is_text[f.name]
-        else F.col(f.name)
+        F.when(fits, F.coalesce(F.col(f.name), F.lit(""))).otherwise(F.col(f.name)) if is_text[f.name] else F.col(f.name)
         for f in fields
     ]
     return checked.select(*(value.alias(f.name) for f, value in zip(fields, filled)), REJECTED_LINE)
-
-
-def _rebuilt_line(record: RecordType) -> Column:
-    """The line again, from fields that are still text."""
-    names = [f.name for f in record.schema.fields]
-    if record.quoted:
-        options = {**record.reader_options, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-        return F.to_csv(F.struct(*names), options)
-    return F.concat_ws(record.separator, *(F.coalesce(F.col(name), F.lit("")) for name in names))
-
-
-def accepted(rows: DataFrame) -> DataFrame:
-    """The rows whose line fitted, without the reject column."""
-    return rows.where(F.col(REJECTED_LINE).isNull()).drop(REJECTED_LINE)
-
-
-def rejected(rows: DataFrame) -> DataFrame:
-    """The lines that did not fit, as one column ``value``."""
-    return rows.where(F.col(REJECTED_LINE).isNotNull()).select(F.col(REJECTED_LINE).alias("value"))

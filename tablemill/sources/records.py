@@ -10,9 +10,12 @@ from pyspark.sql import types as T
 REJECTED_LINE = "rejected_line"
 
 
+FIELD_TYPES = {"bigint": T.LongType(), "double": T.DoubleType(), "string": T.StringType()}
+
+
 @dataclass(frozen=True)
 class RecordType:
-    """Field names and types in line order, the separator, and whether quotes group text."""
+    """Field names and types in line order, the separator, and whether quotes group text or are text themselves."""
 
     name: str
     fields: str
@@ -21,7 +24,8 @@ class RecordType:
 
     @property
     def schema(self) -> T.StructType:
-        return T.StructType.fromDDL(self.fields)
+        pairs = (field.split() for field in self.fields.split(","))
+        return T.StructType([T.StructField(name, FIELD_TYPES[kind]) for name, kind in pairs])
 
     @property
     def landed_schema(self) -> T.StructType:
@@ -37,16 +41,6 @@ class RecordType:
     def header(self) -> str:
         return self.separator.join(f.name for f in self.schema.fields)
 
-    @property
-    def reader_options(self) -> dict[str, str]:
-        """Options for ``from_csv`` and the CSV source; a quote in an unquoted format is plain text."""
-        options = {"sep": self.separator, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED_LINE}
-        if self.quoted:
-            options["escape"] = '"'
-        else:
-            options["quote"] = ""
-        return options
-
 
 # The fields of the five record types, in line order, as the published files have them.
 PLAN_ATTRIBUTES_FIELDS = """

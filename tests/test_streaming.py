@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import time
 from collections import Counter
 
 from tablemill.plans import marketplace
-from tablemill.sources.lines import file_line_stream, record_file_stream
+from tablemill.sources.lines import file_line_stream, stream_below_header
 from tablemill.sources.parsing import accepted, parse_lines, rejected
 from tablemill.sources.records import BENEFITS_COST_SHARING, INSURANCE, SERVICE_AREA
 from tablemill.sources.tables import with_row_id
@@ -76,7 +78,7 @@ def test_four_parts_in_one_stream_keep_equal_lines(spark, tmp_path):
 def test_batches_are_bounded(spark, tmp_path):
     for i in range(3):
         write(tmp_path / "in" / f"{i}.txt", INSURANCE.header, PERSON)
-    stream = record_file_stream(spark, INSURANCE, str(tmp_path / "in"), {"maxFilesPerTrigger": "1"})
+    stream = stream_below_header(spark, str(tmp_path / "in"), {"maxFilesPerTrigger": "1"})
     query = (
         stream.writeStream.format("parquet").option("path", str(tmp_path / "t"))
         .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
@@ -92,6 +94,19 @@ def test_quoted_files_through_a_stream(spark, tmp_path):
     assert (row.ZipCodes, row.PartialCountyJustification, row.County) == ("1, 2", 'says "no"', "")
 
 
+def test_known_headers_are_dropped_by_their_text(spark, tmp_path):
+    lines = [benefit("Dental", "AK"), "", "\t" * 10]
+    for part in ("one", "two"):
+        write(tmp_path / "in" / f"{part}.txt", BENEFITS_COST_SHARING.header)
+        with open(tmp_path / "in" / f"{part}.txt", "a") as file:
+            file.write("\n".join(lines) + "\n")
+    lake = str(tmp_path / "lake")
+    table = marketplace.benefits_cost_sharing(spark, str(tmp_path / "in"), lake, header=BENEFITS_COST_SHARING.header)
+    assert Counter(row.BenefitName for row in table.collect()) == {"Dental": 2, "": 2}
+    kept = rejected(landed(spark, BENEFITS_COST_SHARING, f"{lake}/BenefitsCostSharing")).collect()
+    assert [row.value for row in kept] == ["", ""]
+
+
 def test_each_record_type_has_its_own_place(spark, tmp_path):
     write(tmp_path / "people" / "a.txt", INSURANCE.header, PERSON)
     write(tmp_path / "benefits" / "a.txt", BENEFITS_COST_SHARING.header, benefit("Dental", "AK"))
@@ -129,3 +144,27 @@ def test_row_ids_are_the_same_each_time(spark, tmp_path):
     ids = [bag(with_row_id(spark.read.parquet(str(tmp_path / "t")))) for _ in range(2)]
     assert ids[0] == ids[1]
     assert len({row[0] for row in ids[0]}) == 1000
+
+
+def test_a_late_file_with_an_old_date_is_read(spark, tmp_path):
+    source, lake = tmp_path / "in", str(tmp_path / "lake")
+    for name in ("a", "b"):
+        write(source / f"{name}.txt", INSURANCE.header, PERSON)
+        assert marketplace.insurance(spark, str(source), lake, maxFilesPerTrigger="1").count() >= 1
+    write(source / "late.txt", INSURANCE.header, PERSON)
+    month_ago = time.time() - 30 * 24 * 3600
+    os.utime(source / "late.txt", (month_ago, month_ago))
+    assert marketplace.insurance(spark, str(source), lake, maxFilesPerTrigger="1").count() == 3
+
+
+def test_a_run_that_died_before_its_commit_adds_nothing_twice(spark, tmp_path):
+    """The batch was written but not noted as done, as after the loss of the driver."""
+    source, lake = tmp_path / "in", tmp_path / "lake"
+    write(source / "a.txt", INSURANCE.header, PERSON, PERSON)
+    assert marketplace.insurance(spark, str(source), str(lake)).count() == 2
+    commits = lake / "_checkpoints" / "Insurance" / "commits"
+    for name in ("0", ".0.crc"):
+        (commits / name).unlink()
+    assert marketplace.insurance(spark, str(source), str(lake)).count() == 2
+    write(source / "b.txt", INSURANCE.header, PERSON)
+    assert marketplace.insurance(spark, str(source), str(lake)).count() == 3
