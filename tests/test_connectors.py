@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from unittest.mock import MagicMock
+
 import pytest
 from pyspark.errors import AnalysisException
 
 from tablemill.plans import marketplace
 from tablemill.session import CHECKPOINT_DIR, shared_dir
-from tablemill.sinks.kafka import encoded, publish_options
-from tablemill.sinks.tables import connector_options
-from tablemill.sources.jdbc import WAREHOUSE_TABLES, Connection, Split, jdbc_options, jdbc_table
+from tablemill.sinks.kafka import encoded, publish_lines, publish_options
+from tablemill.sinks.tables import append_collections, connector_options
+from tablemill.sources.jdbc import WAREHOUSE_TABLES, Connection, Split, jdbc_options, jdbc_table, jdbc_tables
 from tablemill.sources.lines import decoded, kafka_line_stream, kafka_options
 from tablemill.sources.records import RECORD_TYPES
 
@@ -38,6 +40,53 @@ def test_jdbc_split_and_predicates_exclude_each_other(spark):
         jdbc_table(spark, DATABASE, "T", Split("ID", 1, 2, 2), ["ID < 5", "ID >= 5"])
 
 
+def test_jdbc_tables_builds_each_table_once():
+    session = MagicMock()
+    reader = session.read.format.return_value
+    tables = jdbc_tables(session, DATABASE, splits={"CDW_SAPP_CUSTOMER": Split("SSN", 0, 100, 8)})
+    assert list(tables) == list(WAREHOUSE_TABLES)
+    assert [call.args for call in session.read.format.call_args_list] == [("jdbc",)] * 3
+    given = [call.kwargs for call in reader.options.call_args_list]
+    assert [options["dbtable"] for options in given] == list(WAREHOUSE_TABLES)
+    assert [options.get("numPartitions") for options in given] == [None, None, "8"]
+
+
+def test_jdbc_predicates_become_one_task_each():
+    session = MagicMock()
+    jdbc_table(session, DATABASE, "T", predicates=["ID < 5", "ID >= 5"])
+    call = session.read.jdbc.call_args
+    assert call.args == (DATABASE.url, "T")
+    assert call.kwargs["predicates"] == ["ID < 5", "ID >= 5"]
+    assert call.kwargs["properties"] == {
+        "driver": "com.mysql.cj.jdbc.Driver", "fetchsize": "10000", "user": "reader", "password": "secret"
+    }
+
+
+def test_publishing_and_collections_write_through_their_connector():
+    lines = MagicMock()
+    publish_lines(lines, "h:9092", "Network")
+    lines.selectExpr.assert_called_once_with("CAST(value AS BINARY) AS value")
+    writer = lines.selectExpr.return_value.write
+    writer.format.assert_called_once_with("kafka")
+    writer.format.return_value.options.assert_called_once_with(**publish_options("h:9092", "Network"))
+
+    branch = MagicMock()
+    append_collections({"BRANCH": branch}, "mongodb", "mongodb://h", "CDW")
+    branch.write.format.assert_called_once_with("mongodb")
+    mode = branch.write.format.return_value.mode
+    mode.assert_called_once_with("append")
+    mode.return_value.options.assert_called_once_with(**connector_options("mongodb://h", "CDW", "BRANCH"))
+
+
+def test_all_topics_of_a_record_type_are_one_stream(monkeypatch):
+    seen = {}
+    monkeypatch.setattr(marketplace, "kafka_line_stream", lambda spark, options: seen.update(options))
+    monkeypatch.setattr(marketplace, "from_lines", lambda lines, record, folder: None)
+    marketplace.from_topics(None, marketplace.BENEFITS_COST_SHARING, kafka_options("h:9092", "any"), "/lake")
+    assert seen["subscribe"] == ",".join(marketplace.TOPICS["BenefitsCostSharing"])
+    assert seen["startingOffsets"] == "earliest"
+
+
 def test_kafka_options():
     assert kafka_options("h:9092", "Network") == {
         "kafka.bootstrap.servers": "h:9092", "subscribe": "Network", "startingOffsets": "earliest"

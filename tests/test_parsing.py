@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from plan_text import physical_plan
 from tablemill.sources import parsing
@@ -211,3 +213,25 @@ def test_filters_do_not_cut_lines_again(spark):
 
 def test_reject_column_comes_last():
     assert INSURANCE.landed_schema.names[-1] == REJECTED_LINE
+
+
+PIECE = st.text(alphabet='ab"\\,\' é', max_size=4)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.lists(PIECE, min_size=9, max_size=13), min_size=20, max_size=40))
+def test_tab_lines_cut_as_plain_python_does(spark, pieces):
+    lines = ["\t".join(fields) for fields in pieces]
+    expected = sorted(tuple(fields) for fields in pieces if len(fields) == 11)
+    assert sorted(good(spark, BENEFITS_COST_SHARING, *lines)) == expected
+    assert bad(spark, BENEFITS_COST_SHARING, *lines) == sorted(
+        line for line, fields in zip(lines, pieces) if len(fields) != 11
+    )
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(PIECE, PIECE), min_size=20, max_size=40))
+def test_quoted_fields_come_back_as_written(spark, pairs):
+    quoted = [tuple('"' + text.replace('"', '""') + '"' for text in pair) for pair in pairs]
+    rows = good(spark, SERVICE_AREA, *(service_area_line(zips, reason) for zips, reason in quoted))
+    assert sorted((row[13], row[14]) for row in rows) == sorted(pairs)
