@@ -19,11 +19,13 @@ def top_name_with_total(
     and map task, so a key with very many names is never gathered in one task, as a window over the key would do.
     """
     per_name = with_keys(df, [key], drop_null_keys).groupBy(key, name).agg(F.count(F.lit(1)).alias("_n"))
-    candidate = F.struct((-F.col("_n")).alias("minus_n"), F.col(name).isNull().alias("unnamed"), F.col(name))
+    candidate = F.struct(
+        (-F.col("_n")).alias("minus_n"), F.col(name).isNull().alias("unnamed"), F.col(name).alias("name")
+    )
     best = per_name.groupBy(key).agg(F.min(candidate).alias("_best"), F.sum("_n").alias(total_name))
     return best.select(
         key,
-        F.col("_best").getField(name).alias(name),
+        F.col("_best.name").alias(name),
         (-F.col("_best.minus_n")).alias(count_name),
         total_name,
     )

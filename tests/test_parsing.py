@@ -167,6 +167,21 @@ def test_lines_with_any_character_stay_whole(spark, tmp_path):
     assert [row.value for row in lines_below_header(spark, str(tmp_path)).collect()] == lines
 
 
+def test_a_file_in_many_splits_loses_one_line_only(spark, tmp_path):
+    lines = [f"{i}\tfemale\t27.9\t0\tyes\tsouthwest\t1.5" for i in range(500)]
+    (tmp_path / "a.txt").write_text("\n".join(["header", *lines]) + "\n")
+    settings_before = {name: spark.conf.get(name) for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for name in settings_before:
+        spark.conf.set(name, "512b")
+    try:
+        found = lines_below_header(spark, str(tmp_path))
+        assert found.rdd.getNumPartitions() > 20
+        assert sorted(row.value for row in found.collect()) == sorted(lines)
+    finally:
+        for name, value in settings_before.items():
+            spark.conf.set(name, value)
+
+
 def test_very_many_fields_do_not_fail_the_job(spark, monkeypatch):
     tabs, commas = "\t" * 300_000, "," * 300_000
     assert bad(spark, INSURANCE, tabs) == [tabs]
