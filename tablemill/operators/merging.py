@@ -20,7 +20,9 @@ def merge_on_key(frames: Sequence[DataFrame], key: str, how: str = "full") -> Da
     return reduce(lambda left, right: left.join(right, on=key, how=how), frames)
 
 
-def merge_counts(frames: Mapping[str, DataFrame], key: str, how: str = "full", drop_null_keys: bool = True) -> DataFrame:
+def merge_counts(
+    frames: Mapping[str, DataFrame], key: str, how: str = "full", drop_null_keys: bool = True
+) -> DataFrame:
     """Rows per key in each of several tables, one column per table: ``full`` or ``inner`` over their keys.
 
     The tables' rows are stacked under the name of their table and counted in one pass with one shuffle.

@@ -7,7 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablemill.operators.counting import count_by_key, distinct_by_key, filtered_count, rate_by_key, top_rate, with_total
+from tablemill.operators.counting import (
+    count_by_key,
+    distinct_by_key,
+    filtered_count,
+    rate_by_key,
+    top_rate,
+    with_total,
+)
 from tablemill.operators.pivots import pivot_counts
 from tablemill.operators.ranking import top_name_with_total
 

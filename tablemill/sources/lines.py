@@ -13,8 +13,9 @@ FILE_STREAM = {"maxFilesPerTrigger": "10000", "maxFileAge": "36500d"}
 
 
 def without_header(lines: DataFrame, header: str | None) -> DataFrame:
-    """Drops lines equal to ``header``. Lines carry no number, so a header is known by its text."""
-    return lines if header is None else lines.where(F.col("value") != F.lit(header))
+    """Drops lines equal to ``header``, with or without a byte order mark. Lines carry no number, so a header is
+    known by its text."""
+    return lines if header is None else lines.where(~F.col("value").isin(header, "\ufeff" + header))
 
 
 def text_lines(spark: SparkSession, path: str, header: str | None = None) -> DataFrame:

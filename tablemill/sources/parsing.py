@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,8 +78,7 @@ def _typed(rows: DataFrame, record: RecordType) -> DataFrame:
         F.when(misfit, F.col("_line")).alias(REJECTED_LINE),
     )
     fits = F.col(REJECTED_LINE).isNull()
-    filled = [
-        F.when(fits, F.coalesce(F.col(f.name), F.lit(""))).otherwise(F.col(f.name)) if is_text[f.name] else F.col(f.name)
-        for f in fields
-    ]
-    return checked.select(*(value.alias(f.name) for f, value in zip(fields, filled)), REJECTED_LINE)
+    filled = {
+        name: F.when(fits, F.coalesce(name, F.lit(""))).otherwise(F.col(name)) for name in is_text if is_text[name]
+    }
+    return checked.withColumns(filled)

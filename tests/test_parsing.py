@@ -147,7 +147,8 @@ def test_files_lose_their_first_line_whatever_it_says(spark, tmp_path):
 def test_rejected_file_lines_keep_their_text(spark, tmp_path):
     wrong_year = service_area_line('"99501, 99502"', '"says ""no"""', year="soon")
     no_year = service_area_line("1", year="")
-    (tmp_path / "a.csv").write_text("\n".join([SERVICE_AREA.header, wrong_year, no_year, service_area_line("2")]) + "\n")
+    lines = [SERVICE_AREA.header, wrong_year, no_year, service_area_line("2")]
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
     rows = record_files(spark, SERVICE_AREA, str(tmp_path))
     assert sorted(row.value for row in rejected(rows).collect()) == sorted([wrong_year, no_year])
     assert accepted(rows).count() == 1
@@ -170,7 +171,8 @@ def test_lines_with_any_character_stay_whole(spark, tmp_path):
 def test_a_file_in_many_splits_loses_one_line_only(spark, tmp_path):
     lines = [f"{i}\tfemale\t27.9\t0\tyes\tsouthwest\t1.5" for i in range(500)]
     (tmp_path / "a.txt").write_text("\n".join(["header", *lines]) + "\n")
-    settings_before = {name: spark.conf.get(name) for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    settings_before = {name: spark.conf.get(name) for name in names}
     for name in settings_before:
         spark.conf.set(name, "512b")
     try:
@@ -195,9 +197,10 @@ def test_very_many_fields_do_not_fail_the_job(spark, monkeypatch):
 
 def test_text_lines_drop_a_known_header(spark, tmp_path):
     line = "19\tfemale\t27.9\t0\tyes\tsouthwest\t1.5"
-    (tmp_path / "a.txt").write_text(f"{INSURANCE.header}\n{line}\n")
-    assert [row.value for row in text_lines(spark, str(tmp_path), INSURANCE.header).collect()] == [line]
-    assert text_lines(spark, str(tmp_path)).count() == 2
+    for name, mark in (("a", ""), ("b", "\ufeff")):
+        (tmp_path / f"{name}.txt").write_text(f"{mark}{INSURANCE.header}\r\n{line}\r\n", newline="")
+    assert [row.value for row in text_lines(spark, str(tmp_path), INSURANCE.header).collect()] == [line] * 2
+    assert text_lines(spark, str(tmp_path)).count() == 4
 
 
 def test_both_ways_of_reading_agree(spark, tmp_path):

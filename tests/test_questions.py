@@ -22,7 +22,8 @@ def areas(spark):
         ("AZ", None, "SERFF", 2014), ("AZ", "West", "SERFF", 2015), ("AZ", "West", "NEW", 2016),
         (None, "Lost", "HIOS", 2014),
     ]
-    return spark.createDataFrame(rows, "StateCode string, ServiceAreaName string, SourceName string, BusinessYear bigint")
+    schema = "StateCode string, ServiceAreaName string, SourceName string, BusinessYear bigint"
+    return spark.createDataFrame(rows, schema)
 
 
 @pytest.fixture(scope="module")

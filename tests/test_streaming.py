@@ -64,7 +64,8 @@ def test_nothing_to_read_gives_an_empty_table(spark, tmp_path):
 def test_four_parts_in_one_stream_keep_equal_lines(spark, tmp_path):
     parts = ["one", "two", "three", "four"]
     for part in parts:
-        write(tmp_path / f"part_{part}" / "x.txt", BENEFITS_COST_SHARING.header, benefit("Dental", "AK"), benefit(part, "AL"))
+        lines = [benefit("Dental", "AK"), benefit(part, "AL")]
+        write(tmp_path / f"part_{part}" / "x.txt", BENEFITS_COST_SHARING.header, *lines)
     write(tmp_path / "other" / "x.txt", BENEFITS_COST_SHARING.header, benefit("Other", "AK"))
 
     for _ in range(2):

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tablemill.functions import text as X
 
 TITLES = [
-    "o'brien", "mary-jane", "mcDONALD", "", "3rd st", "ß straße", "ǆabc", "ΣΑΣ x", "中a", "éa b", "jean\tpaul_x",
+    "o'brien", "mary-jane", "mcDONALD", "", "3rd st", "ß straße", "ǆabc", "ΣΑΣ x", "中a", "éa b",
+    "jean\tpaul_x",
     "ﬁne ªb ⅷx", "a.b c", "don’t", "𝐀b 𐐨𐐩", "  two  spaces ", "ALL CAPS", "x", "line\nbreak",
     "\ufdd0 marked \ufdd0text o'brien",
 ]

@@ -79,7 +79,9 @@ def test_clean_customer(spark):
 
 def test_cleaning_is_one_narrow_native_step(spark):
     for df in (
-        warehouse.clean_branch(branch(spark)), warehouse.clean_card(card(spark)), warehouse.clean_customer(customer(spark))
+        warehouse.clean_branch(branch(spark)),
+        warehouse.clean_card(card(spark)),
+        warehouse.clean_customer(customer(spark)),
     ):
         plan = physical_plan(df)
         for word in ("Exchange", "Join", "EvalPython", "Sort"):
