@@ -6,7 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablemill.sources.lines import kafka_line_stream
+from tablemill.sinks.kafka import publish_lines
+from tablemill.sources.lines import kafka_line_stream, lines_below_header
 from tablemill.sources.parsing import accepted
 from tablemill.sources.records import (
     BENEFITS_COST_SHARING,
@@ -52,6 +53,11 @@ def from_lines(lines: DataFrame, record: RecordType, folder: str) -> DataFrame:
     return accepted(ingest_lines(lines, record, target, checkpoint))
 
 
+def publish_files(spark: SparkSession, path: str, servers: str, topic: str) -> None:
+    """Publishes the lines of delimited files, without the first line of each, to a topic."""
+    publish_lines(lines_below_header(spark, path), servers, topic)
+
+
 def from_topics(spark: SparkSession, record: RecordType, options: Mapping[str, str], folder: str) -> DataFrame:
     """Lands new messages of all topics of a record type in one stream; ``options`` from ``kafka_options``."""
     subscribed = {**options, "subscribe": ",".join(TOPICS[record.name])}

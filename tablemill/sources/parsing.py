@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +41,7 @@ def rejected(rows: DataFrame) -> DataFrame:
 def _cut_at_separators(text: DataFrame, record: RecordType) -> DataFrame:
     """Adds ``_fields``; a rest beyond the last field stays in one piece, so any number of separators is harmless."""
     names = record.schema.names
-    parts = text.withColumn("_parts", F.split("_line", record.separator, len(names) + 1))
+    parts = text.withColumn("_parts", F.split("_line", re.escape(record.separator), len(names) + 1))
     misfit = F.when(F.size("_parts") != len(names), F.col("_line"))
     fields = [F.get("_parts", F.lit(i)).alias(name) for i, name in enumerate(names)]
     return parts.withColumn("_fields", F.struct(*fields, misfit.alias(REJECTED_LINE)))

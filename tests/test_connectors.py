@@ -78,6 +78,18 @@ def test_publishing_and_collections_write_through_their_connector():
     mode.return_value.options.assert_called_once_with(**connector_options("mongodb://h", "CDW", "BRANCH"))
 
 
+def test_published_files_lose_their_headers(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.txt").write_text("header\nx\ty\nz\n")
+    sent = {}
+
+    def publish(lines, servers, topic):
+        sent[servers, topic] = [row.value for row in lines.collect()]
+
+    monkeypatch.setattr(marketplace, "publish_lines", publish)
+    marketplace.publish_files(spark, str(tmp_path), "h:9092", "Network")
+    assert sent == {("h:9092", "Network"): ["x\ty", "z"]}
+
+
 def test_all_topics_of_a_record_type_are_one_stream(monkeypatch):
     seen = {}
     monkeypatch.setattr(marketplace, "kafka_line_stream", lambda spark, options: seen.update(options))

@@ -220,6 +220,13 @@ def test_a_record_may_have_a_field_named_value(spark):
     assert good(spark, record, "1,a") == [(1, "a")]
 
 
+@pytest.mark.parametrize("separator", ["|", ".", ";", "\\", "||"])
+def test_separators_are_plain_text(spark, separator):
+    record = RecordType("Pairs", "id bigint, a string, b string", separator, quoted=False)
+    assert good(spark, record, separator.join(["1", "x,y", ""])) == [(1, "x,y", "")]
+    assert bad(spark, record, separator.join(["1", "x"])) == [separator.join(["1", "x"])]
+
+
 def test_filters_do_not_cut_lines_again(spark):
     plan = physical_plan(accepted(parse_lines(lines_of(spark, "x"), INSURANCE)).where("smoker = 'yes'"))
     assert plan.count("split(") == 1, plan
