@@ -85,6 +85,11 @@ def question_e(spark, sf_dir):
     return Q.smoking_mothers(view(spark, sf_dir, "insurance"))
 
 
+@query("question_f_answers", f"SELECT region, {_counters('smoker', ['no', 'yes'])} FROM {_INSURANCE} GROUP BY region")
+def question_f_answers(spark, sf_dir):
+    return Q.persons_by_smoking(view(spark, sf_dir, "insurance"), ["no", "yes"])
+
+
 @query(
     "question_f_counts",
     f"SELECT region, count(*) AS smokers FROM {_INSURANCE} WHERE smoker = 'yes' GROUP BY region",

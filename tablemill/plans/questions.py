@@ -67,6 +67,11 @@ def smoking_mothers(insurance: DataFrame) -> DataFrame:
     return with_total(filtered_count(insurance, condition, [REGION], name="mothers"), REGION, name="mothers")
 
 
+def persons_by_smoking(insurance: DataFrame, answers: Sequence[str] | None = None) -> DataFrame:
+    """F as counted: rows per region, one column per answer to the smoking question."""
+    return pivot_counts(insurance, REGION, SMOKER, answers)
+
+
 def smokers_per_region(insurance: DataFrame) -> DataFrame:
     """F as charted: smokers per region that has any."""
     return filtered_count(insurance, F.col(SMOKER) == YES, [REGION], name="smokers")

@@ -83,6 +83,7 @@ def test_e(insurance):
 
 
 def test_f(insurance):
+    assert as_dict(Q.persons_by_smoking(insurance)) == {"ne": (4, 4), "sw": (1, 2), "se": (1, None)}
     assert as_dict(Q.smokers_per_region(insurance)) == {"ne": 4, "sw": 2}
     rates = as_dict(Q.smoker_rate_per_region(insurance))
     assert rates == {"ne": (4, 8, 0.5), "sw": (2, 3, 2 / 3), "se": (0, 1, 0.0)}

@@ -68,8 +68,8 @@ def test_lower_case(spark):
 
 
 def test_safe_int(spark):
-    assert values(spark, ["01234", "abc", "", " 7 ", "99999999999", None], "string", X.safe_int) == [
-        1234, None, None, 7, None, None
+    assert values(spark, ["01234", "abc", "", " 7 ", "1.5", "99999999999", None], "string", X.safe_int) == [
+        1234, None, None, 7, None, None, None
     ]
 
 
