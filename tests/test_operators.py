@@ -120,7 +120,7 @@ def brute_pivot(rows, values):
     return {k: tuple(counts.get(v) for v in values) for k, counts in table.items()}
 
 
-@pytest.mark.parametrize("limit", [64, 1])
+@pytest.mark.parametrize("limit", [32, 1])
 def test_pivot_both_ways(df, rows, monkeypatch, limit):
     """The second limit sends the same counts through the two-step pivot."""
     monkeypatch.setattr(pivots, "MAX_CONDITIONAL_COUNTS", limit)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import os
 import time
 from collections import Counter
@@ -108,6 +109,18 @@ def test_known_headers_are_dropped_by_their_text(spark, tmp_path):
     assert [row.value for row in kept] == ["", ""]
 
 
+def test_compressed_files_and_dated_folders(spark, tmp_path):
+    folder = tmp_path / "in" / "day=2014-03-19"
+    folder.mkdir(parents=True)
+    with gzip.open(folder / "a.txt.gz", "wt") as file:
+        file.write(f"{INSURANCE.header}\n{PERSON}\n")
+    write(folder / "b.txt", INSURANCE.header, PERSON)
+    for name, header in (("one", None), ("two", INSURANCE.header)):
+        table = marketplace.insurance(spark, str(tmp_path / "in"), str(tmp_path / name), header=header)
+        assert table.columns == INSURANCE.schema.names
+        assert table.count() == 2
+
+
 def test_each_record_type_has_its_own_place(spark, tmp_path):
     write(tmp_path / "people" / "a.txt", INSURANCE.header, PERSON)
     write(tmp_path / "benefits" / "a.txt", BENEFITS_COST_SHARING.header, benefit("Dental", "AK"))
