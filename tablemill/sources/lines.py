@@ -7,9 +7,18 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A batch takes on this many files unless told otherwise, and a file counts as new whatever its age: by default Spark
-# passes over files that are a week older than the newest one it has read.
-FILE_STREAM = {"maxFilesPerTrigger": "10000", "maxFileAge": "36500d"}
+FILES_PER_BATCH = "10000"
+
+
+def file_stream_options(options: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Bounds a batch to a number of files unless ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` is given.
+
+    A file counts as new whatever its age. By default Spark passes over files a week older than the newest one read.
+    """
+    chosen = {"maxFileAge": "36500d", **(options or {})}
+    if "maxBytesPerTrigger" not in chosen:
+        chosen.setdefault("maxFilesPerTrigger", FILES_PER_BATCH)
+    return chosen
 
 
 def without_header(lines: DataFrame, header: str | None) -> DataFrame:
@@ -25,9 +34,8 @@ def text_lines(spark: SparkSession, path: str, header: str | None = None) -> Dat
 def file_line_stream(
     spark: SparkSession, path: str, header: str | None = None, options: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Lines of the files below ``path``, present and future. ``maxFilesPerTrigger`` in ``options`` bounds what one
-    batch takes on."""
-    return without_header(spark.readStream.options(**{**FILE_STREAM, **(options or {})}).text(path), header)
+    """Lines of the files below ``path``, present and future; ``options`` as in :func:`file_stream_options`."""
+    return without_header(spark.readStream.options(**file_stream_options(options)).text(path), header)
 
 
 def kafka_options(
@@ -65,8 +73,8 @@ def lines_below_header(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_below_header(spark: SparkSession, path: str, options: Mapping[str, str] | None = None) -> DataFrame:
-    """The streaming form of :func:`lines_below_header`; ``options`` as in :func:`file_line_stream`."""
-    return _whole_lines(_header_dropping(spark.readStream.options(**{**FILE_STREAM, **(options or {})})).load(path))
+    """The streaming form of :func:`lines_below_header`; ``options`` as in :func:`file_stream_options`."""
+    return _whole_lines(_header_dropping(spark.readStream.options(**file_stream_options(options))).load(path))
 
 
 def _header_dropping(reader):

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablemill.sources.lines import FILE_STREAM, file_line_stream, stream_below_header
+from tablemill.sources.lines import file_line_stream, file_stream_options, stream_below_header
 from tablemill.sources.parsing import accepted, parse_lines
 from tablemill.sources.records import RecordType
 from tablemill.sources.tables import with_row_id
@@ -46,7 +46,7 @@ def forward(
     options: Mapping[str, str] | None = None,
 ) -> None:
     """Sends the accepted rows that have landed since the last run on to another store, each under its own ``_id``."""
-    rows = spark.readStream.schema(record.landed_schema).options(**FILE_STREAM).parquet(source)
+    rows = spark.readStream.schema(record.landed_schema).options(**file_stream_options()).parquet(source)
     land(accepted(with_row_id(rows)), target, checkpoint, fmt, options)
 
 
@@ -68,8 +68,9 @@ def ingest_files(
     """From delimited files with header lines to the landed table.
 
     ``path`` may be a pattern that covers several parts; they are taken in by one stream, a bounded number of files
-    (``maxFilesPerTrigger``) per batch. Files lose their first line. Where the text of that line is known, giving it
-    as ``header`` saves a third of the time, since lines can then be read as plain text.
+    (``maxFilesPerTrigger``) or bytes (``maxBytesPerTrigger``) per batch. Files lose their first line. Where the text
+    of that line is known, giving it as ``header`` saves a third of the time, since lines can then be read as plain
+    text.
     """
     if header is None:
         lines = stream_below_header(spark, path, options)

@@ -118,6 +118,16 @@ def test_kafka_without_its_connector_fails_at_once(spark):
         kafka_line_stream(spark, kafka_options("h:9092", "Network"))
 
 
+def test_jdbc_without_its_driver_fails_at_once(spark):
+    with pytest.raises(Exception, match="com.mysql.cj.jdbc.Driver"):
+        jdbc_table(spark, DATABASE, "CDW_SAPP_BRANCH", Split("BRANCH_CODE", 1, 1000, 4))
+
+
+def test_collections_without_their_connector_fail_at_once(spark):
+    with pytest.raises(Exception, match="mongodb"):
+        append_collections({"BRANCH": spark.range(1)}, "mongodb", "mongodb://h", "CDW")
+
+
 def test_message_text_survives_the_bytes(spark):
     lines = spark.createDataFrame([("grüße\t中",), ("",)], "value string")
     assert encoded(lines).dtypes == [("value", "binary")]

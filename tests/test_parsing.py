@@ -195,6 +195,15 @@ def test_very_many_fields_do_not_fail_the_job(spark, monkeypatch):
     assert bad(spark, SERVICE_AREA, line) == [line]
 
 
+def test_line_breaks_inside_a_message_are_text(spark):
+    for last in ("No\nextra", "No\r\n", "\n"):
+        line = service_area_line("1\n2").removesuffix("No") + last
+        row = good(spark, SERVICE_AREA, line)[0]
+        assert (row[13], row[17]) == ("1\n2", last)
+    fields = [f"a\n{i}\r" for i in range(11)]
+    assert good(spark, BENEFITS_COST_SHARING, "\t".join(fields)) == [tuple(fields)]
+
+
 def test_text_lines_drop_a_known_header(spark, tmp_path):
     line = "19\tfemale\t27.9\t0\tyes\tsouthwest\t1.5"
     for name, mark in (("a", ""), ("b", "\ufeff")):

@@ -7,8 +7,10 @@ import os
 import time
 from collections import Counter
 
+import pytest
+
 from tablemill.plans import marketplace
-from tablemill.sources.lines import file_line_stream, stream_below_header
+from tablemill.sources.lines import file_line_stream, file_stream_options, stream_below_header
 from tablemill.sources.parsing import accepted, parse_lines, rejected
 from tablemill.sources.records import BENEFITS_COST_SHARING, INSURANCE, SERVICE_AREA
 from tablemill.sources.tables import with_row_id
@@ -77,10 +79,11 @@ def test_four_parts_in_one_stream_keep_equal_lines(spark, tmp_path):
     assert names == {"Dental": 4, **{part: 1 for part in parts}}
 
 
-def test_batches_are_bounded(spark, tmp_path):
+@pytest.mark.parametrize("bound", [{"maxFilesPerTrigger": "1"}, {"maxBytesPerTrigger": "1"}])
+def test_batches_are_bounded(spark, tmp_path, bound):
     for i in range(3):
         write(tmp_path / "in" / f"{i}.txt", INSURANCE.header, PERSON)
-    stream = stream_below_header(spark, str(tmp_path / "in"), {"maxFilesPerTrigger": "1"})
+    stream = stream_below_header(spark, str(tmp_path / "in"), bound)
     query = (
         stream.writeStream.format("parquet").option("path", str(tmp_path / "t"))
         .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
@@ -182,3 +185,9 @@ def test_a_run_that_died_before_its_commit_adds_nothing_twice(spark, tmp_path):
     assert marketplace.insurance(spark, str(source), str(lake)).count() == 2
     write(source / "b.txt", INSURANCE.header, PERSON)
     assert marketplace.insurance(spark, str(source), str(lake)).count() == 3
+
+
+def test_batches_have_a_bound_unless_one_is_given():
+    assert file_stream_options()["maxFilesPerTrigger"] == "10000"
+    assert file_stream_options({"maxFilesPerTrigger": "5"})["maxFilesPerTrigger"] == "5"
+    assert "maxFilesPerTrigger" not in file_stream_options({"maxBytesPerTrigger": "1g"})
