@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from tablemill.sinks.kafka import publish_lines
-from tablemill.sources.lines import kafka_line_stream, lines_below_header
+from tablemill.sources.lines import kafka_line_stream, kafka_options, lines_below_header
 from tablemill.sources.parsing import accepted
 from tablemill.sources.records import (
     BENEFITS_COST_SHARING,
@@ -58,10 +58,10 @@ def publish_files(spark: SparkSession, path: str, servers: str, topic: str) -> N
     publish_lines(lines_below_header(spark, path), servers, topic)
 
 
-def from_topics(spark: SparkSession, record: RecordType, options: Mapping[str, str], folder: str) -> DataFrame:
-    """Lands new messages of all topics of a record type in one stream; ``options`` from ``kafka_options``."""
-    subscribed = {**options, "subscribe": ",".join(TOPICS[record.name])}
-    return from_lines(kafka_line_stream(spark, subscribed), record, folder)
+def from_topics(spark: SparkSession, record: RecordType, servers: str, folder: str, **bounds: int) -> DataFrame:
+    """Lands new messages of all topics of a record type in one stream; ``bounds`` as in ``kafka_options``."""
+    options = kafka_options(servers, ",".join(TOPICS[record.name]), **bounds)
+    return from_lines(kafka_line_stream(spark, options), record, folder)
 
 
 def plan_attributes(

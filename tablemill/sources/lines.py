@@ -45,7 +45,8 @@ def kafka_options(
     max_offsets_per_trigger: int | None = None,
     min_partitions: int | None = None,
 ) -> dict[str, str]:
-    """``starting_offsets`` holds for the first run; later runs go on from their checkpoint.
+    """``topic`` may be a list with commas. ``starting_offsets`` holds for the first run; later runs go on from their
+    checkpoint.
 
     ``min_partitions`` above the topic's own number cuts large topic partitions into several tasks.
     """

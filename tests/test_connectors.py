@@ -94,9 +94,17 @@ def test_all_topics_of_a_record_type_are_one_stream(monkeypatch):
     seen = {}
     monkeypatch.setattr(marketplace, "kafka_line_stream", lambda spark, options: seen.update(options))
     monkeypatch.setattr(marketplace, "from_lines", lambda lines, record, folder: None)
-    marketplace.from_topics(None, marketplace.BENEFITS_COST_SHARING, kafka_options("h:9092", "any"), "/lake")
-    assert seen["subscribe"] == ",".join(marketplace.TOPICS["BenefitsCostSharing"])
-    assert seen["startingOffsets"] == "earliest"
+    marketplace.from_topics(
+        None, marketplace.BENEFITS_COST_SHARING, "h:9092", "/lake", max_offsets_per_trigger=10, min_partitions=64
+    )
+    assert seen == {
+        "kafka.bootstrap.servers": "h:9092",
+        "subscribe": "BenefitsCostSharing_partOne,BenefitsCostSharing_partTwo,"
+        "BenefitsCostSharing_partThree,BenefitsCostSharing_partFour",
+        "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "10",
+        "minPartitions": "64",
+    }
 
 
 def test_kafka_options():
