@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablemill.sources.records import REJECTED_LINE, RecordType
 
-# The CSV parser fails the job on a line with more fields than this, so such a line is rejected without being cut.
+# The CSV parser fails the job on a line with more fields than this, so such a line is kept from it and rejected.
 MAX_CSV_FIELDS = 200_000
 
 
@@ -24,7 +24,12 @@ def parse_lines(lines: DataFrame, record: RecordType) -> DataFrame:
     it would be cut again for every field that the filter looks at.
     """
     text = lines.select(F.coalesce("value", F.lit("")).alias("_line"))
-    cut = _cut_with_quotes(text, record) if record.quoted else _cut_at_separators(text, record)
+    names = record.schema.names
+    parts = text.withColumn("_parts", F.split("_line", re.escape(record.separator), len(names) + 1))
+    fields = _plain_fields(names)
+    if record.quoted:
+        fields = F.when(_needs_csv_parser(record), _quoted_fields(record)).otherwise(fields)
+    cut = parts.withColumn("_fields", fields)
     return _typed(cut.select("_line", F.inline(F.array("_fields"))), record)
 
 
@@ -38,20 +43,22 @@ def rejected(rows: DataFrame) -> DataFrame:
     return rows.where(F.col(REJECTED_LINE).isNotNull()).select(F.col(REJECTED_LINE).alias("value"))
 
 
-def _cut_at_separators(text: DataFrame, record: RecordType) -> DataFrame:
-    """Adds ``_fields``; a rest beyond the last field stays in one piece, so any number of separators is harmless."""
-    names = record.schema.names
-    parts = text.withColumn("_parts", F.split("_line", re.escape(record.separator), len(names) + 1))
+def _plain_fields(names: list[str]) -> Column:
+    """Takes what ``split`` has cut; a rest beyond the last field is in one piece, so it may hold any number of them."""
     misfit = F.when(F.size("_parts") != len(names), F.col("_line"))
-    fields = [F.get("_parts", F.lit(i)).alias(name) for i, name in enumerate(names)]
-    return parts.withColumn("_fields", F.struct(*fields, misfit.alias(REJECTED_LINE)))
+    return F.struct(
+        *(F.get("_parts", F.lit(i)).alias(name) for i, name in enumerate(names)), misfit.alias(REJECTED_LINE)
+    )
 
 
-def _cut_with_quotes(text: DataFrame, record: RecordType) -> DataFrame:
-    """Adds ``_fields``, where the CSV parser has put the lines with too few or too many fields aside."""
+def _needs_csv_parser(record: RecordType) -> Column:
+    """Only a line with quotes in it does; one with too many separators for the parser is left to ``split``."""
     line = F.col("_line")
     separators = F.length(line) - F.length(F.replace(line, F.lit(record.separator), F.lit("")))
-    harmless = (F.length(line) < MAX_CSV_FIELDS) | (separators < MAX_CSV_FIELDS)
+    return F.contains(line, F.lit('"')) & ((F.length(line) < MAX_CSV_FIELDS) | (separators < MAX_CSV_FIELDS))
+
+
+def _quoted_fields(record: RecordType) -> Column:
     options = {
         "sep": record.separator,
         "escape": '"',
@@ -59,7 +66,7 @@ def _cut_with_quotes(text: DataFrame, record: RecordType) -> DataFrame:
         "columnNameOfCorruptRecord": REJECTED_LINE,
         "maxColumns": str(MAX_CSV_FIELDS),
     }
-    return text.withColumn("_fields", F.from_csv(F.when(harmless, line), record.text_schema.toDDL(), options))
+    return F.from_csv("_line", record.text_schema.toDDL(), options)
 
 
 def _typed(rows: DataFrame, record: RecordType) -> DataFrame:
@@ -72,9 +79,6 @@ def _typed(rows: DataFrame, record: RecordType) -> DataFrame:
     for name, value in converted.items():
         if not is_text[name]:
             misfit = misfit | value.isNull()
-    if all(is_text.values()):
-        # The CSV parser takes a line without text for one without values.
-        misfit = misfit | (F.col("_line") == "")
     checked = rows.select(
         *(value.alias(name) for name, value in converted.items()),
         F.when(misfit, F.col("_line")).alias(REJECTED_LINE),

@@ -193,6 +193,10 @@ def test_very_many_fields_do_not_fail_the_job(spark, monkeypatch):
     monkeypatch.setattr(parsing, "MAX_CSV_FIELDS", 100)
     line = service_area_line(f'"{many_zips}"')
     assert bad(spark, SERVICE_AREA, line) == [line]
+    all_text = RecordType("Pairs", "a string, b string", ",", quoted=True)
+    assert bad(spark, all_text, f'x,"{many_zips}"') == [f'x,"{many_zips}"']
+    assert good(spark, all_text, 'x,"y, z"', "x,y", ",") == [("x", "y, z"), ("x", "y"), ("", "")]
+    assert bad(spark, all_text, "", '"', "x") == ["", '"', "x"]
 
 
 def test_line_breaks_inside_a_message_are_text(spark):
