@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+import acceptance
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables here")
@@ -38,7 +39,7 @@ def _bag(columns, rows):
 KINDS = {"INTEGER": "int", "BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean"}
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(acceptance.ORACLES))
 def test_query_matches_sql(spark, duck, name):
     ours = entry_module.queries()[name](spark, SF_DIR)
     result = duck.sql(entry_module.oracle_sql()[name])
@@ -53,7 +54,7 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_queries_without_sql(spark):
-    without = set(entry_module.queries()) - set(entry_module.oracle_sql())
+    without = set(acceptance.QUERIES) - set(entry_module.oracle_sql())
     assert without == {"sample_rows"}
     assert entry_module.queries()["sample_rows"](spark, SF_DIR).count() == 2
 
