@@ -12,7 +12,7 @@ import os
 from array import array
 from collections.abc import Iterable
 
-MEMO_WORDS = 400_000
+MEMO_WORDS = 900_000
 
 
 def _load(path: str):

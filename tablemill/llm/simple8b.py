@@ -49,7 +49,7 @@ def pack(ids: np.ndarray) -> bytes:
     for k in range(14, -1, -1):  # from few ids to many: the last selector that fits takes most
         fits = _windows_max(width, int(SLOTS[k]), n + 1) <= BITS[k]
         selector[fits] = k
-    step, starts, i = SLOTS[selector].tolist(), [], 0
+    step, starts, i = SLOTS.astype(np.uint8)[selector].tobytes(), [], 0
     while i < n:
         starts.append(i)
         i += step[i]
@@ -58,10 +58,8 @@ def pack(ids: np.ndarray) -> bytes:
     words = chosen.astype(np.uint64) << np.uint64(60)
     for k in np.unique(chosen):
         at = np.flatnonzero(chosen == k)
-        if BITS[k]:
-            shifts = np.arange(SLOTS[k], dtype=np.uint64) * np.uint64(BITS[k])
-            taken = plain[starts[at][:, None] + np.arange(SLOTS[k])]
-            words[at] |= np.bitwise_or.reduce(taken << shifts, axis=1)
+        for slot in range(SLOTS[k] if BITS[k] else 0):
+            words[at] |= plain[starts[at] + slot] << np.uint64(BITS[k] * slot)
     positions = np.zeros(len(escapes) + len(escapes) % 2, "<u4")
     positions[: len(escapes)] = escapes
     head = np.array([n, len(words), len(escapes), 0], "<u4")
