@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemill.llm import packing, simhash, simple8b
+from tablemill.llm import lempel_ziv, packing, pieces, simhash, simple8b, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,19 @@ def op1_simple8b(spark, sf_dir):
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op4_shared_prefix(spark, sf_dir):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    rows = pieces.decode_pieces(pieces.encode_pieces(table(spark, sf_dir, "documents"), path), path)
+    return rows.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_pieces"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.col("text")).alias("round_trip"),
+    )
+
+
 @query
 def op5_sum_of_squares(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -43,3 +56,24 @@ def op5_sum_of_squares(spark, sf_dir):
 def op6_simhash(spark, sf_dir):
     rows = simhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op8_cumulative_link(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fitted(spark, docs, toxicity.grades(labels))
+    return toxicity.score(docs, model).withColumn("toxic", F.col("p_any") >= 0.5)
+
+
+@query
+def op9_lempel_ziv(spark, sf_dir):
+    rows = lempel_ziv.compare_with_next(spark, table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
