@@ -23,10 +23,10 @@ from pyspark.sql import DataFrame
 from tablemill.llm.common import binary_column, keyed
 
 MARK = "▁"
-MEMO_WORDS = 600_000
-MEMO_PAIRS = 1_000_000
-#: Texts are taken together up to so many bytes; their distinct words are sorted together.
-BATCH_BYTES = 4_000_000
+MEMO_WORDS = 400_000
+MEMO_PAIRS = 400_000
+#: So many texts are taken together; their distinct words are sorted together.
+BATCH_ROWS = 512
 
 # Fixed values of the model file's format: kinds of piece and of model.
 NORMAL, BYTE = 1, 6
@@ -204,22 +204,21 @@ def piece_model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
+def _slices(batches):
+    for batch in batches:
+        for start in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(start, BATCH_ROWS)
+
+
 def encode_pieces(docs: DataFrame, model_path: str) -> DataFrame:
     """``doc_id``, ``text`` and ``ids`` (little-endian unsigned 32-bit integers) for every row; null texts are empty,
     empty texts have no ids. Map-only: words are remembered per worker, so nothing is shuffled."""
 
     def run(batches):
         model = piece_model(model_path)
-        for batch in batches:
-            texts = binary_column(batch, "text")
-            start, held = 0, 0
-            for i, raw in enumerate(texts):
-                held += len(raw)
-                if held >= BATCH_BYTES or i == len(texts) - 1:
-                    ids = model.encode([t.decode("utf-8", "replace") for t in texts[start : i + 1]])
-                    part = batch.slice(start, i + 1 - start)
-                    yield pa.record_batch([*part.columns, pa.array(ids, pa.binary())], names=["doc_id", "text", "ids"])
-                    start, held = i + 1, 0
+        for part in _slices(batches):
+            ids = model.encode([t.decode("utf-8", "replace") for t in binary_column(part, "text")])
+            yield pa.record_batch([*part.columns, pa.array(ids, pa.binary())], names=["doc_id", "text", "ids"])
 
     return keyed(docs).select("doc_id", "text").mapInArrow(run, "doc_id bigint, text string, ids binary")
 
@@ -229,9 +228,11 @@ def decode_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
 
     def run(batches):
         model = piece_model(model_path)
-        for batch in batches:
-            texts = [None if ids is None else model.decode(ids) for ids in batch.column("ids").to_pylist()]
-            yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], names=["doc_id", "text", "ids", "decoded"])
+        for part in _slices(batches):
+            texts = [None if ids is None else model.decode(ids) for ids in part.column("ids").to_pylist()]
+            yield pa.record_batch(
+                [*part.columns, pa.array(texts, pa.string())], names=["doc_id", "text", "ids", "decoded"]
+            )
 
     rows = encoded.select("doc_id", "text", "ids")
     return rows.mapInArrow(run, "doc_id bigint, text string, ids binary, decoded string")
