@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemill.llm import lempel_ziv, packing, pieces, simhash, simple8b, topk, toxicity
+from tablemill.llm import lempel_ziv, packing, pieces, simhash, simple8b, substrings, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,12 @@ def op1_simple8b(spark, sf_dir):
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op2_super_kmers(spark, sf_dir):
+    rows = substrings.without_repeats(spark, table(spark, sf_dir, "documents"))
+    return rows.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op4_shared_prefix(spark, sf_dir):
     path = public_tokenizers.path("piece_bpe_32k.model")
