@@ -6,11 +6,13 @@ them. Equal windows have equal minimisers, so packed strings are dealt to bucket
 are sorted and equal ones counted. The windows of one super-k-mer all differ, as each has its minimiser elsewhere.
 
 Minimisers are counted first. One that begins a single super-k-mer has no repeated window, so its string never
-travels. The windows of very frequent minimisers travel one by one and are dealt by their own hashes.
+travels. The windows of very frequent minimisers travel one by one: equal ones are counted before they are dealt.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -28,6 +30,7 @@ BUCKET_STRINGS = 5000
 FREQUENT = 5000
 _MEMO_WORDS = 500_000
 _FIRST_ID = -(1 << 63)
+_BLANK = re.compile(b" ")
 
 
 class _Hashes(dict):
@@ -77,24 +80,27 @@ def _minimisers(batches, window: int):
         )
 
 
-_PIECE = "_d bigint, _h bigint, start int, key bigint, id binary, packed binary"
+_PIECE = "_d bigint, _h bigint, start int, key bigint, packed binary"
 
 
-def _cut_strings(batches, window: int, frequent: np.ndarray):
-    """The packed strings of a document's chosen super-k-mers; ``id`` is a 128-bit hash of the string."""
+def _cut_strings(batches, window: int, often: bool):
+    """The packed strings of a document's chosen super-k-mers, or of each window of those with frequent minimisers,
+    which have a key of their own then."""
     for batch in batches:
         out = []
-        for d, h, raw, starts, counts, keys in zip(
+        for d, h, raw, chosen in zip(
             *(batch.column(c).to_pylist() for c in ("_d", "_h")),
             binary_column(batch, "text"),
-            *(batch.column(c).to_pylist() for c in ("starts", "counts", "keys")),
+            batch.column("chosen").to_pylist(),
         ):
             words = raw.split()
-            for start, count, key, often in zip(starts, counts, keys, np.isin(keys, frequent).tolist()):
+            for each in chosen:
+                start, count = each["starts"], each["counts"]
+                if each["often"] != often:
+                    continue
                 for first, n in ((i, 1) for i in range(start, start + count)) if often else ((start, count),):
                     packed = b" ".join(words[first : first + n - 1 + window])
-                    own = xxhash.xxh3_128_digest(packed)
-                    out.append((d, h, first, int.from_bytes(own[:8], "little", signed=True) if often else key, own, packed))
+                    out.append((d, h, first, xxhash.xxh64_intdigest(packed) >> 1 if often else each["key"], packed))
             if len(out) >= 4096:
                 yield _pieces(out)
                 out = []
@@ -103,71 +109,77 @@ def _cut_strings(batches, window: int, frequent: np.ndarray):
 
 
 def _pieces(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
     names = [f.split()[0] for f in _PIECE.split(", ")]
     return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
 
-def repeated_windows(strings: list[tuple[bytes, bytes, int]], window: int) -> list[tuple[bytes, list[int]]]:
-    """Of a bucket's distinct packed strings (id, string, copies): for each id that has any, its windows that occur
-    more than once in the bucket. Windows are sorted, so equal ones stand together."""
-    if len(strings) == 1 and strings[0][2] == 1:
+def repeated_windows(strings: list[bytes], window: int) -> list[tuple[int, list[int]]]:
+    """Of a bucket's packed strings: for each place in the list that has any, its windows that occur more than once in
+    the bucket. Equal strings are taken together; windows are sorted, so equal ones stand together."""
+    if len(strings) == 1:
         return []
-    windows: list[tuple[bytes, int, int, int]] = []
-    for at, (_, packed, copies) in enumerate(strings):
-        ends = [i for i, byte in enumerate(packed) if byte == 32]
-        begins = [0, *(e + 1 for e in ends)]
-        ends.append(len(packed))
-        windows.extend(
-            (packed[begins[i] : ends[i + window - 1]], at, i, copies) for i in range(len(begins) - window + 1)
-        )
+    copies: dict[bytes, list[int]] = {}
+    for at, packed in enumerate(strings):
+        copies.setdefault(packed, []).append(at)
+    windows: list[tuple[bytes, int, bytes]] = []
+    for packed in copies:
+        ends = [*(m.start() for m in _BLANK.finditer(packed)), len(packed)]
+        begins = [0, *(e + 1 for e in ends[:-1])]
+        windows.extend((packed[begins[i] : ends[i + window - 1]], i, packed) for i in range(len(begins) - window + 1))
     windows.sort()
-    found: dict[int, list[int]] = {}
+    found: dict[bytes, list[int]] = {}
     i = 0
     while i < len(windows):
-        end, total = i, 0
+        end = i + 1
         while end < len(windows) and windows[end][0] == windows[i][0]:
-            total += windows[end][3]
             end += 1
-        if total > 1:
-            for _, at, place, _ in windows[i:end]:
-                found.setdefault(at, []).append(place)
+        if end - i > 1 or len(copies[windows[i][2]]) > 1:
+            for _, place, packed in windows[i:end]:
+                found.setdefault(packed, []).append(place)
         i = end
-    return [(strings[at][0], sorted(places)) for at, places in found.items()]
+    return [(at, sorted(places)) for packed, places in found.items() for at in copies[packed]]
 
 
 def _count_buckets(batches, window: int):
-    """Rows come sorted by key; a bucket may go on in the next batch."""
-    key, strings = None, []
+    """Spans of repeated windows in their documents. Rows come sorted by key; a bucket may go on in the next batch."""
+    key, held = None, []
 
-    def flush(out):
-        for own, places in repeated_windows(strings, window):
-            out.append((key, own, places))
+    def spans():
+        for at, places in repeated_windows([row[3] for row in held], window):
+            d, h, start, _ = held[at]
+            for first, last in _runs(places):
+                yield d, h, (start + first) << 32 | (start + last + window)
 
     def batch_of(out):
-        keys, ids, places = zip(*out)
-        return pa.record_batch(
-            [pa.array(keys, pa.int64()), pa.array(ids, pa.binary()), pa.array(places, pa.list_(pa.int32()))],
-            names=["key", "id", "places"],
-        )
+        return pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out)], names=["_d", "_h", "span"])
 
     for batch in batches:
         out = []
-        for k, own, packed, copies in zip(*(batch.column(c).to_pylist() for c in ("key", "id", "packed", "copies"))):
-            if k != key and strings:
-                flush(out)
-                strings = []
+        for d, h, start, k, packed in zip(*(batch.column(c.split()[0]).to_pylist() for c in _PIECE.split(", "))):
+            if k != key and held:
+                out.extend(spans())
+                held = []
             key = k
-            strings.append((own, packed, copies))
+            held.append((d, h, start, packed))
         if out:
             yield batch_of(out)
-    out = []
-    if strings:
-        flush(out)
+    out = list(spans()) if held else []
     if out:
         yield batch_of(out)
 
 
+def _runs(places: list[int]):
+    """First and last of each run of consecutive numbers."""
+    first = last = places[0]
+    for place in places[1:]:
+        if place != last + 1:
+            yield first, last
+            first = place
+        last = place
+    yield first, last
+
+
 def _without(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
     """``spans``: first word and word behind the last, in one number each."""
     rows = []
@@ -205,28 +217,26 @@ def without_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW)
     repeated = written(spark, counted.where("n > 1"), "repeated-minimisers")
     total = repeated.agg(F.sum("n")).first()[0] or 0
     limit = max(BUCKET_STRINGS, total // FREQUENT)
-    frequent = np.array([r.key for r in repeated.where(F.col("n") > limit).select("key").collect()], np.int64)
+    any_often = bool(repeated.where(F.col("n") > limit).limit(1).count())
 
     each = found.select("_d", "_h", F.inline(F.arrays_zip("starts", "counts", "keys"))).withColumnRenamed("keys", "key")
-    chosen = each.join(repeated.select("key"), "key", "left_semi").groupBy("_d", "_h")
-    chosen = chosen.agg(F.collect_set(F.struct("starts", "counts", "key")).alias("s"))
-    chosen = chosen.select(
-        "_d", "_h", F.col("s.starts").alias("starts"), F.col("s.counts").alias("counts"), F.col("s.key").alias("keys")
-    )
-    at_text = rows.join(chosen, ["_d", "_h"]).select(
-        "_d", "_h", F.coalesce("row.text", F.lit("")).alias("text"), "starts", "counts", "keys"
-    )
-    pieces = at_text.mapInArrow(lambda batches: _cut_strings(batches, window, frequent), _PIECE)
-
-    distinct = pieces.groupBy("key", "id", "packed").agg(F.count("*").alias("copies"))
-    buckets = distinct.repartition("key").sortWithinPartitions("key")
-    places = buckets.select("key", "id", "packed", "copies").mapInArrow(
-        lambda batches: _count_buckets(batches, window), "key bigint, id binary, places array<int>"
-    )
-    begin = (F.col("start") + F.col("place")).cast("bigint")
-    spans = pieces.select("_d", "_h", "start", "key", "id").join(places, ["key", "id"])
-    spans = spans.select("_d", "_h", "start", F.explode("places").alias("place"))
-    spans = spans.select("_d", "_h", (F.shiftleft(begin, 32) + begin + window).alias("span"))
+    marked = each.join(repeated.select("key", (F.col("n") > limit).alias("often")), "key")
+    chosen = marked.groupBy("_d", "_h").agg(F.collect_set(F.struct("starts", "counts", "key", "often")).alias("chosen"))
+
+    def pieces(often: bool) -> DataFrame:
+        wanted = chosen.where(F.exists("chosen", lambda x: x["often"] == often))
+        at_text = rows.join(wanted, ["_d", "_h"])
+        at_text = at_text.select("_d", "_h", F.coalesce("row.text", F.lit("")).alias("text"), "chosen")
+        return at_text.mapInArrow(lambda batches: _cut_strings(batches, window, often), _PIECE)
+
+    dealt = pieces(False).repartition("key").sortWithinPartitions("key")
+    spans = dealt.mapInArrow(lambda batches: _count_buckets(batches, window), "_d bigint, _h bigint, span bigint")
+    if any_often:
+        single = pieces(True)
+        again = single.groupBy("key", "packed").agg(F.count("*").alias("n")).where("n > 1").select("key", "packed")
+        begin = F.col("start").cast("bigint")
+        single = single.join(again, ["key", "packed"], "left_semi")
+        spans = spans.union(single.select("_d", "_h", F.shiftleft(begin, 32) + begin + window))
     spans = spans.groupBy("_d", "_h").agg(F.collect_set("span").alias("spans"))
     without = F.pandas_udf(_without, "n_words bigint, n_removed bigint, kept string")
     judged = rows.join(spans, ["_d", "_h"], "left").withColumn("_r", without("row.text", "spans"))
