@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemill.llm import lempel_ziv, packing, pieces, simhash, simple8b, substrings, topk, toxicity
+from tablemill.llm import hmm, lempel_ziv, packing, pieces, simhash, simple8b, substrings, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,11 @@ def op2_super_kmers(spark, sf_dir):
     return rows.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op3_hidden_markov(spark, sf_dir):
+    return hmm.score_documents(spark, table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_shared_prefix(spark, sf_dir):
     path = public_tokenizers.path("piece_bpe_32k.model")
