@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemill.llm import hmm, lempel_ziv, packing, pieces, simhash, simple8b, substrings, topk, toxicity
+from tablemill.llm import hmm, lempel_ziv, line_dedup, packing, pieces, simhash, simple8b, substrings, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -112,3 +112,42 @@ def op9_lempel_ziv(spark, sf_dir):
         "near_edited",
         "near_next",
     )
+
+
+@query
+def op10_deletion_lines(spark, sf_dir):
+    rows = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents"))
+    return rows.select("row.doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# Pairs are looked for among lines that share a half, since one edit leaves one of the halves as it is. Document ids are
+# unique in the driver's tables, so the order by the text's hash plays no part.
+ORACLES["op10_deletion_lines"] = r"""
+WITH cut AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS raw,
+           generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
+    FROM documents
+), firsts AS (
+    SELECT line, min(row(doc_id, pos)) AS place, length(line) AS n
+    FROM (SELECT doc_id, pos, trim(raw, ' ') AS line FROM cut) WHERE line <> '' GROUP BY line
+), halves AS (
+    SELECT DISTINCT line, place, n, s.side, h.h, CASE WHEN s.side = 0 THEN left(line, h.h) ELSE right(line, h.h) END AS half
+    FROM firsts, (SELECT unnest([0, 1]) AS side) s,
+         LATERAL (SELECT unnest([(n - 2) // 2, (n - 1) // 2, n // 2]) AS h) h
+    WHERE n BETWEEN 24 AND 1024
+), near AS (
+    SELECT DISTINCT a.line FROM halves a JOIN halves b
+      ON a.side = b.side AND a.h = b.h AND a.half = b.half AND b.place < a.place AND abs(a.n - b.n) <= 1
+    WHERE len(list_filter(range(0, greatest(a.n, b.n)), lambda i:
+        CASE WHEN a.n = b.n THEN left(a.line, i) || substr(a.line, i + 2) = left(b.line, i) || substr(b.line, i + 2)
+             WHEN a.n > b.n THEN left(a.line, i) || substr(a.line, i + 2) = b.line
+             ELSE left(b.line, i) || substr(b.line, i + 2) = a.line END)) > 0
+), judged AS (
+    SELECT c.doc_id, c.pos, c.raw,
+           trim(c.raw, ' ') = '' OR (f.place = row(c.doc_id, c.pos) AND n.line IS NULL) AS stays
+    FROM cut c LEFT JOIN firsts f ON f.line = trim(c.raw, ' ') LEFT JOIN near n ON n.line = f.line
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE NOT stays) AS n_removed,
+       sha256(coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (WHERE stays), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
