@@ -6,7 +6,8 @@ them. Equal windows have equal minimisers, so packed strings are dealt to bucket
 are sorted and equal ones counted. The windows of one super-k-mer all differ, as each has its minimiser elsewhere.
 
 Minimisers are counted first. One that begins a single super-k-mer has no repeated window, so its string never
-travels. The windows of very frequent minimisers travel one by one: equal ones are counted before they are dealt.
+travels. Strings of very frequent minimisers are counted whole before they are dealt, and then the windows of the
+distinct ones.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 from tablemill.llm.common import binary_column, text_hash, written
 
 WINDOW = 35
-MER = 8
-#: Windows of minimisers with more super-k-mers are dealt one by one.
+MER = 5
+#: Minimisers with more super-k-mers are frequent.
 BUCKET_STRINGS = 5000
 #: There are at most so many such minimisers: where there would be more, the bound above is higher.
 FREQUENT = 5000
@@ -80,12 +81,20 @@ def _minimisers(batches, window: int):
         )
 
 
-_PIECE = "_d bigint, _h bigint, start int, key bigint, packed binary"
+_PIECE = "_d bigint, _h bigint, start int, stop int, key bigint, packed binary"
+_WINDOW = "_d bigint, _h bigint, start int, copies bigint, key bigint, packed binary"
+
+
+def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.record_batch([pa.array(c, kinds[k]) for c, (_, k) in zip(zip(*rows), fields)], names=[n for n, _ in fields])
 
 
 def _cut_strings(batches, window: int, often: bool):
-    """The packed strings of a document's chosen super-k-mers, or of each window of those with frequent minimisers,
-    which have a key of their own then."""
+    """The packed strings of a document's chosen super-k-mers, of frequent minimisers or of others. Their keys are the
+    minimisers, or for frequent ones hashes of the strings."""
+    hashes = _Hashes()
     for batch in batches:
         out = []
         for d, h, raw, chosen in zip(
@@ -94,24 +103,40 @@ def _cut_strings(batches, window: int, often: bool):
             batch.column("chosen").to_pylist(),
         ):
             words = raw.split()
-            for each in chosen:
-                start, count = each["starts"], each["counts"]
-                if each["often"] != often:
+            starts, _, keys = super_kmers(words, window, hashes)
+            key_at = dict(zip(starts.tolist(), keys.tolist()))
+            for number in chosen:
+                if number & 1 != often:
                     continue
-                for first, n in ((i, 1) for i in range(start, start + count)) if often else ((start, count),):
-                    packed = b" ".join(words[first : first + n - 1 + window])
-                    out.append((d, h, first, xxhash.xxh64_intdigest(packed) >> 1 if often else each["key"], packed))
+                start, count = number >> 7, number >> 1 & 63
+                stop = start + count - 1 + window
+                packed = b" ".join(words[start:stop])
+                key = xxhash.xxh64_intdigest(packed) >> 1 if often else key_at[start]
+                out.append((d, h, start, stop, key, packed))
             if len(out) >= 4096:
-                yield _pieces(out)
+                yield _batch(_PIECE, out)
                 out = []
         if out:
-            yield _pieces(out)
+            yield _batch(_PIECE, out)
 
 
-def _pieces(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
-    names = [f.split()[0] for f in _PIECE.split(", ")]
-    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+def _windows_of(packed: bytes, window: int) -> list[bytes]:
+    ends = [*(m.start() for m in _BLANK.finditer(packed)), len(packed)]
+    begins = [0, *(e + 1 for e in ends[:-1])]
+    return [packed[begins[i] : ends[i + window - 1]] for i in range(len(begins) - window + 1)]
+
+
+def _single_windows(batches, window: int):
+    """The windows of distinct packed strings, with the place of strings that occur once."""
+    for batch in batches:
+        out = []
+        for d, h, start, copies, packed in zip(
+            *(batch.column(c).to_pylist() for c in ("_d", "_h", "start", "copies", "packed"))
+        ):
+            for i, each in enumerate(_windows_of(packed, window)):
+                out.append((d, h, start + i, copies, xxhash.xxh64_intdigest(each) >> 1, each))
+        if out:
+            yield _batch(_WINDOW, out)
 
 
 def repeated_windows(strings: list[bytes], window: int) -> list[tuple[int, list[int]]]:
@@ -124,9 +149,7 @@ def repeated_windows(strings: list[bytes], window: int) -> list[tuple[int, list[
         copies.setdefault(packed, []).append(at)
     windows: list[tuple[bytes, int, bytes]] = []
     for packed in copies:
-        ends = [*(m.start() for m in _BLANK.finditer(packed)), len(packed)]
-        begins = [0, *(e + 1 for e in ends[:-1])]
-        windows.extend((packed[begins[i] : ends[i + window - 1]], i, packed) for i in range(len(begins) - window + 1))
+        windows.extend((each, i, packed) for i, each in enumerate(_windows_of(packed, window)))
     windows.sort()
     found: dict[bytes, list[int]] = {}
     i = 0
@@ -156,7 +179,7 @@ def _count_buckets(batches, window: int):
 
     for batch in batches:
         out = []
-        for d, h, start, k, packed in zip(*(batch.column(c.split()[0]).to_pylist() for c in _PIECE.split(", "))):
+        for d, h, start, _, k, packed in zip(*(c.to_pylist() for c in batch.columns)):
             if k != key and held:
                 out.extend(spans())
                 held = []
@@ -219,24 +242,38 @@ def without_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW)
     limit = max(BUCKET_STRINGS, total // FREQUENT)
     any_often = bool(repeated.where(F.col("n") > limit).limit(1).count())
 
-    each = found.select("_d", "_h", F.inline(F.arrays_zip("starts", "counts", "keys"))).withColumnRenamed("keys", "key")
-    marked = each.join(repeated.select("key", (F.col("n") > limit).alias("often")), "key")
-    chosen = marked.groupBy("_d", "_h").agg(F.collect_set(F.struct("starts", "counts", "key", "often")).alias("chosen"))
+    # One number has a super-k-mer's first window, its number of windows (below 64) and whether it is frequent.
+    each = found.select("_d", "_h", F.inline(F.arrays_zip("starts", "counts", "keys")))
+    each = each.select(
+        "_d", "_h", F.col("keys").alias("key"), (F.shiftleft(F.col("starts").cast("bigint"), 6) + F.col("counts")).alias("at")
+    )
+    marked = each.join(repeated.select("key", (F.col("n") > limit).cast("bigint").alias("often")), "key")
+    chosen = marked.select("_d", "_h", (2 * F.col("at") + F.col("often")).alias("number"))
+    chosen = chosen.groupBy("_d", "_h").agg(F.collect_set("number").alias("chosen"))
 
     def pieces(often: bool) -> DataFrame:
-        wanted = chosen.where(F.exists("chosen", lambda x: x["often"] == often))
+        wanted = chosen.where(F.exists("chosen", lambda x: x % 2 == int(often)))
         at_text = rows.join(wanted, ["_d", "_h"])
         at_text = at_text.select("_d", "_h", F.coalesce("row.text", F.lit("")).alias("text"), "chosen")
         return at_text.mapInArrow(lambda batches: _cut_strings(batches, window, often), _PIECE)
 
+    def span(start, stop):
+        return (F.shiftleft(start.cast("bigint"), 32) + stop).alias("span")
+
     dealt = pieces(False).repartition("key").sortWithinPartitions("key")
     spans = dealt.mapInArrow(lambda batches: _count_buckets(batches, window), "_d bigint, _h bigint, span bigint")
     if any_often:
-        single = pieces(True)
-        again = single.groupBy("key", "packed").agg(F.count("*").alias("n")).where("n > 1").select("key", "packed")
-        begin = F.col("start").cast("bigint")
-        single = single.join(again, ["key", "packed"], "left_semi")
-        spans = spans.union(single.select("_d", "_h", F.shiftleft(begin, 32) + begin + window))
+        strings = pieces(True)
+        place = F.min(F.struct("_d", "_h", "start")).alias("place")
+        distinct = strings.groupBy("key", "packed").agg(F.count("*").alias("copies"), place)
+        whole = strings.join(distinct.where("copies > 1").select("key", "packed"), ["key", "packed"], "left_semi")
+        spans = spans.union(whole.select("_d", "_h", span(F.col("start"), F.col("stop"))))
+        windows = distinct.select("place.*", "copies", "packed").mapInArrow(
+            lambda batches: _single_windows(batches, window), _WINDOW
+        )
+        again = windows.groupBy("key", "packed").agg(F.sum("copies").alias("n")).where("n > 1").select("key", "packed")
+        once = windows.where("copies = 1").join(again, ["key", "packed"], "left_semi")
+        spans = spans.union(once.select("_d", "_h", span(F.col("start"), F.col("start") + window)))
     spans = spans.groupBy("_d", "_h").agg(F.collect_set("span").alias("spans"))
     without = F.pandas_udf(_without, "n_words bigint, n_removed bigint, kept string")
     judged = rows.join(spans, ["_d", "_h"], "left").withColumn("_r", without("row.text", "spans"))
