@@ -2,14 +2,74 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from tablemill.llm import line_dedup, packing, simhash, substrings, toxicity
+from tablemill.llm.common import written
+
+#: Near duplicates share most shingles of so many words.
+SHINGLE_WORDS = 5
+
+
+def _with_text(row: str, kept: str, columns: list[str]) -> list:
+    """The columns of the struct ``row`` with the text and its length replaced."""
+    new = {"text": F.col(kept), "n_chars": F.length(kept).cast("bigint")}
+    return [(new[c] if c in new else F.col(row)[c]).alias(c) for c in columns]
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are more likely toxic than not go; null texts stay."""
+    labels = toxicity.grades(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.without_toxic(docs, toxicity.fitted(spark, docs, labels))
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that repeat an earlier line, up to one edit, go; every document stays, if need be without text."""
+    rows = line_dedup.without_repeated_lines(docs)
+    return rows.select(*_with_text("row", "kept", docs.columns))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays, null ids last. Documents without
+    words are copies of one another. Rows are numbered in a written table, so that repeated ids are told apart."""
+    numbered = written(spark, docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    groups = simhash.near_duplicates(spark, numbered.select(F.col("_row").alias("doc_id"), "text"), SHINGLE_WORDS)
+    members = numbered.select("_row", "doc_id").join(groups.withColumnRenamed("doc_id", "_row").drop("fp"), "_row")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row"))
+    stays = members.groupBy("component_id").agg(best.alias("best")).select("best._row")
+    return numbered.join(stays, "_row", "left_semi").select(*docs.columns)
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words of windows that occur anywhere else go; every document stays. Texts without such keep their white
+    space."""
+    rows = substrings.without_repeats(spark, docs)
+    rows = rows.withColumn("kept", F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("row.text")))
+    return rows.select(*_with_text("row", "kept", docs.columns))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all texts in windows of 4096 tokens, with their ids."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("line_dedup", line_stage),
+    ("simhash_near_dedup", near_duplicate_stage),
+    ("substring_dedup", substring_stage),
+    ("packing", packing_stage),
+]
 
 #: Fitted weights, component labels and token ids are out of SQL's reach; tests hold every stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+    """All stages on ``documents``. Each one's rows are written to the shared folder and read again by the next."""
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        rows = written(spark, stage(spark, rows, sf_dir), f"stage-{name}")
+    return rows
