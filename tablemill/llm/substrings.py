@@ -99,7 +99,7 @@ def _cut_strings(batches, window: int, often: bool):
         out = []
         for d, h, raw, chosen in zip(
             *(batch.column(c).to_pylist() for c in ("_d", "_h")),
-            binary_column(batch, "text"),
+            [(text or "").encode() for text in batch.column("row").field("text").to_pylist()],
             batch.column("chosen").to_pylist(),
         ):
             words = raw.split()
@@ -203,10 +203,10 @@ def _runs(places: list[int]):
     yield first, last
 
 
-def _without(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
+def _without(docs: pd.DataFrame, spans: pd.Series) -> pd.DataFrame:
     """``spans``: first word and word behind the last, in one number each."""
     rows = []
-    for text, found in zip(texts, spans):
+    for text, found in zip(docs["text"], spans):
         words = (text or "").encode().split()
         kept = words
         if found is not None and len(found):
@@ -253,8 +253,8 @@ def without_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW)
 
     def pieces(often: bool) -> DataFrame:
         wanted = chosen.where(F.exists("chosen", lambda x: x % 2 == int(often)))
-        at_text = rows.join(wanted, ["_d", "_h"])
-        at_text = at_text.select("_d", "_h", F.coalesce("row.text", F.lit("")).alias("text"), "chosen")
+        # Whole rows here and below, so that all joins with the documents read one shuffle of them.
+        at_text = rows.join(wanted, ["_d", "_h"]).select("_d", "_h", "row", "chosen")
         return at_text.mapInArrow(lambda batches: _cut_strings(batches, window, often), _PIECE)
 
     def span(start, stop):
@@ -276,5 +276,5 @@ def without_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW)
         spans = spans.union(once.select("_d", "_h", span(F.col("start"), F.col("start") + window)))
     spans = spans.groupBy("_d", "_h").agg(F.collect_set("span").alias("spans"))
     without = F.pandas_udf(_without, "n_words bigint, n_removed bigint, kept string")
-    judged = rows.join(spans, ["_d", "_h"], "left").withColumn("_r", without("row.text", "spans"))
+    judged = rows.join(spans, ["_d", "_h"], "left").withColumn("_r", without("row", "spans"))
     return judged.select("row", "_r.n_words", "_r.n_removed", "_r.kept")
