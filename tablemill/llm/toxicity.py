@@ -31,7 +31,7 @@ RATE = 0.1
 PENALTY = 0.05
 
 _EDGES = b".,;:!?\"'()[]{}<>*_-"
-_MEMO_WORDS = 500_000
+_MEMO_WORDS = 60_000
 
 SEVERITY = "severity double, grade int, p_any double"
 
