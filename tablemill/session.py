@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -39,7 +40,7 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
         master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", master):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
         root = _local_root(spark.sparkContext.applicationId)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

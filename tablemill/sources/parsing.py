@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from tablemill.sources.records import REJECTED_LINE, RecordType
 
-# The CSV parser fails the job on a line with more fields than this, so such a line is kept from it and rejected.
-MAX_CSV_FIELDS = 200_000
+# Fixed: what the text of a number may be, without the suffixes and hexadecimal forms that a cast would take.
+NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|nan|inf|infinity)\s*$"
 
 
 def parse_lines(lines: DataFrame, record: RecordType) -> DataFrame:
@@ -52,10 +52,13 @@ def _plain_fields(names: list[str]) -> Column:
 
 
 def _needs_csv_parser(record: RecordType) -> Column:
-    """Only a line with quotes in it does; one with too many separators for the parser is left to ``split``."""
-    line = F.col("_line")
-    separators = F.length(line) - F.length(F.replace(line, F.lit(record.separator), F.lit("")))
-    return F.contains(line, F.lit('"')) & ((F.length(line) < MAX_CSV_FIELDS) | (separators < MAX_CSV_FIELDS))
+    """A line with quotes in it does, unless it has too many separators outside quoted fields: that is no record. So
+    the parser never meets more fields than a record has. Doubled quotes go first, which leaves quoted fields without
+    quotes inside, and a pattern without repeated groups finds those."""
+    line, separator = F.col("_line"), re.escape(record.separator)
+    plain = F.regexp_replace(F.replace(line, F.lit('""'), F.lit("")), f'(^|{separator})"[^"]*"', "$1")
+    separators = F.length(plain) - F.length(F.replace(plain, F.lit(record.separator), F.lit("")))
+    return F.contains(line, F.lit('"')) & (separators < len(record.schema.names))
 
 
 def _quoted_fields(record: RecordType) -> Column:
@@ -64,7 +67,6 @@ def _quoted_fields(record: RecordType) -> Column:
         "escape": '"',
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": REJECTED_LINE,
-        "maxColumns": str(MAX_CSV_FIELDS),
     }
     return F.from_csv("_line", record.text_schema.toDDL(), options)
 
@@ -73,7 +75,7 @@ def _typed(rows: DataFrame, record: RecordType) -> DataFrame:
     """Converts the text fields to the record's types."""
     fields = record.schema.fields
     is_text = {f.name: isinstance(f.dataType, T.StringType) for f in fields}
-    converted = {f.name: F.col(f.name) if is_text[f.name] else F.col(f.name).try_cast(f.dataType) for f in fields}
+    converted = {f.name: F.col(f.name) if is_text[f.name] else _number(f) for f in fields}
 
     misfit = F.col(REJECTED_LINE).isNotNull()
     for name, value in converted.items():
@@ -88,3 +90,9 @@ def _typed(rows: DataFrame, record: RecordType) -> DataFrame:
         name: F.when(fits, F.coalesce(name, F.lit(""))).otherwise(F.col(name)) for name in is_text if is_text[name]
     }
     return checked.withColumns(filled)
+
+
+def _number(field: T.StructField) -> Column:
+    """The field's text as a number; null if it is none."""
+    text = F.col(field.name)
+    return F.when(text.rlike(NUMBER), text.try_cast(field.dataType))

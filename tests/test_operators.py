@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from plan_text import final_plan, physical_plan
 from tablemill.operators import counting as C
-from tablemill.operators import pivots
 from tablemill.operators.merging import merge_counts, merge_on_key
 from tablemill.operators.pivots import category_values, pivot_counts
 from tablemill.operators.ranking import top_name_with_total
@@ -120,10 +119,7 @@ def brute_pivot(rows, values):
     return {k: tuple(counts.get(v) for v in values) for k, counts in table.items()}
 
 
-@pytest.mark.parametrize("limit", [32, 1])
-def test_pivot_both_ways(df, rows, monkeypatch, limit):
-    """The second limit sends the same counts through the two-step pivot."""
-    monkeypatch.setattr(pivots, "MAX_CONDITIONAL_COUNTS", limit)
+def test_pivot_both_ways(df, rows):
     expected = brute_pivot(rows, ["x", "y", "z"])
     assert expected["d"][1:] == (None, None)
     wide = pivot_counts(df, "k", "c")
@@ -142,6 +138,18 @@ def test_pivot_over_many_values(spark):
     assert as_dict(pivot_counts(df, "k", "c")) == expected
 
 
+@pytest.mark.parametrize("more", [0, 40])
+def test_pivot_values_have_the_type_of_the_column(spark, more):
+    """However many values are asked for, none changes another's counts."""
+    nan, others = float("nan"), [float(i) for i in range(1, more + 1)]
+    doubles = spark.createDataFrame([("a", -0.0), ("a", 0.0), ("a", nan)], "k string, c double")
+    assert as_dict(pivot_counts(doubles, "k", "c", [nan, 0.0, *others]))["a"][:2] == (1, 2)
+    texts = spark.createDataFrame([("a", "2014"), ("a", "02014")], "k string, c string")
+    assert as_dict(pivot_counts(texts, "k", "c", [2014, 2015, *range(more)]))["a"][0] == 1
+    with pytest.raises(ValueError):
+        pivot_counts(texts, "k", "c", ["x", "x"])
+
+
 def test_pivot_of_numbers_and_names_with_dots(spark):
     df = spark.createDataFrame([("a", 2014), ("a", 2015), ("b", 2014)], "k string, y bigint")
     wide = pivot_counts(df, "k", "y", complete=True)
