@@ -69,25 +69,34 @@ def kafka_line_stream(spark: SparkSession, options: Mapping[str, str]) -> DataFr
 
 
 def lines_below_header(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of files without the first line of each file, whatever it says. Lines of blanks only are skipped."""
-    return _whole_lines(_header_dropping(spark.read).load(path))
+    """Lines of files without the first line of each file, whatever it says. All other lines stay, blank ones too."""
+    return _below_first(spark.read.text(path))
 
 
 def stream_below_header(spark: SparkSession, path: str, options: Mapping[str, str] | None = None) -> DataFrame:
     """The streaming form of :func:`lines_below_header`; ``options`` as in :func:`file_stream_options`."""
-    return _whole_lines(_header_dropping(spark.readStream.options(**file_stream_options(options))).load(path))
-
-
-def _header_dropping(reader):
-    """The CSV source knows where each file starts; its separator and quote are characters set aside by Unicode for
-    use inside programs, so a line is one field."""
-    return (
-        reader.format("csv")
-        .schema("value string, cut_line string")
-        .options(header="true", sep="\ufdd0", quote="\ufdd1", mode="PERMISSIVE", columnNameOfCorruptRecord="cut_line")
-    )
-
-
-def _whole_lines(rows: DataFrame) -> DataFrame:
-    """A line that does have the separator in it is kept whole in ``cut_line``."""
-    return rows.select(F.coalesce("cut_line", "value").alias("value"))
+    return _below_first(spark.readStream.options(**file_stream_options(options)).text(path))
+
+
+def _below_first(lines: DataFrame) -> DataFrame:
+    """The text source keeps every line and gives those of a piece of a file in order, so the first line of a piece
+    that begins where its file does is the file's first. No source option tells it, so batches of rows go through
+    Python here; where the header's text is known, ``without_header`` does without."""
+    placed = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    return placed.mapInArrow(_drop_first, "value string")
+
+
+def _drop_first(batches):
+    import numpy as np
+    import pyarrow as pa
+
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        files, at = batch.column("file").dictionary_encode(), batch.column("at").to_numpy()
+        codes = files.indices.to_numpy()
+        new = np.concatenate([[True], (codes[1:] != codes[:-1]) | (at[1:] != at[:-1])])
+        new[0] = (files[0].as_py(), at[0]) != last
+        last = (files[len(files) - 1].as_py(), at[-1])
+        yield pa.record_batch([batch.column("value").filter(pa.array(~(new & (at == 0))))], names=["value"])

@@ -283,3 +283,17 @@ def test_texts_that_are_no_numbers(spark, text):
 def test_texts_that_are_numbers(spark):
     numbers = RecordType("Numbers", "a double", ",", quoted=False)
     assert good(spark, numbers, " 1.5 ", "-.5e1", "5.", "+7", "inf") == [(1.5,), (-5.0,), (5.0,), (7.0,), (float("inf"),)]
+
+
+def test_blank_lines_stay(spark, tmp_path):
+    """Only the first line of a file goes, also where it is blank or the file is read in pieces."""
+    (tmp_path / "a").write_text("h\n" + "\t" * 10 + "\n   \n\nA\tb\n")
+    (tmp_path / "b").write_text("\nfirst\nsecond\n")
+    (tmp_path / "c").write_text("head\n" + "".join(f"line {i}\n" for i in range(2000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        got = sorted(row.value for row in lines_below_header(spark, str(tmp_path)).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == sorted(["\t" * 10, "   ", "", "A\tb", "first", "second", *(f"line {i}" for i in range(2000))])
