@@ -63,7 +63,8 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: Fitted weights, component labels and token ids are out of SQL's reach; tests hold every stage against brute force.
+#: Fitted weights, component labels and token ids are out of SQL's reach. Tests hold the operators against brute force,
+#: and the stages to their schema and to the documents they may keep.
 ORACLE_SQL = None
 
 
