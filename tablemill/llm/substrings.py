@@ -6,13 +6,16 @@ them. Equal windows have equal minimisers, so packed strings are dealt to bucket
 are sorted and equal ones counted. The windows of one super-k-mer all differ, as each has its minimiser elsewhere.
 
 Minimisers are counted first. One that begins a single super-k-mer has no repeated window, so its string never
-travels. Strings of very frequent minimisers are counted whole before they are dealt, and then the windows of the
-distinct ones.
+travels. Strings of very frequent minimisers are counted whole, combined on the map side, and then the windows of the
+distinct ones. Of those strings and windows the hottest are few by a proven bound: tasks are told them and mark them
+where they stand, so that no occurrence of them is shuffled.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -25,10 +28,10 @@ from tablemill.llm.common import binary_column, text_hash, written
 
 WINDOW = 35
 MER = 5
-#: Minimisers with more super-k-mers are frequent.
+#: Minimisers with more super-k-mers are frequent; strings and windows that occur more often are hot.
 BUCKET_STRINGS = 5000
-#: There are at most so many such minimisers: where there would be more, the bound above is higher.
-FREQUENT = 5000
+#: There are at most so many of each: where there would be more, the bound above is higher.
+FREQUENT = 100_000
 _MEMO_WORDS = 500_000
 _FIRST_ID = -(1 << 63)
 _BLANK = re.compile(b" ")
@@ -82,7 +85,7 @@ def _minimisers(batches, window: int):
 
 
 _PIECE = "_d bigint, _h bigint, start int, stop int, key bigint, packed binary"
-_WINDOW = "_d bigint, _h bigint, start int, copies bigint, key bigint, packed binary"
+_COUNTED = "key bigint, packed binary, copies bigint"
 
 
 def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
@@ -91,33 +94,74 @@ def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, kinds[k]) for c, (_, k) in zip(zip(*rows), fields)], names=[n for n, _ in fields])
 
 
-def _cut_strings(batches, window: int, often: bool):
-    """The packed strings of a document's chosen super-k-mers, of frequent minimisers or of others. Their keys are the
-    minimisers, or for frequent ones hashes of the strings."""
+def _batches(schema: str, rows):
+    out = []
+    for row in rows:
+        out.append(row)
+        if len(out) >= 4096:
+            yield _batch(schema, out)
+            out = []
+    if out:
+        yield _batch(schema, out)
+
+
+def _cut_strings(batches, window: int):
+    """The packed strings of a document's chosen super-k-mers, keyed by minimiser."""
     hashes = _Hashes()
-    for batch in batches:
-        out = []
-        for d, h, raw, chosen in zip(
-            *(batch.column(c).to_pylist() for c in ("_d", "_h")),
-            [(text or "").encode() for text in batch.column("row").field("text").to_pylist()],
-            batch.column("chosen").to_pylist(),
-        ):
-            words = raw.split()
-            starts, _, keys = super_kmers(words, window, hashes)
-            key_at = dict(zip(starts.tolist(), keys.tolist()))
-            for number in chosen:
-                if number & 1 != often:
-                    continue
-                start, count = number >> 7, number >> 1 & 63
-                stop = start + count - 1 + window
-                packed = b" ".join(words[start:stop])
-                key = xxhash.xxh64_intdigest(packed) >> 1 if often else key_at[start]
-                out.append((d, h, start, stop, key, packed))
-            if len(out) >= 4096:
-                yield _batch(_PIECE, out)
-                out = []
-        if out:
-            yield _batch(_PIECE, out)
+
+    def rows():
+        for batch in batches:
+            texts = batch.column("row").field("text").to_pylist()
+            chosen = batch.column("chosen").to_pylist()
+            for d, h, text, numbers in zip(*(batch.column(c).to_pylist() for c in ("_d", "_h")), texts, chosen):
+                words = (text or "").encode().split()
+                starts, _, keys = super_kmers(words, window, hashes)
+                key_at = dict(zip(starts.tolist(), keys.tolist()))
+                for number in numbers:
+                    start, stop = number >> 6, (number >> 6) + (number & 63) - 1 + window
+                    yield d, h, start, stop, key_at[start], b" ".join(words[start:stop])
+
+    yield from _batches(_PIECE, rows())
+
+
+def _string_key(packed: bytes) -> int:
+    return xxhash.xxh64_intdigest(packed) >> 1
+
+
+def _marked(d: int, h: int, found, hot: frozenset[bytes]):
+    """Rows of ``(start, stop, packed)`` in ascending order, keyed by the string. Those of hot strings carry no string
+    but stand for themselves, and are joined where they touch."""
+    held = None
+    for start, stop, packed in found:
+        if hot and hashlib.sha256(packed).digest() in hot:
+            if held and start <= held[1]:
+                held = held[0], stop
+                continue
+            if held:
+                yield d, h, *held, 0, None
+            held = start, stop
+        else:
+            yield d, h, start, stop, _string_key(packed), packed
+    if held:
+        yield d, h, *held, 0, None
+
+
+def _frequent_strings(batches, window: int, often: np.ndarray, hot: frozenset[bytes]):
+    """The packed strings of the frequent minimisers ``often`` (ascending)."""
+    hashes = _Hashes()
+
+    def strings(words: list[bytes]):
+        starts, counts, keys = super_kmers(words, window, hashes)
+        for i in np.flatnonzero(np.isin(keys, often)).tolist():
+            start, stop = int(starts[i]), int(starts[i]) + int(counts[i]) - 1 + window
+            yield start, stop, b" ".join(words[start:stop])
+
+    def rows():
+        for batch in batches:
+            for d, h, raw in zip(*(batch.column(c).to_pylist() for c in ("_d", "_h")), binary_column(batch, "text")):
+                yield from _marked(d, h, strings(raw.split()), hot)
+
+    yield from _batches(_PIECE, rows())
 
 
 def _windows_of(packed: bytes, window: int) -> list[bytes]:
@@ -126,17 +170,29 @@ def _windows_of(packed: bytes, window: int) -> list[bytes]:
     return [packed[begins[i] : ends[i + window - 1]] for i in range(len(begins) - window + 1)]
 
 
-def _single_windows(batches, window: int):
-    """The windows of distinct packed strings, with the place of strings that occur once."""
-    for batch in batches:
-        out = []
-        for d, h, start, copies, packed in zip(
-            *(batch.column(c).to_pylist() for c in ("_d", "_h", "start", "copies", "packed"))
-        ):
-            for i, each in enumerate(_windows_of(packed, window)):
-                out.append((d, h, start + i, copies, xxhash.xxh64_intdigest(each) >> 1, each))
-        if out:
-            yield _batch(_WINDOW, out)
+def _counted_windows(batches, window: int):
+    """The windows of distinct packed strings."""
+
+    def rows():
+        for batch in batches:
+            for copies, packed in zip(*(batch.column(c).to_pylist() for c in ("copies", "packed"))):
+                for each in _windows_of(packed, window):
+                    yield _string_key(each), each, copies
+
+    yield from _batches(_COUNTED, rows())
+
+
+def _placed_windows(batches, window: int, hot: frozenset[bytes]):
+    """The windows of packed strings that occur once, with their places."""
+
+    def rows():
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("_d", "_h", "start", "packed"))
+            for d, h, start, packed in zip(*columns):
+                found = ((start + i, start + i + window, w) for i, w in enumerate(_windows_of(packed, window)))
+                yield from _marked(d, h, found, hot)
+
+    yield from _batches(_PIECE, rows())
 
 
 def repeated_windows(strings: list[bytes], window: int) -> list[tuple[int, list[int]]]:
@@ -219,6 +275,52 @@ def _without(docs: pd.DataFrame, spans: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["n_words", "n_removed", "kept"])
 
 
+def _span(start: str, stop: str):
+    return (F.shiftleft(F.col(start).cast("bigint"), 32) + F.col(stop)).alias("span")
+
+
+def _limit(total: int) -> int:
+    """Fewer than ``FREQUENT`` of the things that occur ``total`` times altogether occur more often than this."""
+    return max(BUCKET_STRINGS, total // FREQUENT)
+
+
+def _repeated_spans(
+    spark: SparkSession, repeated: DataFrame, places: Callable[[frozenset[bytes]], DataFrame]
+) -> DataFrame:
+    """Spans of the strings of ``places`` that are in ``repeated`` (``key, packed`` and ``n``, how often they are in
+    ``places``). Hot ones are known to the tasks of ``places``; others meet by a join with a bounded group each."""
+    limit = _limit(repeated.agg(F.sum("n")).first()[0] or 0)
+    digests = repeated.where(F.col("n") > limit).select(F.unhex(F.sha2("packed", 256)).alias("digest")).collect()
+    rows = written(spark, places(frozenset(bytes(row.digest) for row in digests)), "frequent-strings")
+    others = repeated.where(F.col("n") <= limit).select("key", "packed")
+    met = rows.where("packed IS NOT NULL").join(others, ["key", "packed"], "left_semi")
+    return rows.where("packed IS NULL").unionByName(met).select("_d", "_h", _span("start", "stop"))
+
+
+def _frequent_spans(spark: SparkSession, texts: DataFrame, often: list[int], window: int) -> DataFrame:
+    """Spans of repeated windows in the super-k-mers of frequent minimisers."""
+    keys = np.sort(np.array(often, np.int64))
+
+    def strings(hot: frozenset[bytes]) -> DataFrame:
+        return texts.mapInArrow(lambda batches: _frequent_strings(batches, window, keys, hot), _PIECE)
+
+    # The place is right for strings that occur once, which are the only ones it is asked of.
+    place = (F.min(c).alias(c) for c in ("_d", "_h", "start"))
+    distinct = strings(frozenset()).groupBy("key", "packed").agg(F.count("*").alias("copies"), *place)
+    distinct = written(spark, distinct, "distinct-strings")
+    whole = distinct.where("copies > 1").select("key", "packed", F.col("copies").alias("n"))
+
+    windows = distinct.select("copies", "packed").mapInArrow(lambda batches: _counted_windows(batches, window), _COUNTED)
+    counts = windows.groupBy("key", "packed").agg(F.sum("copies").alias("copies"), F.count("*").alias("n"))
+    again = written(spark, counts.where("copies > 1").select("key", "packed", "n"), "repeated-windows")
+    once = distinct.where("copies = 1").select("_d", "_h", "start", "packed")
+
+    def placed(hot: frozenset[bytes]) -> DataFrame:
+        return once.mapInArrow(lambda batches: _placed_windows(batches, window, hot), _PIECE)
+
+    return _repeated_spans(spark, whole, strings).union(_repeated_spans(spark, again, placed))
+
+
 def without_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """For each row of ``docs``: ``row`` (all its columns), ``n_words``, ``n_removed`` and ``kept``, the words left,
     joined by one blank.
@@ -239,41 +341,26 @@ def without_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW)
     counted = found.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n"))
     repeated = written(spark, counted.where("n > 1"), "repeated-minimisers")
     total = repeated.agg(F.sum("n")).first()[0] or 0
-    limit = max(BUCKET_STRINGS, total // FREQUENT)
-    any_often = bool(repeated.where(F.col("n") > limit).limit(1).count())
+    limit = _limit(total)
+    frequent = repeated.where(F.col("n") > limit).select("key")
+    often = [row.key for row in frequent.collect()]
 
-    # One number has a super-k-mer's first window, its number of windows (below 64) and whether it is frequent.
+    # One number has a super-k-mer's first window and its number of windows (below 64).
     each = found.select("_d", "_h", F.inline(F.arrays_zip("starts", "counts", "keys")))
     each = each.select(
-        "_d", "_h", F.col("keys").alias("key"), (F.shiftleft(F.col("starts").cast("bigint"), 6) + F.col("counts")).alias("at")
+        "_d", "_h", F.col("keys").alias("key"), (F.shiftleft(F.col("starts").cast("bigint"), 6) + F.col("counts")).alias("number")
     )
-    marked = each.join(repeated.select("key", (F.col("n") > limit).cast("bigint").alias("often")), "key")
-    chosen = marked.select("_d", "_h", (2 * F.col("at") + F.col("often")).alias("number"))
+    if often:  # fewer than FREQUENT rows
+        each = each.join(F.broadcast(frequent), "key", "left_anti")
+    chosen = each.join(repeated.where(F.col("n") <= limit).select("key"), "key", "left_semi")
     chosen = chosen.groupBy("_d", "_h").agg(F.collect_set("number").alias("chosen"))
-
-    def pieces(often: bool) -> DataFrame:
-        wanted = chosen.where(F.exists("chosen", lambda x: x % 2 == int(often)))
-        # Whole rows here and below, so that all joins with the documents read one shuffle of them.
-        at_text = rows.join(wanted, ["_d", "_h"]).select("_d", "_h", "row", "chosen")
-        return at_text.mapInArrow(lambda batches: _cut_strings(batches, window, often), _PIECE)
-
-    def span(start, stop):
-        return (F.shiftleft(start.cast("bigint"), 32) + stop).alias("span")
-
-    dealt = pieces(False).repartition("key").sortWithinPartitions("key")
+    # Whole rows here and below, so that both joins with the documents read one shuffle of them.
+    at_text = rows.join(chosen, ["_d", "_h"]).select("_d", "_h", "row", "chosen")
+    dealt = at_text.mapInArrow(lambda batches: _cut_strings(batches, window), _PIECE)
+    dealt = dealt.repartition("key").sortWithinPartitions("key")
     spans = dealt.mapInArrow(lambda batches: _count_buckets(batches, window), "_d bigint, _h bigint, span bigint")
-    if any_often:
-        strings = pieces(True)
-        place = F.min(F.struct("_d", "_h", "start")).alias("place")
-        distinct = strings.groupBy("key", "packed").agg(F.count("*").alias("copies"), place)
-        whole = strings.join(distinct.where("copies > 1").select("key", "packed"), ["key", "packed"], "left_semi")
-        spans = spans.union(whole.select("_d", "_h", span(F.col("start"), F.col("stop"))))
-        windows = distinct.select("place.*", "copies", "packed").mapInArrow(
-            lambda batches: _single_windows(batches, window), _WINDOW
-        )
-        again = windows.groupBy("key", "packed").agg(F.sum("copies").alias("n")).where("n > 1").select("key", "packed")
-        once = windows.where("copies = 1").join(again, ["key", "packed"], "left_semi")
-        spans = spans.union(once.select("_d", "_h", span(F.col("start"), F.col("start") + window)))
+    if often:
+        spans = spans.union(_frequent_spans(spark, texts, often, window))
     spans = spans.groupBy("_d", "_h").agg(F.collect_set("span").alias("spans"))
     without = F.pandas_udf(_without, "n_words bigint, n_removed bigint, kept string")
     judged = rows.join(spans, ["_d", "_h"], "left").withColumn("_r", without("row", "spans"))

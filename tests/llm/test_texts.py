@@ -44,6 +44,23 @@ def _without(texts, window):
 
 
 @pytest.mark.parametrize("bucket", [5000, 1])
+def test_repeated_windows_of_many_texts(spark, monkeypatch, bucket):
+    """Copies, near copies and a shared passage, with strings and windows on both sides of the bound."""
+    monkeypatch.setattr(substrings, "BUCKET_STRINGS", bucket)
+    rng = np.random.default_rng(7)
+    words = [f"v{i}" for i in range(30)]
+    long, shared = list(rng.choice(words, 120)), list(rng.choice(words, 50))
+    texts = [" ".join(long)] * 4
+    for i in range(6):
+        near = list(long)
+        near[int(rng.integers(0, 120))] = f"changed{i}"
+        texts += [" ".join(near), " ".join([*rng.choice(words, 20), *shared, *rng.choice(words, 60)])]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    got = {r.row.doc_id: r.kept for r in substrings.without_repeats(spark, rows).collect()}
+    assert got == dict(enumerate(_without(texts, 35)))
+
+
+@pytest.mark.parametrize("bucket", [5000, 2, 1])
 def test_repeated_windows(spark, docs, monkeypatch, bucket):
     monkeypatch.setattr(substrings, "BUCKET_STRINGS", bucket)
     got = substrings.without_repeats(spark, docs).collect()
