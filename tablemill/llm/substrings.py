@@ -33,6 +33,8 @@ BUCKET_STRINGS = 5000
 #: There are at most so many of each: where there would be more, the bound above is higher.
 FREQUENT = 100_000
 _MEMO_WORDS = 500_000
+#: Bytes of strings that a task combines before it hands them on.
+_HELD_BYTES = 16 << 20
 _FIRST_ID = -(1 << 63)
 _BLANK = re.compile(b" ")
 
@@ -85,6 +87,7 @@ def _minimisers(batches, window: int):
 
 
 _PIECE = "_d bigint, _h bigint, start int, stop int, key bigint, packed binary"
+_STRING = "key bigint, packed binary, copies bigint, _d bigint, _h bigint, start int"
 _COUNTED = "key bigint, packed binary, copies bigint"
 
 
@@ -146,20 +149,49 @@ def _marked(d: int, h: int, found, hot: frozenset[bytes]):
         yield d, h, *held, 0, None
 
 
-def _frequent_strings(batches, window: int, often: np.ndarray, hot: frozenset[bytes]):
-    """The packed strings of the frequent minimisers ``often`` (ascending)."""
+def _strings_of(words: list[bytes], window: int, often: np.ndarray, hashes: dict):
+    """Start, stop and packed string of the super-k-mers of frequent minimisers ``often`` (ascending)."""
+    starts, counts, keys = super_kmers(words, window, hashes)
+    for i in np.flatnonzero(np.isin(keys, often)).tolist():
+        start, stop = int(starts[i]), int(starts[i]) + int(counts[i]) - 1 + window
+        yield start, stop, b" ".join(words[start:stop])
+
+
+def _documents(batches):
+    for batch in batches:
+        yield from zip(*(batch.column(c).to_pylist() for c in ("_d", "_h")), binary_column(batch, "text"))
+
+
+def _counted_strings(batches, window: int, often: np.ndarray):
+    """The packed strings of frequent minimisers with their numbers in this task and the place of one of each. Equal
+    ones are combined while a bounded number of bytes is held."""
     hashes = _Hashes()
 
-    def strings(words: list[bytes]):
-        starts, counts, keys = super_kmers(words, window, hashes)
-        for i in np.flatnonzero(np.isin(keys, often)).tolist():
-            start, stop = int(starts[i]), int(starts[i]) + int(counts[i]) - 1 + window
-            yield start, stop, b" ".join(words[start:stop])
+    def rows():
+        counts: dict[bytes, list[int]] = {}
+        held = 0
+        for d, h, raw in _documents(batches):
+            for start, _, packed in _strings_of(raw.split(), window, often, hashes):
+                if packed in counts:
+                    counts[packed][0] += 1
+                    continue
+                counts[packed] = [1, d, h, start]
+                held += len(packed)
+                if held > _HELD_BYTES:
+                    yield from ((_string_key(p), p, *row) for p, row in counts.items())
+                    counts, held = {}, 0
+        yield from ((_string_key(p), p, *row) for p, row in counts.items())
+
+    yield from _batches(_STRING, rows())
+
+
+def _placed_strings(batches, window: int, often: np.ndarray, hot: frozenset[bytes]):
+    """The packed strings of frequent minimisers, with their places."""
+    hashes = _Hashes()
 
     def rows():
-        for batch in batches:
-            for d, h, raw in zip(*(batch.column(c).to_pylist() for c in ("_d", "_h")), binary_column(batch, "text")):
-                yield from _marked(d, h, strings(raw.split()), hot)
+        for d, h, raw in _documents(batches):
+            yield from _marked(d, h, _strings_of(raw.split(), window, often, hashes), hot)
 
     yield from _batches(_PIECE, rows())
 
@@ -302,11 +334,12 @@ def _frequent_spans(spark: SparkSession, texts: DataFrame, often: list[int], win
     keys = np.sort(np.array(often, np.int64))
 
     def strings(hot: frozenset[bytes]) -> DataFrame:
-        return texts.mapInArrow(lambda batches: _frequent_strings(batches, window, keys, hot), _PIECE)
+        return texts.mapInArrow(lambda batches: _placed_strings(batches, window, keys, hot), _PIECE)
 
     # The place is right for strings that occur once, which are the only ones it is asked of.
     place = (F.min(c).alias(c) for c in ("_d", "_h", "start"))
-    distinct = strings(frozenset()).groupBy("key", "packed").agg(F.count("*").alias("copies"), *place)
+    counted = texts.mapInArrow(lambda batches: _counted_strings(batches, window, keys), _STRING)
+    distinct = counted.groupBy("key", "packed").agg(F.sum("copies").alias("copies"), *place)
     distinct = written(spark, distinct, "distinct-strings")
     whole = distinct.where("copies > 1").select("key", "packed", F.col("copies").alias("n"))
 
