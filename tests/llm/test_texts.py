@@ -193,6 +193,21 @@ def test_hidden_markov_odd_rows(spark, docs):
     assert hmm.score_documents(spark, docs.limit(0)).count() == 0
 
 
+def test_hidden_markov_scores_do_not_depend_on_held_words(spark, docs, monkeypatch):
+    """A task that hands words on after every row gives a word many rows of one chunk."""
+    want = sorted(hmm.score_documents(spark, docs).collect(), key=str)
+    monkeypatch.setattr(hmm, "HELD_WORDS", 0)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        corpus = hmm.read_corpus(spark, docs)
+        got = sorted(hmm.score_documents(spark, docs).collect(), key=str)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert corpus.mass[hmm.END_CLASS] > 1
+    for a, b in zip(want, got, strict=True):
+        assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:])
+
+
 def test_severity(spark):
     rows = [(i, f"word{i % 7} plain text " + ("awful" if i % 3 == 0 else "fine") + (" dreadful" if i % 6 == 0 else "")) for i in range(120)]
     docs = spark.createDataFrame([*rows, (500, None), (501, "")], "doc_id bigint, text string")
