@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemill.llm import line_dedup, packing, simhash, substrings, toxicity
+from tablemill.llm import jaccard, line_dedup, packing, simhash, substrings, toxicity
 from tablemill.llm.common import written
 
-#: Near duplicates share most shingles of so many words.
-SHINGLE_WORDS = 5
+#: Near duplicates share so large a part of their shingles of so many words, or have fingerprints within 3 bits.
+SHINGLE_WORDS, SIMILARITY = 5, Fraction(4, 5)
 
 
 def _with_text(row: str, kept: str, columns: list[str]) -> list:
@@ -35,7 +37,10 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Of each group of near duplicates the document with the smallest id stays, null ids last. Documents without
     words are copies of one another. Rows are numbered in a written table, so that repeated ids are told apart."""
     numbered = written(spark, docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    groups = simhash.near_duplicates(spark, numbered.select(F.col("_row").alias("doc_id"), "text"), SHINGLE_WORDS)
+    texts = numbered.select(F.col("_row").alias("doc_id"), "text")
+    prints = jaccard.prints(spark, texts, SHINGLE_WORDS, SIMILARITY)
+    links = jaccard.similar_links(spark, texts, prints, SHINGLE_WORDS, SIMILARITY, simhash.MAX_BITS)
+    groups = simhash.grouped(spark, prints.select("doc_id", "fp"), simhash.MAX_BITS, links)
     members = numbered.select("_row", "doc_id").join(groups.withColumnRenamed("doc_id", "_row").drop("fp"), "_row")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row"))
     stays = members.groupBy("component_id").agg(best.alias("best")).select("best._row")

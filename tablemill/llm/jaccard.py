@@ -1,0 +1,238 @@
+"""All pairs of documents that share a given part of their shingles, by prefix filtering.
+
+Two sets with a Jaccard similarity of at least ``t`` share an element among the first ``n - ceil(t n) + 1`` of each, in
+any order of all elements. Here rarer shingles come first, as far as a table of counts by hash tells, so common
+passages are rarely among the first. Only these go through a shuffle; pairs that meet there and whose places in the two
+orders allow enough in common are verified on their whole sets. No pair is lost.
+"""
+
+from __future__ import annotations
+
+from fractions import Fraction
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tablemill.llm.common import binary_column, written
+from tablemill.llm.simhash import _forest, fingerprint
+
+#: Counters of the table that tells rare shingles from common ones, and those of them in one row.
+COUNTERS, COUNTER_ROW = 1 << 20, 1 << 14
+#: Distinct words whose hashes a task keeps.
+HELD_WORDS = 200_000
+#: Rows of a shingle that are compared with all others of it at a time.
+BLOCK_ROWS = 1024
+
+_PRINTS = "doc_id bigint, fp bigint, sig bigint, n int, prefix binary"
+
+
+class Shingles:
+    """The distinct shingles of a text as hashes, ascending; words are those of :func:`simhash.fingerprint`."""
+
+    def __init__(self, words: int):
+        self.words = words
+        self.hashes: dict[bytes, int] = {}
+
+    def __call__(self, raw: bytes) -> np.ndarray:
+        words, known = raw.lower().split(), self.hashes
+        if not words:
+            return np.empty(0, np.uint64)
+        if len(known) > HELD_WORDS:
+            known.clear()
+        for word in set(words):
+            if word not in known:
+                known[word] = xxhash.xxh64_intdigest(word)
+        own = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        width = min(self.words, len(words))
+        out = np.full(len(words) - width + 1, width, np.uint64)
+        for i in range(width):
+            out = (out ^ own[i : len(own) - width + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
+            out ^= out >> np.uint64(29)
+        return np.unique(out)
+
+
+def _counter(shingles: np.ndarray) -> np.ndarray:
+    return (shingles % np.uint64(COUNTERS)).astype(np.int64)
+
+
+def _count(batches, words: int):
+    """This task's counters: ``at`` (the row's number) and ``counts``."""
+    of, total = Shingles(words), np.zeros(COUNTERS, np.int32)
+    for batch in batches:
+        for raw in binary_column(batch, "text"):
+            np.add.at(total, _counter(of(raw)), 1)
+    rows = total.reshape(-1, COUNTER_ROW)
+    at = np.flatnonzero(rows.any(axis=1))
+    yield pa.record_batch(
+        [pa.array(at.astype(np.int32)), pa.array([rows[i].tobytes() for i in at], pa.binary())], names=["at", "counts"]
+    )
+
+
+def _added(batches):
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for at, raw in zip(batch.column("at").to_pylist(), batch.column("counts").to_pylist()):
+            total[at] = total.get(at, 0) + np.frombuffer(raw, np.int32)
+    rows = [(at, counts.astype(np.int32).tobytes()) for at, counts in total.items()]
+    yield pa.record_batch(
+        [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["at", "counts"]
+    )
+
+
+def _ceil(part: Fraction, n):
+    return -(-n * part.numerator // part.denominator)
+
+
+def _prints(batches, words: int, part: Fraction, counters):
+    of = Shingles(words)
+    for batch in batches:
+        rows = []
+        for raw in binary_column(batch, "text"):
+            own = of(raw)
+            order = np.lexsort((own, counters.value[_counter(own)]))
+            first = own[order[: len(own) - _ceil(part, len(own)) + 1]] if len(own) else own
+            rows.append((fingerprint(raw, words), xxhash.xxh64_intdigest(own.tobytes()), len(own), first.tobytes()))
+        fp, sig, n, first = zip(*rows) if rows else ((), (), (), ())
+        yield pa.record_batch(
+            [
+                batch.column("doc_id"),
+                pa.array(np.array(fp, np.uint64).view(np.int64)),
+                pa.array(np.array(sig, np.uint64).view(np.int64)),
+                pa.array(np.array(n, np.int32)),
+                pa.array(first, pa.binary()),
+            ],
+            names=["doc_id", "fp", "sig", "n", "prefix"],
+        )
+
+
+def prints(spark: SparkSession, docs: DataFrame, words: int, similarity: Fraction) -> DataFrame:
+    """``doc_id, fp`` as :func:`simhash.fingerprints`, ``sig`` (a hash of the whole set), ``n`` (its size) and
+    ``prefix`` (its first elements), written. What comes to the driver has the size of the table of counts."""
+    counts = docs.select("text").mapInArrow(lambda batches: _count(batches, words), "at int, counts binary")
+    counts = counts.repartition("at").mapInArrow(_added, "at int, counts binary")
+    table = np.zeros((COUNTERS // COUNTER_ROW, COUNTER_ROW), np.int32)
+    for row in counts.toLocalIterator():
+        table[row.at] = np.frombuffer(row.counts, np.int32)
+    shared = spark.sparkContext.broadcast(table.reshape(-1))
+    found = docs.select("doc_id", "text").mapInArrow(lambda b: _prints(b, words, similarity, shared), _PRINTS)
+    return written(spark, found, "prints")
+
+
+def _elements(batches):
+    """A row per element of a prefix, with its place."""
+    for batch in batches:
+        raws = batch.column("prefix").to_pylist()
+        sizes = np.array([len(raw) // 8 for raw in raws], np.int64)
+        if not sizes.sum():
+            continue
+        at = np.repeat(np.arange(len(raws)), sizes)
+        place = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        yield pa.record_batch(
+            [
+                pa.array(np.frombuffer(b"".join(raws), np.int64)),
+                *(batch.column(c).take(pa.array(at)) for c in ("sig", "fp", "n")),
+                pa.array(place.astype(np.int32)),
+            ],
+            names=["element", "sig", "fp", "n", "place"],
+        )
+
+
+def _clusters(fp: np.ndarray, max_bits: int) -> np.ndarray:
+    """A number for each fingerprint; those that are joined by steps of at most ``max_bits`` have the same."""
+    values, at = np.unique(fp.view(np.uint64), return_inverse=True)
+    root = {v: v for v in values.tolist()}
+    for a, b in _forest(values, max_bits):
+        root[int(b)] = root[int(a)]
+    numbers = {v: i for i, v in enumerate(values.tolist())}
+    return np.array([numbers[root[v]] for v in values.tolist()])[at]
+
+
+def _pairs_of(rows: np.ndarray, part: Fraction, max_bits: int):
+    """Pairs among the rows (sig, fp, n, place) of one element that may be similar enough. Those linked by their
+    fingerprints here need no look."""
+    cluster = _clusters(rows[:, 1].copy(), max_bits) if len(rows) > 2 else np.arange(len(rows))
+    if (cluster == cluster[0]).all():
+        return
+    n, left = rows[:, 2], rows[:, 2] - rows[:, 3]
+    for start in range(0, len(rows), BLOCK_ROWS):
+        own = slice(start, start + BLOCK_ROWS)
+        total = n[own, None] + n[None, :]
+        # The common part of similar sets is at least part / (1 + part) of the two sizes' sum.
+        least = _ceil(part / (1 + part), total)
+        near = np.minimum(left[own, None], left[None, :]) >= least
+        near &= cluster[own, None] != cluster[None, :]
+        near &= rows[own, 0][:, None] < rows[None, :, 0]
+        a, b = np.nonzero(near)
+        if len(a):
+            yield np.stack([rows[own][a, 0], rows[b, 0]], axis=1)
+
+
+def _pairs(batches, part: Fraction, max_bits: int):
+    """Rows come sorted by element."""
+    held = np.empty((0, 5), np.int64)
+
+    def found(rows):
+        ends = np.flatnonzero(rows[1:, 0] != rows[:-1, 0]) + 1
+        starts, stops = np.concatenate([[0], ends]), np.concatenate([ends, [len(rows)]])
+        worth = stops - starts > 1
+        for start, stop in zip(starts[worth].tolist(), stops[worth].tolist()):
+            yield from _pairs_of(rows[start:stop, 1:], part, max_bits)
+
+    def table(pairs):
+        return pa.record_batch([pa.array(pairs[:, i].copy()) for i in (0, 1)], names=["a", "b"])
+
+    for batch in batches:
+        rows = np.concatenate([held, np.stack([c.to_numpy().astype(np.int64) for c in batch.columns], axis=1)])
+        if len(rows):
+            last = int(np.searchsorted(rows[:, 0], rows[-1, 0], side="left"))
+            yield from map(table, found(rows[:last]))
+            held = rows[last:]
+    if len(held):
+        yield from map(table, found(held))
+
+
+def _sets(batches, words: int):
+    of = Shingles(words)
+    for batch in batches:
+        sets = [of(raw).tobytes() for raw in binary_column(batch, "text")]
+        yield pa.record_batch([batch.column("sig"), batch.column("fp"), pa.array(sets, pa.binary())], names=["sig", "fp", "elements"])
+
+
+def _verified(batches, part: Fraction):
+    for batch in batches:
+        sets = zip(batch.column("one").to_pylist(), batch.column("other").to_pylist())
+        stays = []
+        for one, other in sets:
+            one, other = np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64)
+            common = len(np.intersect1d(one, other, assume_unique=True))
+            union = len(one) + len(other) - common
+            stays.append(common * part.denominator >= part.numerator * union)
+        kept = batch.filter(pa.array(stays, pa.bool_()))
+        yield pa.record_batch([kept.column("a"), kept.column("b")], names=["a", "b"])
+
+
+def similar_links(
+    spark: SparkSession, docs: DataFrame, prints: DataFrame, words: int, similarity: Fraction, max_bits: int
+) -> DataFrame:
+    """Links (``a``, ``b``) between the fingerprints of all documents with that similarity or more which are not linked
+    by steps of at most ``max_bits`` bits already. Copies enter once."""
+    sets = prints.where("n > 0").dropDuplicates(["sig"])
+    elements = sets.select("sig", "fp", "n", "prefix").mapInArrow(
+        _elements, "element bigint, sig bigint, fp bigint, n int, place int"
+    )
+    dealt = elements.repartition("element").sortWithinPartitions("element")
+    pairs = dealt.mapInArrow(lambda batches: _pairs(batches, similarity, max_bits), "a bigint, b bigint").distinct()
+    pairs = written(spark, pairs, "similar-pairs")
+    ends = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct()
+    chosen = sets.join(ends, "sig", "left_semi").select("doc_id", "sig", "fp")
+    chosen = written(spark, chosen, "similar-ends")
+    texts = docs.select("doc_id", "text").join(chosen, "doc_id")
+    whole = written(spark, texts.mapInArrow(lambda b: _sets(b, words), "sig bigint, fp bigint, elements binary"), "sets")
+    one = whole.select(F.col("sig").alias("a"), F.col("fp").alias("fp_a"), F.col("elements").alias("one"))
+    other = whole.select(F.col("sig").alias("b"), F.col("fp").alias("fp_b"), F.col("elements").alias("other"))
+    joined = pairs.join(one, "a").join(other, "b")
+    both = joined.select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"), "one", "other")
+    return both.mapInArrow(lambda batches: _verified(batches, similarity), "a bigint, b bigint").where("a != b").distinct()

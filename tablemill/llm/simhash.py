@@ -164,9 +164,14 @@ def near_duplicates(
     ``component_id`` is the smallest document id that can be reached over links. Null ids are no smallest id: it is
     null where a component has no other. Rows without words have fingerprint 0 and are linked like any other.
     """
-    prints = written(spark, fingerprints(docs, shingle_words), "fingerprints")
+    return grouped(spark, written(spark, fingerprints(docs, shingle_words), "fingerprints"), max_bits)
+
+
+def grouped(spark: SparkSession, prints: DataFrame, max_bits: int = MAX_BITS, links: DataFrame | None = None) -> DataFrame:
+    """As :func:`near_duplicates`, from written ``doc_id, fp``; ``links`` (``a``, ``b``) join more fingerprints."""
     nodes = written(spark, prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
-    labels = connected_components(spark, hamming_links(spark, nodes, max_bits))
+    near = hamming_links(spark, nodes, max_bits)
+    labels = connected_components(spark, near if links is None else near.union(links))
     members = nodes.join(labels.withColumnRenamed("node", "fp"), "fp", "left")
     members = members.withColumn("label", F.coalesce("label", "fp"))
     least = members.groupBy("label").agg(F.min("first_id").alias("component_id"))

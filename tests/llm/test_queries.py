@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry_module
@@ -39,3 +40,40 @@ def test_pipeline_stages(spark):
         before = after
     pieces = corpus_pipeline.packing_stage(spark, rows, SF_DIR).collect()
     assert {p.doc_id for p in pieces} == set(before)
+
+
+def test_near_duplicate_stage_by_similarity(spark):
+    """Copies with some words changed, on both sides of similarity 0.8, against all pairs compared in plain Python."""
+    from tablemill.llm import simhash
+
+    rng = np.random.default_rng(11)
+    texts = [None, "", "two words", "Two  words"]
+    for b in range(12):
+        words = [f"b{b}w{i}" for i in rng.integers(0, 400, 300)]
+        texts.append(" ".join(words))
+        for changed in range(1, 10):
+            near = list(words)
+            for at in rng.choice(300, changed, replace=False):
+                near[at] = f"c{b}x{changed}y{at}"
+            texts.append(" ".join(near))
+        texts.append(texts[-1] + f" more{b}")
+
+    def shingles(text):
+        words = (text or "").lower().split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    sets, prints = [*map(shingles, texts)], [simhash.fingerprint((t or "").encode(), 5) for t in texts]
+    group, similar = list(range(len(texts))), []
+    for j in range(len(texts)):
+        for i in range(j):
+            common, union = len(sets[i] & sets[j]), len(sets[i] | sets[j])
+            if union and 5 * common >= 4 * union:
+                similar.append((i, j))
+            elif (prints[i] ^ prints[j]).bit_count() > 3:
+                continue
+            group = [group[i] if g == group[j] else g for g in group]
+    missed = [(i, j) for i, j in similar if (prints[i] ^ prints[j]).bit_count() > 3]
+    assert len(missed) > 50
+    docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id bigint, text string, n_chars bigint")
+    got = {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs.repartition(3), SF_DIR).collect()}
+    assert got == {min(i for i, g in enumerate(group) if g == wanted) for wanted in set(group)}
