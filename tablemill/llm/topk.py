@@ -24,7 +24,8 @@ from tablemill.llm.common import written
 PIVOTS = 32
 #: Pivots are chosen among so many vectors, those whose ids have the smallest hashes.
 PIVOT_SAMPLE = 2048
-#: Rows of a cell, or more where that would give over ``MAX_CELLS`` cells a pivot; their list goes to every task.
+#: Rows of a cell, up to four times as many where quantiles do not cut finer; at most ``MAX_CELLS`` parts of a pivot are
+#: cut at quantiles. The list of cells goes to every task.
 CELL_ROWS = 8192
 MAX_CELLS = 128
 ANNULUS_ROWS = 512
@@ -97,8 +98,8 @@ def _key(batches, pivots: np.ndarray, longest2: int):
 def _cut(index: DataFrame) -> tuple[DataFrame, list]:
     """The index with a ``cell`` for each row, and the cells: ``cell, pivot, low, high`` (least and largest distance).
 
-    A pivot's rows are cut at quantiles of their distances. Where very many rows have one distance, such as copies of
-    a vector, hashes of ids cut them further.
+    A pivot's rows are cut at quantiles of their distances. Parts of over four times ``CELL_ROWS``, such as those with
+    copies of a vector, are cut further by hashes of ids; the cells of a part have the same bounds.
     """
     grid = [i / MAX_CELLS for i in range(1, MAX_CELLS)]
     found = index.groupBy("pivot").agg(F.count("*").alias("n"), F.percentile_approx("distance", grid, 10_000).alias("q"))
@@ -121,9 +122,10 @@ def _cut(index: DataFrame) -> tuple[DataFrame, list]:
     )
     cells, first = [], {}
     for row in sorted(sizes.collect(), key=lambda r: (r.pivot, r.part)):
-        split = -(-row.n // (4 * max(CELL_ROWS, row.n if row.low < row.high else 0)))
-        first[row.pivot * MAX_CELLS + row.part] = (len(cells), split)
-        cells.extend((len(cells) + i, row.pivot, row.low, row.high) for i in range(split))
+        split = -(-row.n // (4 * CELL_ROWS))
+        begin = len(cells)
+        first[row.pivot * MAX_CELLS + row.part] = (begin, split)
+        cells.extend((begin + i, row.pivot, row.low, row.high) for i in range(split))
 
     @F.pandas_udf("int")
     def cell_of(pivot: pd.Series, part: pd.Series, h: pd.Series) -> pd.Series:

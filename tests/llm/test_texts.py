@@ -237,3 +237,14 @@ def test_top_k(spark, monkeypatch):
         want.update({(q, rank): (i, -s) for rank, (s, i) in enumerate(best, 1)})
     assert got == want
     assert topk.top_k(spark, frame.limit(0), 7, lambda i: i % 20 == 0).count() == 0
+
+
+def test_copies_of_a_vector_are_cut_beside_others(spark, monkeypatch):
+    """A third of the rows at one distance share their part with other distances."""
+    monkeypatch.setattr(topk, "CELL_ROWS", 16)
+    rows = [(i, 0, 1.0 if i % 3 == 0 else 1.0 + i / 1000) for i in range(1500)]
+    index, cells = topk._cut(spark.createDataFrame(rows, "vec_id bigint, pivot int, distance double"))
+    got = index.groupBy("cell").count().collect()
+    assert sum(r["count"] for r in got) == 1500 and max(r["count"] for r in got) <= 6 * 16
+    bounds = {cell: (low, high) for cell, _, low, high in cells}
+    assert all(bounds[r.cell][0] <= r.distance <= bounds[r.cell][1] for r in index.collect())
