@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemill.llm import hmm, lempel_ziv, line_dedup, packing, pieces, simhash, simple8b, substrings, topk, toxicity
+from tablemill.llm import exact_dedup, hmm, lempel_ziv, line_dedup, packing, pieces, simhash, simple8b, substrings, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -151,3 +151,18 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE NOT stays) AS n_remov
        sha256(coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (WHERE stays), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """
+
+
+@query
+def op12_binary_fuse(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    rows = exact_dedup.judge_copies(spark, [docs.where(half == 0), docs.where(half == 1)])
+    return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+ORACLES["op12_binary_fuse"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
