@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemill.llm import exact_dedup, hmm, lempel_ziv, line_dedup, packing, pieces, simhash, simple8b, substrings, topk, toxicity
+from tablemill.llm import (
+    exact_dedup,
+    hmm,
+    lempel_ziv,
+    line_dedup,
+    packing,
+    pieces,
+    resampling,
+    simhash,
+    simple8b,
+    substrings,
+    topk,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -153,6 +166,11 @@ FROM judged GROUP BY doc_id
 """
 
 
+@query
+def op11_head_tail(spark, sf_dir):
+    return resampling.resample(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op12_binary_fuse(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
