@@ -18,6 +18,7 @@ from tablemill.llm import (
     resampling,
     simhash,
     simple8b,
+    spelling,
     substrings,
     topk,
     toxicity,
@@ -184,3 +185,8 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+@query
+def op13_prefix_suffix(spark, sf_dir):
+    return spelling.spelling_variants(spark, table(spark, sf_dir, "documents"))
