@@ -8,6 +8,7 @@ from acceptance.crosswalk import view, view_sql
 from acceptance.registry import query, table
 from tablemill.functions import text as X
 from tablemill.operators.columns import replace_columns as replace_columns_of
+from tablemill.operators.lost_values import lost_records
 from tablemill.plans import warehouse
 
 
@@ -136,3 +137,50 @@ def clean_customer(spark, sf_dir):
 )
 def lost_values(spark, sf_dir):
     return warehouse.lost_customer_values(view(spark, sf_dir, "customers"))
+
+
+KEYS = {"BRANCH": "BRANCH_KEY", "CREDITCARD": "CARD_KEY", "CUSTOMER": "CUST_KEY"}
+_LOSSES = {
+    "BRANCH": ("branch", {_MASK_10: ("BRANCH_PHONE", ["BRANCH_PHONE"]), _ZIP: ("BRANCH_ZIP", ["BRANCH_ZIP"])}),
+    "CREDITCARD": ("card", {_DATE_KEY: ("TIMEID", ["YEAR", "MONTH", "DAY"])}),
+    "CUSTOMER": (
+        "customers",
+        {
+            _words_in_title_case("FIRST_NAME"): ("FIRST_NAME", ["FIRST_NAME"]),
+            "lower(MIDDLE_NAME)": ("MIDDLE_NAME", ["MIDDLE_NAME"]),
+            _words_in_title_case("LAST_NAME"): ("LAST_NAME", ["LAST_NAME"]),
+            "try_cast(CUST_ZIP AS integer)": ("CUST_ZIP", ["CUST_ZIP"]),
+            _MASK_7: ("CUST_PHONE", ["CUST_PHONE"]),
+            _STREET: ("CUST_STREET", ["APT_NO", "STREET_NAME"]),
+        },
+    ),
+}
+
+
+def lost_sql(name: str) -> str:
+    """The originals of all values of a table whose cleaned value is null."""
+    source, columns = _LOSSES[name]
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, cast({KEYS[name]} AS varchar) AS row_key, '{column}' AS column_name, "
+        f"'{part}' AS source_name, cast({part} AS varchar) AS original FROM {view_sql(source)} "
+        f"WHERE {part} IS NOT NULL AND ({cleaned}) IS NULL"
+        for cleaned, (column, parts) in columns.items()
+        for part in parts
+    )
+
+
+@query("clean_branch_lost", lost_sql("BRANCH"))
+def clean_branch_lost(spark, sf_dir):
+    return lost_records({"BRANCH": warehouse.clean_branch(view(spark, sf_dir, "branch"), record_lost=True)}, KEYS)
+
+
+@query("clean_card_lost", lost_sql("CREDITCARD"))
+def clean_card_lost(spark, sf_dir):
+    """A date key without its month is null; year and day are kept here."""
+    return lost_records({"CREDITCARD": warehouse.clean_card(view(spark, sf_dir, "card"), record_lost=True)}, KEYS)
+
+
+@query("clean_customer_lost", lost_sql("CUSTOMER"))
+def clean_customer_lost(spark, sf_dir):
+    cleaned = warehouse.clean_customer(view(spark, sf_dir, "customers"), record_lost=True)
+    return lost_records({"CUSTOMER": cleaned}, KEYS)

@@ -16,7 +16,7 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
         "supplier",
         {
             "BRANCH_KEY": "s_suppkey",
-            "BRANCH_PHONE": f"case when s_acctbal < 0 then '12345' when s_nationkey = 3 then null "
+            "BRANCH_PHONE": f"case when s_acctbal < 0 or s_suppkey % 7 = 5 then '12345' when s_nationkey = 3 then null "
             f"else {_TEXT_KEY.format('s_suppkey', 10)} end",
             "BRANCH_NAME": "s_name",
             "BRANCH_ZIP": f"case when s_acctbal < 1000 then 'Null' when s_nationkey = 4 then null "

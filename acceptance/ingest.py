@@ -7,9 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-import acceptance.cleaning  # noqa: F401  (its SQL is part of warehouse_load)
+from acceptance.cleaning import KEYS, lost_sql
 from acceptance.crosswalk import VIEWS, view, view_sql
 from acceptance.registry import ORACLES, query, table
+from tablemill.operators.lost_values import lost_counts, lost_records, without_lost_values
 from tablemill.plans import marketplace, warehouse
 from tablemill.session import shared_dir
 from tablemill.sinks.kafka import encoded
@@ -215,13 +216,27 @@ _LOADED = {"BRANCH": "clean_branch", "CREDITCARD": "clean_card", "CUSTOMER": "cl
 )
 def warehouse_load(spark, sf_dir):
     """Cleans the three warehouse tables, appends them to their collections and reads all rows back."""
+    loaded = [
+        without_lost_values(rows).withColumn("table_name", F.lit(name)) for name, rows in _loaded(spark, sf_dir).items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), loaded)
+
+
+def _loaded(spark, sf_dir) -> dict[str, DataFrame]:
     views = ("branch", "card", "customers")
     sources = {name: view(spark, sf_dir, source) for name, source in zip(warehouse.WAREHOUSE_TABLES, views)}
-    cleaned = warehouse.clean_warehouse(sources)
+    cleaned = warehouse.clean_warehouse(sources, record_lost=True)
     folder = shared_dir(spark, "warehouse")
     append_tables(cleaned, folder)
-    loaded = [
-        stored_table(spark, f"{folder}/{name}", schema=cleaned[name].schema).withColumn("table_name", F.lit(name))
-        for name in _LOADED
-    ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), loaded)
+    return {name: stored_table(spark, f"{folder}/{name}", schema=cleaned[name].schema) for name in _LOADED}
+
+
+@query(
+    "warehouse_load_lost",
+    f"""SELECT table_name, column_name, source_name, count(*) AS n
+        FROM ({" UNION ALL ".join(f"({lost_sql(name)})" for name in _LOADED)})
+        GROUP BY table_name, column_name, source_name""",
+)
+def warehouse_load_lost(spark, sf_dir):
+    """How many originals the loaded tables hold beside the cleaned rows that lost them."""
+    return lost_counts(lost_records(_loaded(spark, sf_dir), KEYS))

@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 
 from tablemill.functions import text as X
 from tablemill.operators.columns import count_lost, replace_columns
+from tablemill.operators.lost_values import replace_and_record
 from tablemill.sources.jdbc import WAREHOUSE_TABLES
 
+#: What the columns made of others are made of; those go.
+SOURCES = {"TIMEID": ("YEAR", "MONTH", "DAY"), "CUST_STREET": ("APT_NO", "STREET_NAME")}
+
 
 def branch_columns(strict: bool = True) -> dict[str, Column]:
     return {
@@ -34,16 +38,21 @@ def customer_columns(strict: bool = True) -> dict[str, Column]:
     }
 
 
-def clean_branch(branch: DataFrame, strict: bool = True) -> DataFrame:
-    return replace_columns(branch, branch_columns(strict))
+def _cleaned(df: DataFrame, new: dict[str, Column], record_lost: bool, drop: tuple[str, ...] = ()) -> DataFrame:
+    return replace_and_record(df, new, SOURCES, drop) if record_lost else replace_columns(df, new, drop)
+
 
+def clean_branch(branch: DataFrame, strict: bool = True, record_lost: bool = False) -> DataFrame:
+    """With ``record_lost`` each row has the originals of its values that became null in ``lost_values``."""
+    return _cleaned(branch, branch_columns(strict), record_lost)
 
-def clean_card(card: DataFrame) -> DataFrame:
-    return replace_columns(card, card_columns(), drop=("YEAR", "MONTH", "DAY"))
 
+def clean_card(card: DataFrame, record_lost: bool = False) -> DataFrame:
+    return _cleaned(card, card_columns(), record_lost, SOURCES["TIMEID"])
 
-def clean_customer(customer: DataFrame, strict: bool = True) -> DataFrame:
-    return replace_columns(customer, customer_columns(strict), drop=("APT_NO", "STREET_NAME"))
+
+def clean_customer(customer: DataFrame, strict: bool = True, record_lost: bool = False) -> DataFrame:
+    return _cleaned(customer, customer_columns(strict), record_lost, SOURCES["CUST_STREET"])
 
 
 def lost_branch_values(branch: DataFrame) -> DataFrame:
@@ -57,11 +66,16 @@ def lost_customer_values(customer: DataFrame) -> DataFrame:
     return count_lost(customer, replaced)
 
 
-def clean_warehouse(tables: Mapping[str, DataFrame], strict: bool = True) -> dict[str, DataFrame]:
-    """The three cleaned tables under the names they are stored by, from the tables under their source names."""
+def clean_warehouse(
+    tables: Mapping[str, DataFrame], strict: bool = True, record_lost: bool = False
+) -> dict[str, DataFrame]:
+    """The three cleaned tables under the names they are stored by, from the tables under their source names.
+
+    Loaded with ``record_lost``, a table holds its cleaned rows and the originals of all it could not keep;
+    ``lost_records`` lists these, from the frames or from what was loaded."""
     branch, card, customer = (tables[name] for name in WAREHOUSE_TABLES)
     return {
-        "BRANCH": clean_branch(branch, strict),
-        "CUSTOMER": clean_customer(customer, strict),
-        "CREDITCARD": clean_card(card),
+        "BRANCH": clean_branch(branch, strict, record_lost),
+        "CUSTOMER": clean_customer(customer, strict, record_lost),
+        "CREDITCARD": clean_card(card, record_lost),
     }

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from plan_text import physical_plan
 from tablemill.operators.columns import replace_columns, sample_rows, schema_differences
+from tablemill.operators.lost_values import LOST_VALUES, lost_counts, lost_records, without_lost_values
 from tablemill.plans import warehouse
 from tablemill.sinks.tables import append_tables
 from tablemill.sources.tables import stored_table
@@ -77,11 +78,58 @@ def test_clean_customer(spark):
     assert lost == {"FIRST_NAME": 0, "MIDDLE_NAME": 0, "LAST_NAME": 0, "CUST_ZIP": 1, "CUST_PHONE": 1}
 
 
+KEYS = {"BRANCH": "BRANCH_KEY", "CREDITCARD": "CARD_KEY", "CUSTOMER": "CUST_KEY"}
+
+
+def all_tables(spark):
+    return dict(zip(warehouse.WAREHOUSE_TABLES, (branch(spark), card(spark), customer(spark))))
+
+
+def test_nothing_is_lost_without_its_original(spark):
+    cleaned = warehouse.clean_warehouse(all_tables(spark), record_lost=True)
+    assert sorted(map(tuple, lost_records(cleaned, KEYS).collect())) == [
+        ("BRANCH", "3", "BRANCH_PHONE", "BRANCH_PHONE", "12345"),
+        ("CREDITCARD", "3", "TIMEID", "DAY", "5"),
+        ("CREDITCARD", "3", "TIMEID", "YEAR", "2018"),
+        ("CREDITCARD", "4", "TIMEID", "DAY", "5"),
+        ("CREDITCARD", "4", "TIMEID", "MONTH", "1"),
+        ("CUSTOMER", "2", "CUST_PHONE", "CUST_PHONE", "123"),
+        ("CUSTOMER", "2", "CUST_STREET", "STREET_NAME", "Main St"),
+        ("CUSTOMER", "2", "CUST_ZIP", "CUST_ZIP", "abc"),
+        ("CUSTOMER", "3", "CUST_STREET", "APT_NO", "7"),
+    ]
+    counts = {tuple(r) for r in lost_counts(lost_records(cleaned, KEYS)).collect()}
+    assert ("CREDITCARD", "TIMEID", "DAY", 2) in counts and len(counts) == 8
+
+
+def test_recording_changes_no_cleaned_row(spark):
+    plain, recorded = (warehouse.clean_warehouse(all_tables(spark), record_lost=flag) for flag in (False, True))
+    for name, df in plain.items():
+        assert without_lost_values(recorded[name]).schema == df.schema
+        assert rows_of(without_lost_values(recorded[name]), KEYS[name]) == rows_of(df, KEYS[name])
+    assert recorded["BRANCH"].where(f"{LOST_VALUES} IS NULL").count() == 2
+    lenient = warehouse.clean_branch(branch(spark), strict=False, record_lost=True)
+    assert lost_records({"BRANCH": lenient}, KEYS).count() == 0
+
+
+def test_lost_values_are_read_back_from_the_loaded_table(spark, tmp_path):
+    cleaned = warehouse.clean_warehouse(all_tables(spark), record_lost=True)
+    append_tables(cleaned, str(tmp_path))
+    back = {name: stored_table(spark, f"{tmp_path}/{name}") for name in cleaned}
+    records = lost_records(back, KEYS)
+    assert sorted(map(tuple, records.collect())) == sorted(map(tuple, lost_records(cleaned, KEYS).collect()))
+    plan = physical_plan(lost_records({"BRANCH": back["BRANCH"]}, KEYS))
+    assert "BRANCH_PHONE:" not in plan and "IsNotNull(lost_values)" in plan
+    empty = {"BRANCH": warehouse.clean_branch(branch(spark).limit(0), record_lost=True)}
+    assert lost_records(empty, KEYS).count() == 0
+
+
 def test_cleaning_is_one_narrow_native_step(spark):
     for df in (
         warehouse.clean_branch(branch(spark)),
         warehouse.clean_card(card(spark)),
         warehouse.clean_customer(customer(spark)),
+        *warehouse.clean_warehouse(all_tables(spark), record_lost=True).values(),
     ):
         plan = physical_plan(df)
         for word in ("Exchange", "Join", "EvalPython", "Sort"):
