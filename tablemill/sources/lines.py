@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 FILES_PER_BATCH = "10000"
 
+#: True for the first line of a file that is not the header it should be.
+FIRST_MISFITS = "first_misfits"
+
 
 def file_stream_options(options: Mapping[str, str] | None = None) -> dict[str, str]:
     """Bounds a batch to a number of files unless ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` is given.
@@ -21,21 +24,20 @@ def file_stream_options(options: Mapping[str, str] | None = None) -> dict[str, s
     return chosen
 
 
-def without_header(lines: DataFrame, header: str | None) -> DataFrame:
-    """Drops lines equal to ``header``, with or without a byte order mark. Lines carry no number, so a header is
-    known by its text."""
-    return lines if header is None else lines.where(~F.col("value").isin(header, "\ufeff" + header))
-
-
 def text_lines(spark: SparkSession, path: str, header: str | None = None) -> DataFrame:
-    return without_header(spark.read.text(path), header)
+    """Lines of files. With ``header`` a file loses its first line if that is the header, and a first line that is
+    not has ``first_misfits`` true: parsing rejects it. Lines further down stay, also those equal to the header."""
+    lines = spark.read.text(path)
+    return lines if header is None else _below_first(lines, header)
 
 
 def file_line_stream(
     spark: SparkSession, path: str, header: str | None = None, options: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Lines of the files below ``path``, present and future; ``options`` as in :func:`file_stream_options`."""
-    return without_header(spark.readStream.options(**file_stream_options(options)).text(path), header)
+    """The streaming form of :func:`text_lines`, over files present and future; ``options`` as in
+    :func:`file_stream_options`."""
+    lines = spark.readStream.options(**file_stream_options(options)).text(path)
+    return lines if header is None else _below_first(lines, header)
 
 
 def kafka_options(
@@ -78,25 +80,41 @@ def stream_below_header(spark: SparkSession, path: str, options: Mapping[str, st
     return _below_first(spark.readStream.options(**file_stream_options(options)).text(path))
 
 
-def _below_first(lines: DataFrame) -> DataFrame:
+def _below_first(lines: DataFrame, header: str | None = None) -> DataFrame:
     """The text source keeps every line and gives those of a piece of a file in order, so the first line of a piece
     that begins where its file does is the file's first. No source option tells it, so batches of rows go through
-    Python here; where the header's text is known, ``without_header`` does without."""
+    Python here. With a header only first lines with its text, with or without a byte order mark, are dropped."""
     placed = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
-    return placed.mapInArrow(_drop_first, "value string")
-
-
-def _drop_first(batches):
-    import numpy as np
-    import pyarrow as pa
-
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        files, at = batch.column("file").dictionary_encode(), batch.column("at").to_numpy()
-        codes = files.indices.to_numpy()
-        new = np.concatenate([[True], (codes[1:] != codes[:-1]) | (at[1:] != at[:-1])])
-        new[0] = (files[0].as_py(), at[0]) != last
-        last = (files[len(files) - 1].as_py(), at[-1])
-        yield pa.record_batch([batch.column("value").filter(pa.array(~(new & (at == 0))))], names=["value"])
+    if header is None:
+        return placed.mapInArrow(_drop_first(None), "value string")
+    return placed.mapInArrow(_drop_first({header, "\ufeff" + header}), f"value string, {FIRST_MISFITS} boolean")
+
+
+def _drop_first(headers: set[str] | None):
+    """First lines go; with ``headers`` only those among them, and the others are marked."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            files, at = batch.column("file").dictionary_encode(), batch.column("at").to_numpy()
+            codes = files.indices.to_numpy()
+            new = np.concatenate([[True], (codes[1:] != codes[:-1]) | (at[1:] != at[:-1])])
+            new[0] = (files[0].as_py(), at[0]) != last
+            last = (files[len(files) - 1].as_py(), at[-1])
+            value, first = batch.column("value"), new & (at == 0)
+            if headers is None:
+                yield pa.record_batch([value.filter(pa.array(~first))], names=["value"])
+                continue
+            misfits = first.copy()
+            for k in np.flatnonzero(first).tolist():
+                misfits[k] = value[k].as_py() not in headers
+            stays = ~first | misfits
+            columns = [value.filter(pa.array(stays)), pa.array(misfits[stays])]
+            yield pa.record_batch(columns, names=["value", FIRST_MISFITS])
+
+    return run

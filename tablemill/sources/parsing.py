@@ -8,29 +8,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablemill.sources.lines import FIRST_MISFITS
 from tablemill.sources.records import REJECTED_LINE, RecordType
 
 # Fixed: what the text of a number may be, without the suffixes and hexadecimal forms that a cast would take.
+# Only texts with one of the characters below can be taken by a cast and be none, so only those are held against it.
+_DOUBTFUL = r"[dDfFxXpP\x00-\x08\x0E-\x1F\x7F]"
 NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|nan|inf|infinity)\s*$"
 
 
 def parse_lines(lines: DataFrame, record: RecordType) -> DataFrame:
     """One row per line of ``value``: the record's fields, and the line in ``rejected_line`` if it does not fit.
 
-    A line fits if it has as many fields as the record and a number in each number field. Empty text stays empty
-    text in accepted rows.
+    A line fits if it has as many fields as the record and a number in each number field, and is not marked as a first
+    line that should have been a header. Empty text stays empty text in accepted rows.
 
     The cut line goes through ``inline`` so that a later filter on its fields stays above the cut. As a plain column
     it would be cut again for every field that the filter looks at.
     """
-    text = lines.select(F.coalesce("value", F.lit("")).alias("_line"))
+    marked = [FIRST_MISFITS] if FIRST_MISFITS in lines.columns else []
+    text = lines.select(F.coalesce("value", F.lit("")).alias("_line"), *marked)
     names = record.schema.names
     parts = text.withColumn("_parts", F.split("_line", re.escape(record.separator), len(names) + 1))
     fields = _plain_fields(names)
     if record.quoted:
         fields = F.when(_needs_csv_parser(record), _quoted_fields(record)).otherwise(fields)
     cut = parts.withColumn("_fields", fields)
-    return _typed(cut.select("_line", F.inline(F.array("_fields"))), record)
+    return _typed(cut.select("_line", *marked, F.inline(F.array("_fields"))), record)
 
 
 def accepted(rows: DataFrame) -> DataFrame:
@@ -78,6 +82,8 @@ def _typed(rows: DataFrame, record: RecordType) -> DataFrame:
     converted = {f.name: F.col(f.name) if is_text[f.name] else _number(f) for f in fields}
 
     misfit = F.col(REJECTED_LINE).isNotNull()
+    if FIRST_MISFITS in rows.columns:
+        misfit = misfit | F.col(FIRST_MISFITS)
     for name, value in converted.items():
         if not is_text[name]:
             misfit = misfit | value.isNull()
@@ -95,4 +101,4 @@ def _typed(rows: DataFrame, record: RecordType) -> DataFrame:
 def _number(field: T.StructField) -> Column:
     """The field's text as a number; null if it is none."""
     text = F.col(field.name)
-    return F.when(text.rlike(NUMBER), text.try_cast(field.dataType))
+    return F.when(~text.rlike(_DOUBTFUL) | text.rlike(NUMBER), text.try_cast(field.dataType))

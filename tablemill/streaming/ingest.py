@@ -68,9 +68,8 @@ def ingest_files(
     """From delimited files with header lines to the landed table.
 
     ``path`` may be a pattern that covers several parts; they are taken in by one stream, a bounded number of files
-    (``maxFilesPerTrigger``) or bytes (``maxBytesPerTrigger``) per batch. Files lose their first line. Where the text
-    of that line is known, giving it as ``header`` saves a third of the time, since lines can then be read as plain
-    text.
+    (``maxFilesPerTrigger``) or bytes (``maxBytesPerTrigger``) per batch. Files lose their first line. With ``header``
+    a first line of another text lands as a rejected line instead.
     """
     if header is None:
         lines = stream_below_header(spark, path, options)

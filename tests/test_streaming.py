@@ -10,7 +10,13 @@ from collections import Counter
 import pytest
 
 from tablemill.plans import marketplace
-from tablemill.sources.lines import file_line_stream, file_stream_options, stream_below_header
+from tablemill.sources.lines import (
+    file_line_stream,
+    file_stream_options,
+    lines_below_header,
+    stream_below_header,
+    text_lines,
+)
 from tablemill.sources.parsing import accepted, parse_lines, rejected
 from tablemill.sources.records import BENEFITS_COST_SHARING, INSURANCE, SERVICE_AREA
 from tablemill.sources.tables import with_row_id
@@ -50,11 +56,38 @@ def test_lines_land_once_and_rejects_are_kept(spark, tmp_path):
 
 def test_stream_equals_batch(spark, tmp_path):
     lines = [PERSON, "19\tmale\t\t0\tno\tne\t1", "", "1\tmale\t1e3\t0\tno\tne\t1"]
-    write(tmp_path / "in" / "a.txt", None, *lines)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("\n".join([INSURANCE.header, *lines]) + "\n")
     stream = file_line_stream(spark, str(tmp_path / "in"), INSURANCE.header)
     streamed = ingest_lines(stream, INSURANCE, str(tmp_path / "t"), str(tmp_path / "cp"))
-    batch = parse_lines(spark.read.text(str(tmp_path / "in")), INSURANCE)
-    assert bag(streamed) == bag(batch)
+    batch = parse_lines(text_lines(spark, str(tmp_path / "in"), INSURANCE.header), INSURANCE)
+    assert bag(streamed) == bag(batch) == bag(parse_lines(lines_below_header(spark, str(tmp_path / "in")), INSURANCE))
+    assert streamed.count() == len(lines)
+
+
+@pytest.mark.parametrize("record, line", [(INSURANCE, PERSON), (BENEFITS_COST_SHARING, benefit("Dental", "AK"))])
+def test_headers_are_known_by_text_and_place(spark, tmp_path, record, line):
+    """A first line of another text is rejected, even where it would do as a record; below, the header is a line."""
+    wrong = line if record is INSURANCE else record.header.replace("State", "Region")
+    texts = {
+        "good.txt": [record.header, line, record.header, line],
+        "mark.txt": ["\ufeff" + record.header, line],
+        "wrong.txt": [wrong, line],
+        "blank.txt": ["", line],
+        "alone.txt": [record.header],
+    }
+    (tmp_path / "in").mkdir()
+    for name, lines in texts.items():
+        (tmp_path / "in" / name).write_text("\n".join(lines) + "\n")
+    (tmp_path / "in" / "empty.txt").write_text("")
+    batch = parse_lines(text_lines(spark, str(tmp_path / "in"), record.header), record)
+    target = str(tmp_path / "t")
+    streamed = ingest_files(spark, record, str(tmp_path / "in"), target, str(tmp_path / "cp"), header=record.header)
+    assert bag(batch) == bag(streamed)
+    n_text_headers = 0 if record is INSURANCE else 1  # a header of texts only is a record of texts
+    assert accepted(streamed).count() == 5 + n_text_headers
+    kept = sorted(row.value for row in rejected(streamed).collect())
+    assert kept == sorted(["", wrong, *([record.header] if record is INSURANCE else [])])
 
 
 def test_nothing_to_read_gives_an_empty_table(spark, tmp_path):
@@ -99,7 +132,7 @@ def test_quoted_files_through_a_stream(spark, tmp_path):
     assert (row.ZipCodes, row.PartialCountyJustification, row.County) == ("1, 2", 'says "no"', "")
 
 
-def test_known_headers_are_dropped_by_their_text(spark, tmp_path):
+def test_known_headers_are_dropped(spark, tmp_path):
     lines = [benefit("Dental", "AK"), "", "\t" * 10]
     for part in ("one", "two"):
         write(tmp_path / "in" / f"{part}.txt", BENEFITS_COST_SHARING.header)
