@@ -14,6 +14,7 @@ from tablemill.operators.merging import merge_counts, merge_on_key
 from tablemill.operators.pivots import pivot_counts
 from tablemill.operators.ranking import top_name_with_total
 from tablemill.sinks.tables import chart_feed as chart_feed_of
+from tablemill.sources.cuts import plan_cuts
 from tablemill.sources.tables import find, parquet_tables
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -244,18 +245,52 @@ def merge_winners_with_totals(spark, sf_dir):
     return merge_on_key([winners, totals], "l_partkey", "full")
 
 
-_SCANNED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+#: Of each table a key that is summed and a text whose characters are counted.
+_SCANNED = {
+    "region": ("r_regionkey", "r_name"),
+    "nation": ("n_nationkey", "n_name"),
+    "customer": ("c_custkey", "c_name"),
+    "supplier": ("s_suppkey", "s_name"),
+    "part": ("p_partkey", "p_name"),
+    "orders": ("o_orderkey", "o_orderpriority"),
+    "lineitem": ("l_orderkey", "l_returnflag"),
+}
 
 
 @query(
     "multi_table_scan",
-    " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS n FROM {name}" for name in _SCANNED),
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS n, cast(sum({key}) AS bigint) AS key_sum, "
+        f"cast(sum(length({text})) AS bigint) AS n_chars FROM {name}"
+        for name, (key, text) in _SCANNED.items()
+    ),
 )
 def multi_table_scan(spark, sf_dir):
     tables = parquet_tables(spark, sf_dir, _SCANNED)
-    counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
-              for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, counts)
+    sums = []
+    for name, df in tables.items():
+        key, text = _SCANNED[name]
+        n, keys, chars = F.count(F.lit(1)), F.sum(F.col(key).cast("bigint")), F.sum(F.length(text))
+        totals = df.agg(n.alias("n"), keys.alias("key_sum"), chars.alias("n_chars"))
+        sums.append(totals.select(F.lit(name).alias("table_name"), "n", "key_sum", "n_chars"))
+    return reduce(DataFrame.unionByName, sums)
+
+
+_PLANNED_PARTS = 16
+
+
+@query(
+    "planned_cuts",
+    """SELECT l_returnflag, l_linenumber, l_partkey, count(*) AS n, cast(1 AS bigint) AS times
+       FROM lineitem GROUP BY ALL""",
+)
+def planned_cuts(spark, sf_dir):
+    """The predicates planned for a bunched key, read as a database would: each of its keys is met by one of them."""
+    columns = ["l_returnflag", "l_linenumber", "l_partkey"]
+    keys = table(spark, sf_dir, "lineitem").groupBy(*columns).agg(F.count("*").alias("n"))
+    predicates = plan_cuts(keys, columns, _PLANNED_PARTS, "n")
+    met = reduce(lambda a, b: a + b, (F.expr(f"CASE WHEN {p} THEN 1L ELSE 0L END") for p in predicates))
+    return keys.withColumn("times", met)
 
 
 @query("sample_rows", "SELECT cast(2 AS bigint) AS n")

@@ -65,13 +65,12 @@ def jdbc_table(
     table: str,
     split: Split | None = None,
     predicates: Sequence[str] | None = None,
+    single_task: bool = False,
 ) -> DataFrame:
-    """One table; without ``split`` or ``predicates`` a single task reads all of it.
-
-    ``predicates`` are SQL conditions that cut the table into disjoint parts, one task each.
-    """
-    if split is not None and predicates is not None:
-        raise ValueError("give either split or predicates")
+    """One table, read by the ranges of ``split`` or by ``predicates``, SQL conditions that cut it into disjoint parts,
+    one task each (``cuts.plan_cuts`` plans them). A single task reads all of it only on request."""
+    if sum((split is not None, predicates is not None, single_task)) != 1:
+        raise ValueError(f"give one of split, predicates and single_task for {table}")
     if predicates is not None:
         properties = {name: value for name, value in connection.options().items() if name != "url"}
         return spark.read.jdbc(connection.url, table, predicates=list(predicates), properties=properties)
@@ -82,7 +81,14 @@ def jdbc_tables(
     spark: SparkSession,
     connection: Connection,
     tables: Iterable[str] = WAREHOUSE_TABLES,
-    splits: Mapping[str, Split] | None = None,
+    splits: Mapping[str, Split | Sequence[str]] | None = None,
+    single_task: Iterable[str] = (),
 ) -> dict[str, DataFrame]:
-    """One frame per table name, each built once."""
-    return {table: jdbc_table(spark, connection, table, (splits or {}).get(table)) for table in tables}
+    """One frame per table name, each built once. ``splits`` has the ranges or the predicates of each table, but for
+    those named in ``single_task``, which one task may read."""
+    single, found = set(single_task), {}
+    for table in tables:
+        cut = (splits or {}).get(table)
+        ranges, predicates = (cut, None) if isinstance(cut, Split) else (None, cut)
+        found[table] = jdbc_table(spark, connection, table, ranges, predicates, table in single)
+    return found

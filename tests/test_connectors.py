@@ -43,7 +43,8 @@ def test_jdbc_split_and_predicates_exclude_each_other(spark):
 def test_jdbc_tables_builds_each_table_once():
     session = MagicMock()
     reader = session.read.format.return_value
-    tables = jdbc_tables(session, DATABASE, splits={"CDW_SAPP_CUSTOMER": Split("SSN", 0, 100, 8)})
+    small = ["CDW_SAPP_BRANCH", "CDW_SAPP_CREDITCARD"]
+    tables = jdbc_tables(session, DATABASE, splits={"CDW_SAPP_CUSTOMER": Split("SSN", 0, 100, 8)}, single_task=small)
     assert list(tables) == list(WAREHOUSE_TABLES)
     assert [call.args for call in session.read.format.call_args_list] == [("jdbc",)] * 3
     given = [call.kwargs for call in reader.options.call_args_list]
@@ -62,6 +63,17 @@ def test_jdbc_predicates_become_one_task_each():
     }
 
 
+def test_jdbc_tables_take_predicates_and_no_table_is_left_to_one_task_by_default():
+    session = MagicMock()
+    cuts = ["(ID < 5 OR ID IS NULL)", "ID >= 5"]
+    jdbc_tables(session, DATABASE, ["T"], splits={"T": cuts})
+    assert session.read.jdbc.call_args.kwargs["predicates"] == cuts
+    with pytest.raises(ValueError, match="CDW_SAPP_BRANCH"):
+        jdbc_tables(session, DATABASE)
+    with pytest.raises(ValueError):
+        jdbc_table(session, DATABASE, "T", Split("ID", 1, 2, 2), single_task=True)
+
+
 def test_publishing_and_collections_write_through_their_connector():
     lines = MagicMock()
     publish_lines(lines, "h:9092", "Network")
