@@ -6,10 +6,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from acceptance.registry import query, table
 from tablemill.operators import counting as C
 from tablemill.operators.columns import sample_rows as sample_rows_of
+from tablemill.operators.columns import schema_report
 from tablemill.operators.merging import merge_counts, merge_on_key
 from tablemill.operators.pivots import pivot_counts
 from tablemill.operators.ranking import top_name_with_total
@@ -307,3 +309,43 @@ def sample_rows(spark, sf_dir):
 )
 def chart_feed(spark, sf_dir):
     return chart_feed_of(count_by_key(spark, sf_dir), "o_orderpriority")
+
+
+#: What customers and suppliers are declared as here: a column too many, one too few, another type, another order.
+_DECLARED = {
+    "customer": "c_custkey bigint, c_name string, c_phone string, c_nationkey string, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_nationkey bigint, s_name string, s_acctbal double",
+}
+_DECLARED_ROWS = ", ".join(
+    f"('{name}', '{field.split()[0]}', '{field.split()[1]}', {place})"
+    for name, fields in _DECLARED.items()
+    for place, field in enumerate(fields.split(", "), 1)
+)
+_FOUND_COLUMNS = {
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+}
+_VALUE_COUNTS = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, '{column}' AS column_name, count({column}) AS n_values FROM {name}"
+    for name, columns in _FOUND_COLUMNS.items()
+    for column in columns
+)
+
+
+@query(
+    "schema_compare",
+    f"""
+    WITH declared(table_name, column_name, expected, expected_place) AS (VALUES {_DECLARED_ROWS}),
+    found AS (
+        SELECT DISTINCT table_name, column_name, cast(ordinal_position AS integer) AS found_place,
+               CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(data_type) END AS found
+        FROM information_schema.columns WHERE table_name IN ('customer', 'supplier')),
+    counts AS ({_VALUE_COUNTS})
+    SELECT table_name, column_name, expected, found, cast(expected_place AS integer) AS expected_place, found_place,
+           expected IS NOT DISTINCT FROM found AND expected_place IS NOT DISTINCT FROM found_place AS agrees, n_values
+    FROM declared FULL JOIN found USING (table_name, column_name) LEFT JOIN counts USING (table_name, column_name)
+    """,
+)
+def schema_compare(spark, sf_dir):
+    declared = {name: T.StructType.fromDDL(fields) for name, fields in _DECLARED.items()}
+    return schema_report(spark, parquet_tables(spark, sf_dir, _DECLARED), declared)

@@ -41,12 +41,12 @@ def _comma_line(df: DataFrame) -> Column:
     return F.to_csv(F.struct(*df.columns), options).alias("value")
 
 
-def _written_files(df: DataFrame, record: RecordType, purpose: str, *parts: str) -> str:
+def _written_files(df: DataFrame, record: RecordType, purpose: str, *parts: str, folder: str | None = None) -> str:
     """Delimited files with header lines in the shared folder; with ``parts`` in one folder per value."""
-    folder = shared_dir(df.sparkSession, purpose)
+    folder = folder or shared_dir(df.sparkSession, purpose)
     options = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "emptyValue": ""}
     quoting = {"escape": '"'} if record.quoted else {"quote": ""}
-    writer = df.write.options(header="true", sep=record.separator, **options, **quoting)
+    writer = df.write.mode("append").options(header="true", sep=record.separator, **options, **quoting)
     writer.partitionBy(*parts).csv(folder)
     return folder
 
@@ -187,6 +187,19 @@ def collection_forward(spark, sf_dir):
     return stored_table(spark, f"{lake}/collection", "json", marketplace.INSURANCE.schema)
 
 
+@query("landed_periods", f"SELECT *, 'year=' || BusinessYear AS period FROM {view_sql('service_area')}")
+def landed_periods(spark, sf_dir):
+    """A folder of files, a stream and a table per year. Half of each year's files come late, when all years have been
+    landed before."""
+    areas = view(spark, sf_dir, "service_area").withColumn("year", F.col("BusinessYear"))
+    late = F.pmod("IssuerId", F.lit(2)) == 1
+    lake, arrived = shared_dir(spark, "marketplace"), shared_dir(spark, "periods")
+    for rows in (areas.where(~late), areas.where(late)):
+        path = _written_files(rows, marketplace.SERVICE_AREA, "periods", "year", folder=arrived)
+        marketplace.land_periods(spark, marketplace.SERVICE_AREA, path, lake, header=marketplace.SERVICE_AREA.header)
+    return accepted(marketplace.landed_periods(spark, marketplace.SERVICE_AREA, lake))
+
+
 @query("append_roundtrip", "SELECT * FROM customer UNION ALL SELECT * FROM customer")
 def append_roundtrip(spark, sf_dir):
     return _appended_twice(spark, sf_dir, "parquet")

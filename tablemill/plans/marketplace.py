@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablemill.sinks.batches import BatchStore
 from tablemill.sinks.kafka import publish_lines
 from tablemill.sources.lines import kafka_line_stream, kafka_options, lines_below_header
 from tablemill.sources.parsing import accepted
@@ -18,6 +19,7 @@ from tablemill.sources.records import (
     RecordType,
 )
 from tablemill.streaming.ingest import forward, ingest_files, ingest_lines
+from tablemill.streaming.periods import land_periods, landed_periods
 
 # The topics of each record type; the largest table comes in four parts.
 TOPICS = {
@@ -103,9 +105,11 @@ def to_collection(
     options: Mapping[str, str] | None = None,
     target: str | None = None,
 ) -> None:
-    """Sends what has newly landed in ``folder`` to a document collection, or to files below ``target``."""
+    """Sends what has newly landed in ``folder`` to a document collection, or to files below ``target``, each row once
+    also after failures."""
     source, _ = _places(record, folder)
-    forward(spark, record, source, target, f"{folder}/_checkpoints/{record.name}-{fmt}", fmt, options)
+    store = BatchStore(fmt, target, options or {})
+    forward(spark, record, source, store, f"{folder}/_checkpoints/{record.name}-{fmt}")
 
 
 def _places(record: RecordType, folder: str) -> tuple[str, str]:

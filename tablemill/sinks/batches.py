@@ -8,11 +8,13 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablemill.sinks.tables import append_table
 from tablemill.sources.tables import stored_table
 
 ROW_ID, BATCH = "_id", "_batch"
+_ROW_NAMES = T.StructType([T.StructField(name, T.StringType()) for name in (ROW_ID, BATCH)])
 
 
 @dataclass(frozen=True)
@@ -29,12 +31,12 @@ class BatchStore:
     def ids_of(self, spark: SparkSession, batch: str) -> DataFrame | None:
         """The row ids that the store has of a batch; none if there is no store yet."""
         try:
-            rows = stored_table(spark, self.location, self.fmt, options=self.options)
+            rows = stored_table(spark, self.location, self.fmt, _ROW_NAMES, self.options)
         except AnalysisException as missing:
-            if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
-        return rows.where(F.col(BATCH) == batch).select(ROW_ID) if BATCH in rows.columns else None
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return rows.where(F.col(BATCH) == batch).select(ROW_ID)
 
 
 def append_once(rows: DataFrame, batch: str, store: BatchStore, repeated: bool = True) -> None:

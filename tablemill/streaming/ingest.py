@@ -6,28 +6,20 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablemill.sinks.batches import BatchStore, batch_appender
 from tablemill.sources.lines import file_line_stream, file_stream_options, stream_below_header
 from tablemill.sources.parsing import accepted, parse_lines
 from tablemill.sources.records import RecordType
 from tablemill.sources.tables import with_row_id
 
 
-def land(
-    rows: DataFrame,
-    target: str | None,
-    checkpoint: str,
-    fmt: str = "parquet",
-    options: Mapping[str, str] | None = None,
-) -> None:
+def land(rows: DataFrame, target: str, checkpoint: str) -> None:
     """Runs a stream over everything that is there now, then stops.
 
-    The checkpoint remembers what has been read and a file sink commits each batch once, so running it again adds
-    only what is new. A connector's stream sink has no ``target`` folder and may see a batch again after a failure;
-    rows with ``_id`` (:func:`forward`) then replace themselves.
+    The checkpoint remembers what has been read and the file sink commits each batch once, so running it again adds
+    only what is new.
     """
-    writer = rows.writeStream.format(fmt).options(**(options or {})).option("checkpointLocation", checkpoint)
-    if target:
-        writer = writer.option("path", target)
+    writer = rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
     writer.trigger(availableNow=True).outputMode("append").start().awaitTermination()
 
 
@@ -36,18 +28,14 @@ def landed(spark: SparkSession, record: RecordType, target: str) -> DataFrame:
     return spark.read.schema(record.landed_schema).parquet(target)
 
 
-def forward(
-    spark: SparkSession,
-    record: RecordType,
-    source: str,
-    target: str | None,
-    checkpoint: str,
-    fmt: str,
-    options: Mapping[str, str] | None = None,
-) -> None:
-    """Sends the accepted rows that have landed since the last run on to another store, each under its own ``_id``."""
+def forward(spark: SparkSession, record: RecordType, source: str, store: BatchStore, checkpoint: str) -> None:
+    """Sends the accepted rows that have landed since the last run on to another store, each under its own ``_id``.
+
+    The store needs no transactions: a batch that a lost driver left without its commit comes again with the same
+    number and ids, and only rows that the store does not have are appended."""
     rows = spark.readStream.schema(record.landed_schema).options(**file_stream_options()).parquet(source)
-    land(accepted(with_row_id(rows)), target, checkpoint, fmt, options)
+    writer = accepted(with_row_id(rows)).writeStream.foreachBatch(batch_appender(record.name, store))
+    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def ingest_lines(lines: DataFrame, record: RecordType, target: str, checkpoint: str) -> DataFrame:

@@ -9,7 +9,10 @@ from collections import Counter
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tablemill.plans import marketplace
+from tablemill.sinks.batches import BatchStore, append_once
 from tablemill.sources.lines import (
     file_line_stream,
     file_stream_options,
@@ -21,6 +24,7 @@ from tablemill.sources.parsing import accepted, parse_lines, rejected
 from tablemill.sources.records import BENEFITS_COST_SHARING, INSURANCE, SERVICE_AREA
 from tablemill.sources.tables import with_row_id
 from tablemill.streaming.ingest import ingest_files, ingest_lines, landed
+from tablemill.streaming.periods import land_periods, landed_periods
 
 PERSON = "19\tfemale\t27.9\t0\tyes\tsouthwest\t16884.924"
 
@@ -189,6 +193,73 @@ def test_forwarding_sends_each_row_once_under_its_own_id(spark, tmp_path):
     assert len({row["_id"] for row in spark.read.json(target).collect()}) == 3
 
 
+def test_a_forwarded_batch_without_its_commit_is_not_appended_again(spark, tmp_path):
+    """Neither one that the store has whole, nor one of which it has a part, as after the loss of a writer."""
+    lake, target = tmp_path / "lake", str(tmp_path / "collection")
+    write(tmp_path / "in" / "a.txt", INSURANCE.header, *[PERSON] * 10)
+    marketplace.insurance(spark, str(tmp_path / "in"), str(lake))
+    marketplace.to_collection(spark, INSURANCE, str(lake), "json", target=target)
+    commits = lake / "_checkpoints" / "Insurance-json" / "commits"
+
+    def forget_and_rerun():
+        for name in ("0", ".0.crc"):
+            (commits / name).unlink()
+        marketplace.to_collection(spark, INSURANCE, str(lake), "json", target=target)
+        return [row["_id"] for row in spark.read.json(target).collect()]
+
+    ids = forget_and_rerun()
+    assert len(ids) == 10 and len(set(ids)) == 10
+    rows = spark.read.schema(f"_id string, _batch string, {INSURANCE.schema.toDDL()}").json(target)
+    rows.where(F.col("_id").isin(ids[:4])).write.json(str(tmp_path / "part"))
+    spark.read.schema(rows.schema).json(str(tmp_path / "part")).write.mode("overwrite").json(target)
+    assert spark.read.json(target).count() == 4
+    assert sorted(forget_and_rerun()) == sorted(ids)
+
+
+def test_batches_of_other_streams_and_numbers_are_no_repeats(spark, tmp_path):
+    store = BatchStore("parquet", str(tmp_path / "store"))
+    rows = spark.createDataFrame([("x", 1), ("y", 2)], "_id string, v int")
+    for batch in ("one:0", "one:0", "one:1", "two:0"):
+        append_once(rows, batch, store)
+    assert bag(spark.read.parquet(store.location).groupBy("_batch", "_id").count().drop("_id")) == {
+        ("one:0", 1): 2, ("one:1", 1): 2, ("two:0", 1): 2
+    }
+    append_once(rows.limit(0), "three:0", store)
+    append_once(rows, "four:0", BatchStore("json", str(tmp_path / "new")))
+    assert spark.read.json(str(tmp_path / "new")).count() == 2
+
+
+def test_periods_land_apart_and_late_files_still_land(spark, tmp_path):
+    source, lake = tmp_path / "in", str(tmp_path / "lake")
+    for period in ("2014-01", "2014-02", "2014-03"):
+        write(source / period / "a.txt", INSURANCE.header, PERSON)
+    (source / "_not_a_period").mkdir()
+    rows = land_periods(spark, INSURANCE, str(source), lake)
+    assert Counter(row.period for row in rows.collect()) == {"2014-01": 1, "2014-02": 1, "2014-03": 1}
+    write(source / "2014-01" / "late.txt", INSURANCE.header, PERSON, "broken")
+    write(source / "2014-03" / "b.txt", INSURANCE.header, PERSON)
+    only = land_periods(spark, INSURANCE, str(source), lake, periods=["2014-03"])
+    assert Counter(row.period for row in only.collect()) == {"2014-01": 1, "2014-02": 1, "2014-03": 2}
+    for _ in range(2):
+        rows = land_periods(spark, INSURANCE, str(source), lake)
+        assert Counter(row.period for row in accepted(rows).collect()) == {"2014-01": 2, "2014-02": 1, "2014-03": 2}
+    assert [row.value for row in rejected(rows).collect()] == ["broken"]
+    assert landed_periods(spark, INSURANCE, lake, ["2014-02"]).count() == 1
+    logged = [p.name for p in (tmp_path / "lake/_checkpoints/Insurance").iterdir()]
+    assert sorted(logged) == ["2014-01", "2014-02", "2014-03"]
+    nothing = land_periods(spark, INSURANCE, str(tmp_path / "none"), str(tmp_path / "other"))
+    assert nothing.count() == 0 and nothing.columns == [*INSURANCE.landed_schema.names, "period"]
+
+
+def test_rows_of_a_batch_that_was_never_committed_do_not_show(spark, tmp_path):
+    source, lake = tmp_path / "in", tmp_path / "lake"
+    write(source / "p1" / "a.txt", INSURANCE.header, PERSON)
+    land_periods(spark, INSURANCE, str(source), str(lake))
+    (stray,) = [p for p in (lake / "Insurance/p1").iterdir() if p.suffix == ".parquet"]
+    (lake / "Insurance/p1" / "part-stray.parquet").write_bytes(stray.read_bytes())
+    assert landed_periods(spark, INSURANCE, str(lake)).count() == 1
+
+
 def test_row_ids_are_the_same_each_time(spark, tmp_path):
     spark.range(1000).repartition(3).write.parquet(str(tmp_path / "t"))
     ids = [bag(with_row_id(spark.read.parquet(str(tmp_path / "t")))) for _ in range(2)]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plan_text import physical_plan
-from tablemill.operators.columns import replace_columns, sample_rows, schema_differences
+from tablemill.operators.columns import replace_columns, sample_rows, schema_differences, schema_report
 from tablemill.operators.lost_values import LOST_VALUES, lost_counts, lost_records, without_lost_values
 from tablemill.plans import warehouse
 from tablemill.sinks.tables import append_tables
@@ -161,3 +161,22 @@ def test_sample_rows_and_schema_differences(spark):
     assert schema_differences(df, T.StructType.fromDDL("id int")) == ["missing id int", "unexpected id bigint"]
     pair = spark.createDataFrame([(1, 2)], "a int, b int")
     assert schema_differences(pair, T.StructType.fromDDL("b int, a int")) == ["columns are in another order"]
+
+
+def test_schema_report_over_a_table_set(spark):
+    tables = {"a": spark.createDataFrame([(1, "x"), (2, None)], "id bigint, name string"), "b": spark.range(3)}
+    declared = {
+        "a": T.StructType.fromDDL("name string, id int, gone date"),
+        "c": T.StructType.fromDDL("only string"),
+    }
+    got = sorted(map(tuple, schema_report(spark, tables, declared).collect()))
+    assert got == [
+        ("a", "gone", "date", None, 3, None, False, None),
+        ("a", "id", "int", "bigint", 2, 1, False, 2),
+        ("a", "name", "string", "string", 1, 2, False, 1),
+        ("b", "id", None, "bigint", None, 1, False, 3),
+        ("c", "only", "string", None, 1, None, False, None),
+    ]
+    same = schema_report(spark, {"b": tables["b"]}, {"b": T.StructType.fromDDL("id bigint")}).first()
+    assert same.agrees and same.n_values == 3
+    assert schema_report(spark, {}, declared).count() == 4 and schema_report(spark, {}, {}).count() == 0
