@@ -12,10 +12,11 @@ from tablemill.sources.lines import FIRST_MISFITS
 from tablemill.sources.records import REJECTED_LINE, RecordType
 
 # Fixed: what the text of a number may be, without the suffixes and hexadecimal forms that a cast would take.
-# Only texts with one of the characters below can be taken by a cast and be none, so only those are held against it.
-_DOUBTFUL = r"[dDfFxXpP\x00-\x08\x0E-\x1F\x7F]"
 NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|nan|inf|infinity)\s*$"
 
+#: The CSV parser takes lines of up to 20,480 fields.
+PARSER_FIELDS = 20_000
+
 
 def parse_lines(lines: DataFrame, record: RecordType) -> DataFrame:
     """One row per line of ``value``: the record's fields, and the line in ``rejected_line`` if it does not fit.
@@ -56,13 +57,17 @@ def _plain_fields(names: list[str]) -> Column:
 
 
 def _needs_csv_parser(record: RecordType) -> Column:
-    """A line with quotes in it does, unless it has too many separators outside quoted fields: that is no record. So
-    the parser never meets more fields than a record has. Doubled quotes go first, which leaves quoted fields without
-    quotes inside, and a pattern without repeated groups finds those."""
+    """A line with quotes in it does, unless it has so many separators that the parser might fail, and too many outside
+    quoted fields: that is no record. Doubled quotes go first, which leaves quoted fields without quotes inside, and a
+    pattern without repeated groups finds those."""
     line, separator = F.col("_line"), re.escape(record.separator)
     plain = F.regexp_replace(F.replace(line, F.lit('""'), F.lit("")), f'(^|{separator})"[^"]*"', "$1")
-    separators = F.length(plain) - F.length(F.replace(plain, F.lit(record.separator), F.lit("")))
-    return F.contains(line, F.lit('"')) & (separators < len(record.schema.names))
+    few = _count(line, record.separator) < PARSER_FIELDS
+    return F.contains(line, F.lit('"')) & (few | (_count(plain, record.separator) < len(record.schema.names)))
+
+
+def _count(text: Column, part: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(part), F.lit("")))
 
 
 def _quoted_fields(record: RecordType) -> Column:
@@ -76,21 +81,18 @@ def _quoted_fields(record: RecordType) -> Column:
 
 
 def _typed(rows: DataFrame, record: RecordType) -> DataFrame:
-    """Converts the text fields to the record's types."""
+    """Converts the text fields to the record's types. The conversion goes through ``inline``, too, for the same reason
+    as the cut."""
     fields = record.schema.fields
     is_text = {f.name: isinstance(f.dataType, T.StringType) for f in fields}
-    converted = {f.name: F.col(f.name) if is_text[f.name] else _number(f) for f in fields}
+    converted = [(F.col(f.name) if is_text[f.name] else _number(f)).alias(f.name) for f in fields]
+    marked = [FIRST_MISFITS] if FIRST_MISFITS in rows.columns else []
+    typed = rows.select("_line", *marked, F.inline(F.array(F.struct(*converted, REJECTED_LINE))))
 
     misfit = F.col(REJECTED_LINE).isNotNull()
-    if FIRST_MISFITS in rows.columns:
-        misfit = misfit | F.col(FIRST_MISFITS)
-    for name, value in converted.items():
-        if not is_text[name]:
-            misfit = misfit | value.isNull()
-    checked = rows.select(
-        *(value.alias(name) for name, value in converted.items()),
-        F.when(misfit, F.col("_line")).alias(REJECTED_LINE),
-    )
+    for name in (*marked, *(f.name for f in fields if not is_text[f.name])):
+        misfit = misfit | (F.col(name) if name == FIRST_MISFITS else F.col(name).isNull())
+    checked = typed.select(*record.schema.names, F.when(misfit, F.col("_line")).alias(REJECTED_LINE))
     fits = F.col(REJECTED_LINE).isNull()
     filled = {
         name: F.when(fits, F.coalesce(name, F.lit(""))).otherwise(F.col(name)) for name in is_text if is_text[name]
@@ -101,4 +103,4 @@ def _typed(rows: DataFrame, record: RecordType) -> DataFrame:
 def _number(field: T.StructField) -> Column:
     """The field's text as a number; null if it is none."""
     text = F.col(field.name)
-    return F.when(~text.rlike(_DOUBTFUL) | text.rlike(NUMBER), text.try_cast(field.dataType))
+    return F.when(text.rlike(NUMBER), text.try_cast(field.dataType))
