@@ -2,7 +2,8 @@
 
 Both encoders give the ids of ``Tokenizer.encode(text, add_special_tokens=False)`` as little-endian unsigned 32-bit
 integers. They cut texts only where the tokenizer's own pre-tokenizer always cuts, so words can be encoded alone and
-remembered. The memory of words is emptied when it holds ``MEMO_WORDS``.
+remembered. A word of letters only that normalizing leaves as it is goes to the tokenizer's model at once. Words of up
+to ``MEMO_BYTES`` are remembered: when ``MEMO_WORDS`` are new since the last time, those not met since then go.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import os
 from array import array
 from collections.abc import Iterable
 
-MEMO_WORDS = 900_000
+MEMO_WORDS, MEMO_BYTES = 450_000, 64
 
 
 def _load(path: str):
@@ -31,25 +32,51 @@ TAIL = ".,;:!?"
 
 
 def _parted(word: str) -> tuple[str, str] | None:
-    """The word and the punctuation at its end, if that is all it has behind a letter of a Latin alphabet."""
+    """The word and the punctuation at its end, if that is all it has behind a letter of a Latin alphabet. A letter that
+    gets a mark of its own when lowered does not count, as the mark would go with the punctuation."""
     base = word.rstrip(TAIL)
-    if len(base) == len(word) or not base or not (base[-1] < "\u0250" and base[-1].isalpha()):
+    if len(base) == len(word) or not base or not (base[-1] < "\u0250" and base[-1].lower().isalpha()):
         return None
     return base, word[len(base) :]
 
 
+def _byte_letters() -> dict[int, str]:
+    """The characters that byte-level models have for bytes: printable ones stand for themselves, the others for
+    characters from U+0100 on in ascending order."""
+    printable = {b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255}
+    others = iter(range(256, 512))
+    return {b: chr(b) if b in printable else chr(next(others)) for b in range(256)}
+
+
+_LETTER_OF = _byte_letters()
+
+
+def _model_text(raw: bytes) -> str:
+    return raw.decode() if raw.isalpha() else raw.decode("latin-1").translate(_LETTER_OF)
+
+
+def _is_word(word: str) -> bool:
+    """Letters of Latin alphabets only, which no pre-tokenizer cuts and no normalization but lowering changes."""
+    return word.isalpha() and (word.isascii() or max(word) < "\u0250")
+
+
 class _Memo(dict):
-    """Ids by word. ``encode`` is asked for words not met yet."""
+    """Ids by word. ``encode`` is asked for words not met yet; words forgotten last are asked of the former memory."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
+        self.former: dict = {}
 
     def __missing__(self, word):
-        ids = self.encode(word)
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        self[word] = ids
+        ids = self.former.get(word)
+        if ids is None:
+            ids = self.encode(word)
+        if len(word) <= MEMO_BYTES:
+            if len(self) >= MEMO_WORDS:
+                self.former = dict(self)
+                self.clear()
+            self[word] = ids
         return ids
 
 
@@ -58,10 +85,13 @@ class WordEncoder:
 
     def __init__(self, path: str):
         self.tokenizer = _load(path)
+        self.model = self.tokenizer.model
         self.memo = _Memo(self._word)
 
     def _word(self, raw: bytes) -> bytes:
         word = raw.decode("utf-8", "replace")
+        if _is_word(word) and word == word.lower():
+            return array("I", [token.id for token in self.model.tokenize(_model_text(raw))]).tobytes()
         if parts := _parted(word):
             return self.memo[parts[0].encode()] + self.memo[parts[1].encode()]
         return _id_bytes(self.tokenizer.encode(word, add_special_tokens=False))
@@ -82,15 +112,21 @@ class SpacedEncoder:
 
     def __init__(self, path: str):
         self.tokenizer = _load(path)
+        self.model = self.tokenizer.model
+        self.blank = _LETTER_OF[ord(" ")]
         self.memo = _Memo(self._part)
         self.tails = _Memo(self._alone)
 
     def _alone(self, text: str) -> bytes:
         return _id_bytes(self.tokenizer.encode(text, add_special_tokens=False))
 
-    def _part(self, part: str) -> bytes | None:
+    def _part(self, part: str) -> bytes:
+        """The ids of a part with the blank before it; empty if the part has to go with its neighbours."""
+        if _is_word(part):
+            text = self.blank + _model_text(part.encode())
+            return array("I", [token.id for token in self.model.tokenize(text)]).tobytes()
         if not part or part[0].isspace() or part[-1].isspace():
-            return None
+            return b""
         if parts := _parted(part):
             return self.memo[parts[0]] + self.tails[parts[1]]
         return self._alone(" " + part)
@@ -102,21 +138,20 @@ class SpacedEncoder:
                 continue
             parts = raw.decode("utf-8", "replace").split(" ")
             known = list(map(self.memo.__getitem__, parts))
-            known[0] = None  # has no blank before it
-            if None in known[1:] or not parts[0] or parts[0][-1].isspace():
-                yield self._with_gaps(parts, known)
-            else:
-                known[0] = self._alone(parts[0])
+            if all(known) and not parts[0][-1].isspace():
+                known[0] = self._alone(parts[0])  # has no blank before it
                 yield b"".join(known)
+            else:
+                yield self._with_gaps(parts, known)
 
-    def _with_gaps(self, parts: list[str], known: list[bytes | None]) -> bytes:
+    def _with_gaps(self, parts: list[str], known: list[bytes]) -> bytes:
         """A cut is made between two parts that both have other characters than white space at the cut."""
-        whole = [ids is not None for ids in known]
+        whole = [*map(bool, known)]
         whole[0] = parts[0] != "" and not parts[0][-1].isspace()
         cuts = [0, *(k for k in range(1, len(parts)) if whole[k] and whole[k - 1]), len(parts)]
         out = []
         for start, end in zip(cuts, cuts[1:]):
-            if end - start == 1 and known[start] is not None:
+            if end - start == 1 and start and known[start]:
                 out.append(known[start])
             else:
                 chunk = ("" if start == 0 else " ") + " ".join(parts[start:end])

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemill.llm.common import binary_column, written
+from tablemill.llm.common import WORD_PATTERN, binary_column, written
 
 #: The model is fitted on at most so many labelled documents, those whose id has the smallest hashes.
 MAX_LABELLED = 20_000
@@ -73,6 +73,7 @@ def labelled_features(
     chosen = labels.where("doc_id IS NOT NULL AND grade IS NOT NULL")
     chosen = chosen.groupBy("doc_id").agg(F.max("grade").cast("int").alias("grade"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+    # An id that several rows have stands for the first of their texts, so the bound holds for rows, too.
 
     def run(batches):
         for batch in batches:
@@ -83,7 +84,10 @@ def labelled_features(
                 names=["doc_id", "grade", "features"],
             )
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "grade")
+    named = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    place = F.struct(F.xxhash64("text").alias("h"), F.length("text").alias("n"))
+    rows = named.groupBy("doc_id").agg(F.first("grade").alias("grade"), F.min_by("text", place).alias("text"))
+    rows = rows.select("doc_id", "text", "grade")
     return written(spark, rows.mapInArrow(run, "doc_id bigint, grade int, features array<bigint>"), "labelled")
 
 
@@ -184,8 +188,10 @@ def score(docs: DataFrame, model: OrdinalModel) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, model: OrdinalModel, limit: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, all columns, whose chance of any grade above 0 is below ``limit``."""
-    return docs.where(severity_of(model)("text")["p_any"] < limit)
+    """The rows of ``docs``, all columns, whose chance of any grade above 0 is below ``limit``. Null and blank texts are
+    not toxic, also where most labels are."""
+    has_words = F.coalesce(F.col("text"), F.lit("")).rlike(WORD_PATTERN)
+    return docs.where(~has_words | (severity_of(model)("text")["p_any"] < limit))
 
 
 def fitted(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> OrdinalModel:

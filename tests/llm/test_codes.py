@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tablemill.llm import packing, pieces, simple8b
+from tablemill.llm import encoding, packing, pieces, simple8b
 from tablemill.llm.encoding import spaced_encoder, word_encoder
 
 TEXTS = ["A b.  C\n\n d", "", None, "same same", "same same", "é’s <|endoftext|> x", "word " * 9000, " lead", "tail "]
@@ -42,6 +42,21 @@ def test_encoders_equal_the_tokenizer(make, name, text):
     assert got == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("make, name", [(spaced_encoder, "byte_bpe_50k.json"), (word_encoder, "word_bpe_49k.json")])
+def test_words_of_letters_equal_the_tokenizer(make, name, monkeypatch):
+    """Words that go to the model at once, of all letters below U+0250, with a memory that is full all the time."""
+    monkeypatch.setattr(encoding, "MEMO_WORDS", 5)
+    rng = np.random.default_rng(2)
+    letters = [chr(c) for c in range(0x250) if chr(c).isalpha()]
+    texts = [" ".join(letters), " ".join(f"x{c}y" for c in letters), "ab " * 50 + "z" * 500]
+    for _ in range(300):
+        words = ["".join(rng.choice(letters, int(rng.integers(1, 9)))) for _ in range(8)]
+        texts.append(" ".join(w + str(rng.choice(["", ".", ",", "!?"])) for w in words))
+    encoder = type(make(public_tokenizers.path(name)))(public_tokenizers.path(name))
+    for text, ids in zip(texts, encoder.encode(t.encode() for t in texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_token_blocks(spark, docs):
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = spaced_encoder(path).tokenizer
