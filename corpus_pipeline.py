@@ -22,7 +22,8 @@ def _with_text(row: str, kept: str, columns: list[str]) -> list:
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are more likely toxic than not go; null texts stay."""
+    """Documents that are more likely toxic than not go. Null and blank texts say nothing toxic and stay, whatever
+    the labels are like; rows that repeat stay or go together; an empty table stays empty."""
     labels = toxicity.grades(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.without_toxic(docs, toxicity.fitted(spark, docs, labels))
 
