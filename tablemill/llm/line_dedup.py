@@ -8,7 +8,8 @@ verified.
 Only what may have a partner emits variants. One edit leaves the first or the last part of a line as it is, so a line
 enters with hashes of such parts, of the lengths that a partner one character longer or shorter also takes. Where no
 other line has the part there is no partner. What is behind a shared beginning, or before a shared end, is halved in
-the same way once more, and variants are emitted of the quarter or so that is left.
+the same way once more, and where more than ``LEFT_CHARS`` are left again and again, each time only what has a partner.
+Variants are emitted of what is left then, so a line of any length has few.
 """
 
 from __future__ import annotations
@@ -16,10 +17,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablemill.llm.common import text_hash
+from tablemill.llm.common import text_hash, written
 
-#: Lines of fewer or more characters, without blanks around them, have to be equal.
-MIN_CHARS, MAX_CHARS = 24, 1024
+#: Variants are emitted of at most so many characters of a line, and one.
+LEFT_CHARS = 576
 
 _LAST_ID = (1 << 63) - 1
 _PLACE = ("_d", "_h", "pos")
@@ -81,16 +82,30 @@ def _whole(joined: DataFrame, other: str) -> DataFrame:
     return joined.where(F.xxhash64("row", other) >= F.lit(-(1 << 63)))
 
 
+def _narrowed(rests: DataFrame) -> DataFrame:
+    """``_d, _h, pos, part, rest``: rests halved once, and then until they have at most ``LEFT_CHARS``, with the hash of
+    all that was taken off. Only rests that share a further part with another one are halved further. Those of one
+    character more than ``LEFT_CHARS`` are given and halved, as their partners may be on either side. Each round is
+    written; a round takes off a quarter at the least, so there are as many as the longest line needs."""
+    spark, short, first = rests.sparkSession, F.length("rest") <= LEFT_CHARS + 1, True
+    found = None
+    while first or not rests.isEmpty():
+        parts = _parts(F.col("rest"), F.col("half"))
+        halved = _side_by_side(rests.withColumnRenamed("part", "half"), [*_PLACE, "rest"], parts, F.length("rest"))
+        left = _with_partner(halved).select(*_PLACE, "part", _left_over("rest").alias("rest")).distinct()
+        left = written(spark, left, "rests")
+        found = left.where(short) if found is None else found.union(left.where(short))
+        rests, first = left.where(F.length("rest") > LEFT_CHARS), False
+    return found
+
+
 def _near_lines(rows: DataFrame, firsts: DataFrame) -> DataFrame:
     """``_d, _h, pos`` of first occurrences that come after a line within one edit."""
     long = firsts.where(F.size("parts") > 0).select("first.*", "parts", "n")
     halves = _with_partner(_side_by_side(long, [*_PLACE], F.col("parts"), F.col("n")))
     line = F.trim(F.get(F.split("row.text", "\n"), F.col("pos"))).alias("line")
     lines = _whole(halves.join(rows, ["_d", "_h"]), "pos").select(*_PLACE, "side", "p", "part", line)
-    rests = lines.select(*_PLACE, F.col("part").alias("half"), _left_over("line").alias("rest"))
-    parts = _parts(F.col("rest"), F.col("half"))
-    quarters = _side_by_side(rests, [*_PLACE, "rest"], parts, F.length("rest"))
-    left = _with_partner(quarters).select(*_PLACE, "part", _left_over("rest").alias("rest")).distinct()
+    left = _narrowed(lines.select(*_PLACE, "part", _left_over("line").alias("rest")))
 
     variant = F.transform(
         F.sequence(F.lit(0), F.length("rest")),
@@ -125,20 +140,20 @@ def _near_lines(rows: DataFrame, firsts: DataFrame) -> DataFrame:
     return verified.where(F.levenshtein("own", "other") <= 1).select(*_PLACE).distinct()
 
 
-def without_repeated_lines(docs: DataFrame) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, min_chars: int = 0) -> DataFrame:
     """For each row of ``docs``: ``row`` (all its columns), ``n_lines``, ``n_removed`` and ``kept``, the text of the
     lines left (null for null texts).
 
     Lines are compared without blanks around them and end at line feeds; lines of blanks only stay. Lines are in order
     of document id (null ids last), the text's hash, and their number. A line goes if an earlier one equals it, or if
-    its first occurrence comes after that of a line within one edit; lines shorter than ``MIN_CHARS`` or longer than
-    ``MAX_CHARS`` have to be equal. Rows that repeat id and text are one document here and keep the same lines. An
-    empty table gives no rows.
+    its first occurrence comes after that of a line within one edit, however long it is; lines shorter than
+    ``min_chars`` have to be equal. Rows that repeat id and text are one document here and keep the same lines. An empty
+    table gives no rows.
     """
     rows = _texts(docs)
     cut = rows.select("_d", "_h", F.posexplode(F.split(F.coalesce("row.text", F.lit("")), "\n")).alias("pos", "raw"))
     cut = cut.select(*_PLACE, F.trim("raw").alias("line")).where("line != ''")
-    near = F.length("line").between(MIN_CHARS, MAX_CHARS)
+    near = F.length("line") >= min_chars
     keyed = cut.select(
         F.unhex(F.md5("line")).alias("line_key"),
         F.struct(*_PLACE).alias("place"),

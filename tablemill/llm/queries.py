@@ -134,8 +134,9 @@ def op10_deletion_lines(spark, sf_dir):
     return rows.select("row.doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-# Pairs are looked for among lines that share a half, since one edit leaves one of the halves as it is. Document ids are
-# unique in the driver's tables, so the order by the text's hash plays no part.
+# Pairs are looked for among lines that share a half, since one edit leaves one of the halves as it is. Behind the
+# characters that two lines have in common from the start, one edit leaves the same rest. Document ids are unique in the
+# driver's tables, so the order by the text's hash plays no part.
 ORACLES["op10_deletion_lines"] = r"""
 WITH cut AS (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS raw,
@@ -147,15 +148,19 @@ WITH cut AS (
 ), halves AS (
     SELECT DISTINCT line, place, n, s.side, h.h, CASE WHEN s.side = 0 THEN left(line, h.h) ELSE right(line, h.h) END AS half
     FROM firsts, (SELECT unnest([0, 1]) AS side) s,
-         LATERAL (SELECT unnest([(n - 2) // 2, (n - 1) // 2, n // 2]) AS h) h
-    WHERE n BETWEEN 24 AND 1024
-), near AS (
-    SELECT DISTINCT a.line FROM halves a JOIN halves b
+         LATERAL (SELECT unnest([greatest(n - 2, 0) // 2, (n - 1) // 2, n // 2]) AS h) h
+), pairs AS (
+    SELECT DISTINCT a.line, a.n, b.line AS other, b.n AS other_n FROM halves a JOIN halves b
       ON a.side = b.side AND a.h = b.h AND a.half = b.half AND b.place < a.place AND abs(a.n - b.n) <= 1
-    WHERE len(list_filter(range(0, greatest(a.n, b.n)), lambda i:
-        CASE WHEN a.n = b.n THEN left(a.line, i) || substr(a.line, i + 2) = left(b.line, i) || substr(b.line, i + 2)
-             WHEN a.n > b.n THEN left(a.line, i) || substr(a.line, i + 2) = b.line
-             ELSE left(b.line, i) || substr(b.line, i + 2) = a.line END)) > 0
+), common AS (
+    SELECT *, coalesce(list_position(list_transform(list_zip(string_split(line, ''), string_split(other, '')),
+                                                    lambda x: x[1] IS NOT DISTINCT FROM x[2]), false), n + 1) AS at
+    FROM pairs
+), near AS (
+    SELECT DISTINCT line FROM common
+    WHERE CASE WHEN n = other_n THEN substr(line, at + 1) = substr(other, at + 1)
+               WHEN n > other_n THEN substr(line, at + 1) = substr(other, at)
+               ELSE substr(line, at) = substr(other, at + 1) END
 ), judged AS (
     SELECT c.doc_id, c.pos, c.raw,
            trim(c.raw, ' ') = '' OR (f.place = row(c.doc_id, c.pos) AND n.line IS NULL) AS stays

@@ -46,12 +46,14 @@ def test_encoders_equal_the_tokenizer(make, name, text):
 def test_words_of_letters_equal_the_tokenizer(make, name, monkeypatch):
     """Words that go to the model at once, of all letters below U+0250, with a memory that is full all the time."""
     monkeypatch.setattr(encoding, "MEMO_WORDS", 5)
+    monkeypatch.setattr(encoding, "CHUNK_BYTES", 900)
     rng = np.random.default_rng(2)
     letters = [chr(c) for c in range(0x250) if chr(c).isalpha()]
     texts = [" ".join(letters), " ".join(f"x{c}y" for c in letters), "ab " * 50 + "z" * 500]
     for _ in range(300):
         words = ["".join(rng.choice(letters, int(rng.integers(1, 9)))) for _ in range(8)]
-        texts.append(" ".join(w + str(rng.choice(["", ".", ",", "!?"])) for w in words))
+        ends = ["", "", ".", ",", "!?", "%%%", "_-", "'", "'s.", ".\n", "\n", "\n\n", " \n", "\t", "<|", "1."]
+        texts.append("".join(w + str(rng.choice(ends)) + str(rng.choice([" ", " ", ""])) for w in words))
     encoder = type(make(public_tokenizers.path(name)))(public_tokenizers.path(name))
     for text, ids in zip(texts, encoder.encode(t.encode() for t in texts)):
         assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, text

@@ -71,6 +71,42 @@ def test_repeated_windows(spark, docs, monkeypatch, bucket):
     assert substrings.without_repeats(spark, docs.limit(0)).count() == 0
 
 
+def _near(a, b):
+    if len(a) < len(b):
+        a, b = b, a
+    at = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(b))
+    return a[at + 1 :] == (b[at + 1 :] if len(a) == len(b) else b[at:]) and len(a) - len(b) <= 1
+
+
+@pytest.mark.parametrize("left_chars", [576, 8])
+def test_lines_of_any_length(spark, monkeypatch, left_chars):
+    """Near lines of 1 to 100,000 characters against plain Python, edits at the start, the end and between."""
+    monkeypatch.setattr(line_dedup, "LEFT_CHARS", left_chars)
+    rng = np.random.default_rng(4)
+    lines = ["a", "b", "ab", "abc", "xyz", "xyzw", "}", "});"]
+    for size in (5, 20, 23, 24, 300, 1023, 1024, 1025, 5000, 100_000):
+        line = "".join(rng.choice(list("abcdefgh é"), size)).strip() + "."
+        for at in (0, 1, len(line) // 2, len(line) - 2, len(line) - 1):
+            lines += [line[:at] + "Z" + line[at + 1 :], line[:at] + line[at + 1 :], line[:at] + "ZY" + line[at:]]
+        lines.append(line)
+    lines = [x.strip(" ") for x in lines if x.strip(" ")]
+    order = rng.permutation(len(lines))
+    texts = ["\n".join(lines[k] for k in part) for part in np.array_split(order, 12)]
+    kept, seen = [], []
+    for text in texts:
+        own = []
+        for line in text.split("\n"):
+            if not any(abs(len(line) - len(x)) <= 1 and _near(line, x) for x in seen):
+                own.append(line)
+            seen.append(line)
+        kept.append("\n".join(own))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    got = {r.row.doc_id: r.kept for r in line_dedup.without_repeated_lines(rows).collect()}
+    assert got == dict(enumerate(kept))
+    equal = line_dedup.without_repeated_lines(rows, min_chars=10**6).agg({"n_removed": "sum"}).first()[0]
+    assert equal == len(lines) - len(set(lines))
+
+
 def test_lines(spark, docs):
     got = {(r.row.doc_id, r.row.text): r for r in line_dedup.without_repeated_lines(docs).collect()}
     assert got[ROWS[0][:2]].kept == "One line that is long enough to match\nOther\n"
