@@ -154,13 +154,13 @@ WITH cut AS (
       ON a.side = b.side AND a.h = b.h AND a.half = b.half AND b.place < a.place AND abs(a.n - b.n) <= 1
 ), common AS (
     SELECT *, coalesce(list_position(list_transform(list_zip(string_split(line, ''), string_split(other, '')),
-                                                    lambda x: x[1] IS NOT DISTINCT FROM x[2]), false), n + 1) AS at
+                                                    lambda x: x[1] IS NOT DISTINCT FROM x[2]), false), n + 1) AS differs
     FROM pairs
 ), near AS (
     SELECT DISTINCT line FROM common
-    WHERE CASE WHEN n = other_n THEN substr(line, at + 1) = substr(other, at + 1)
-               WHEN n > other_n THEN substr(line, at + 1) = substr(other, at)
-               ELSE substr(line, at) = substr(other, at + 1) END
+    WHERE CASE WHEN n = other_n THEN substr(line, differs + 1) = substr(other, differs + 1)
+               WHEN n > other_n THEN substr(line, differs + 1) = substr(other, differs)
+               ELSE substr(line, differs) = substr(other, differs + 1) END
 ), judged AS (
     SELECT c.doc_id, c.pos, c.raw,
            trim(c.raw, ' ') = '' OR (f.place = row(c.doc_id, c.pos) AND n.line IS NULL) AS stays

@@ -284,3 +284,18 @@ def test_copies_of_a_vector_are_cut_beside_others(spark, monkeypatch):
     assert sum(r["count"] for r in got) == 1500 and max(r["count"] for r in got) <= 6 * 16
     bounds = {cell: (low, high) for cell, _, low, high in cells}
     assert all(bounds[r.cell][0] <= r.distance <= bounds[r.cell][1] for r in index.collect())
+
+
+def test_null_and_blank_texts_are_not_toxic_whatever_the_labels(spark):
+    rows = [(i, f"bad words here {i}", 1) for i in range(40)] + [(100 + i, "good and calm", 1) for i in range(5)]
+    rows += [(200, None, 1), (201, "", 1), (202, " \n\t", 1), (None, None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, grade int")
+    labels = spark.createDataFrame([(i, 1) for i in range(40)] + [(100 + i, 0) for i in range(5)], "doc_id bigint, grade int")
+    kept = {r.doc_id for r in toxicity.without_toxic(docs, toxicity.fitted(spark, docs, labels)).collect()}
+    assert kept >= {200, 201, 202, None} and not kept & set(range(40))
+
+
+def test_labelled_rows_are_bounded_where_ids_repeat(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, None)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, grade int")
+    assert toxicity.labelled_features(spark, docs, labels, 2).count() == 2
