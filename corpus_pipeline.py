@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-from fractions import Fraction
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemill.llm import jaccard, line_dedup, packing, simhash, substrings, toxicity
+from tablemill.llm import line_dedup, packing, simhash, substrings, toxicity
 from tablemill.llm.common import written
 
-#: Near duplicates share so large a part of their shingles of so many words, or have fingerprints within 3 bits.
-SHINGLE_WORDS, SIMILARITY = 5, Fraction(4, 5)
-
 
 def _with_text(row: str, kept: str, columns: list[str]) -> list:
     """The columns of the struct ``row`` with the text and its length replaced."""
@@ -29,35 +24,38 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat an earlier line, up to one edit, go; every document stays, if need be without text."""
+    """Lines that repeat an earlier line, up to one edit, go; every document stays, if need be without text. Null texts
+    stay null, of rows that repeat the first keeps its lines, an empty table stays empty."""
     rows = line_dedup.without_repeated_lines(docs)
     return rows.select(*_with_text("row", "kept", docs.columns))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays, null ids last. Documents without
-    words are copies of one another. Rows are numbered in a written table, so that repeated ids are told apart."""
-    numbered = written(spark, docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    texts = numbered.select(F.col("_row").alias("doc_id"), "text")
-    prints = jaccard.prints(spark, texts, SHINGLE_WORDS, SIMILARITY)
-    links = jaccard.similar_links(spark, texts, prints, SHINGLE_WORDS, SIMILARITY, simhash.MAX_BITS)
-    groups = simhash.grouped(spark, prints.select("doc_id", "fp"), simhash.MAX_BITS, links)
-    members = numbered.select("_row", "doc_id").join(groups.withColumnRenamed("doc_id", "_row").drop("fp"), "_row")
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row"))
-    stays = members.groupBy("component_id").agg(best.alias("best")).select("best._row")
-    return numbered.join(stays, "_row", "left_semi").select(*docs.columns)
+    """Of each group of documents linked by their fingerprints the one with the smallest id stays, null ids last, one of
+    rows that repeat; null, empty and blank texts are copies of one another; an empty table stays empty. Rows are
+    numbered in a written table, whole in one column, so that repeated ids and columns of any name do no harm."""
+    whole = docs.select(F.monotonically_increasing_id().alias("n"), F.struct("*").alias("row"))
+    numbered = written(spark, whole, "numbered")
+    groups = simhash.near_duplicates(spark, numbered.select(F.col("n").alias("doc_id"), "row.text"))
+    members = numbered.select("n", F.col("row.doc_id").alias("id")).join(
+        groups.select(F.col("doc_id").alias("n"), "component_id"), "n"
+    )
+    best = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "n"))
+    stays = members.groupBy("component_id").agg(best.alias("best")).select("best.n")
+    return numbered.join(stays, "n", "left_semi").select("row.*")
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words of windows that occur anywhere else go; every document stays. Texts without such keep their white
-    space."""
+    """Words of windows that occur anywhere else go, also from all rows that repeat; every document stays. Texts without
+    such words keep their white space, null texts stay null, an empty table stays empty."""
     rows = substrings.without_repeats(spark, docs)
     rows = rows.withColumn("kept", F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("row.text")))
     return rows.select(*_with_text("row", "kept", docs.columns))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all texts in windows of 4096 tokens, with their ids."""
+    """The pieces of all texts in windows of 4096 tokens, with their ids. Null texts are empty and give the end id, rows
+    that repeat are packed each, an empty table gives no rows."""
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
