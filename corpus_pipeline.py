@@ -25,7 +25,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier line, up to one edit, go; every document stays, if need be without text. Null texts
-    stay null, of rows that repeat the first keeps its lines, an empty table stays empty."""
+    stay null, rows that repeat id and text are one document and come out alike, an empty table stays empty."""
     rows = line_dedup.without_repeated_lines(docs)
     return rows.select(*_with_text("row", "kept", docs.columns))
 
