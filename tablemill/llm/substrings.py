@@ -110,7 +110,7 @@ def _batches(schema: str, rows):
 
 def _cut_strings(batches, window: int):
     """The packed strings of a document's chosen super-k-mers, keyed by minimiser."""
-    hashes = _Hashes()
+    hashes, bits = _Hashes(), window.bit_length()
 
     def rows():
         for batch in batches:
@@ -121,7 +121,8 @@ def _cut_strings(batches, window: int):
                 starts, _, keys = super_kmers(words, window, hashes)
                 key_at = dict(zip(starts.tolist(), keys.tolist()))
                 for number in numbers:
-                    start, stop = number >> 6, (number >> 6) + (number & 63) - 1 + window
+                    start, many = number >> bits, number & (1 << bits) - 1
+                    stop = start + many - 1 + window
                     yield d, h, start, stop, key_at[start], b" ".join(words[start:stop])
 
     yield from _batches(_PIECE, rows())
@@ -378,10 +379,13 @@ def without_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW)
     frequent = repeated.where(F.col("n") > limit).select("key")
     often = [row.key for row in frequent.collect()]
 
-    # One number has a super-k-mer's first window and its number of windows (below 64).
+    # One number has a super-k-mer's first window and its number of windows, which is no larger than the window.
     each = found.select("_d", "_h", F.inline(F.arrays_zip("starts", "counts", "keys")))
     each = each.select(
-        "_d", "_h", F.col("keys").alias("key"), (F.shiftleft(F.col("starts").cast("bigint"), 6) + F.col("counts")).alias("number")
+        "_d",
+        "_h",
+        F.col("keys").alias("key"),
+        (F.shiftleft(F.col("starts").cast("bigint"), window.bit_length()) + F.col("counts")).alias("number"),
     )
     if often:  # fewer than FREQUENT rows
         each = each.join(F.broadcast(frequent), "key", "left_anti")
