@@ -5,7 +5,8 @@ distinct ones not met before are sorted, which lays them out as a trie in depth-
 word is that of the word before it up to their common prefix.
 
 The table holds, for each prefix, the score of its encoding so far and its last piece. In a model of unigram type the
-best score decides. In a model of BPE type scores are ranks of merges and their sum decides nothing: there the last
+best score decides; of encodings with one score up to rounding the library may take another, as it adds over the
+whole text. In a model of BPE type scores are ranks of merges and their sum decides nothing: there the last
 piece is the one that BPE would leave beside the last piece of the prefix before it. There is exactly one, so the ids
 are those of the SentencePiece library.
 """
@@ -13,6 +14,7 @@ are those of the SentencePiece library.
 from __future__ import annotations
 
 import functools
+import heapq
 import re
 from array import array
 from collections.abc import Iterable
@@ -31,6 +33,8 @@ BATCH_ROWS = 512
 # Fixed values of the model file's format: kinds of piece and of model.
 NORMAL, BYTE = 1, 6
 UNIGRAM, BPE = 1, 2
+# Fixed: how much worse than the worst piece a character is that no piece has.
+UNKNOWN_PENALTY = 10.0
 
 _LEAF = -1
 _BREAK = -1  # stands for the last piece behind a character that no piece has
@@ -57,7 +61,7 @@ class PieceModel:
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == BYTE}
         self.plain = [p.piece for p in model.pieces]
         self.longest = max(map(len, self.ids))
-        self.least = min(self.scores)
+        self.unknown = min(p.score for p in model.pieces if p.type == NORMAL) - UNKNOWN_PENALTY
         self.output = [self._output(p) for p in model.pieces]
         self.memo: dict[str, bytes] = {}
         self.pairs: dict[int, bool] = {}
@@ -129,8 +133,10 @@ class PieceModel:
                     return score + scores[piece], piece, end - start
             elif best is None or score + scores[piece] > best[0]:
                 best = score + scores[piece], piece, end - start
-        if best is None:
-            best = table[end - 1][0] + self.least, _BREAK, 1
+        if best is None or not self.by_rank and word[end - 1] not in self.ids:
+            unknown = table[end - 1][0] + self.unknown
+            if best is None or unknown > best[0]:
+                best = unknown, _BREAK, 1
         return best
 
     def _fallback(self, character: str) -> list[int]:
@@ -173,17 +179,35 @@ class PieceModel:
         return self.splits[piece]
 
     def _merged(self, text: str, keep: int = 1) -> list[int]:
-        """BPE by its definition: the best-scored pair is merged, the leftmost of equals, down to ``keep`` symbols."""
-        symbols = list(text)
-        while len(symbols) > keep:
-            pairs = [(self.ids.get(a + b), i) for i, (a, b) in enumerate(zip(symbols, symbols[1:]))]
-            pairs = [(-self.scores[piece], i) for piece, i in pairs if piece is not None]
-            if not pairs:
-                break
-            _, i = min(pairs)
-            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
+        """BPE by its definition: the best-scored pair is merged, the leftmost of equals, down to ``keep`` symbols.
+        A heap has the pairs; one whose symbols have changed since is passed over."""
+        symbols: list[str] = list(text)
+        left, n = len(symbols), len(symbols)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        heap: list[tuple[float, int, str]] = []
+
+        def offer(i: int) -> None:
+            if i >= 0 and after[i] < n:
+                both = symbols[i] + symbols[after[i]]
+                piece = self.ids.get(both)
+                if piece is not None:
+                    heapq.heappush(heap, (-self.scores[piece], i, both))
+
+        for i in range(n - 1):
+            offer(i)
+        while left > keep and heap:
+            _, i, both = heapq.heappop(heap)
+            gone = after[i]
+            if gone >= n or not symbols[i] or symbols[i] + symbols[gone] != both:
+                continue
+            symbols[i], symbols[gone], after[i] = both, "", after[gone]
+            if after[i] < n:
+                before[after[i]] = i
+            left -= 1
+            offer(before[i])
+            offer(i)
         out: list[int] = []
-        for symbol in symbols:
+        for symbol in filter(None, symbols):
             out.extend([self.ids[symbol]] if symbol in self.ids else self._fallback(symbol))
         return out
 
@@ -212,7 +236,8 @@ def _slices(batches):
 
 def encode_pieces(docs: DataFrame, model_path: str) -> DataFrame:
     """``doc_id``, ``text`` and ``ids`` (little-endian unsigned 32-bit integers) for every row; null texts are empty,
-    empty texts have no ids. Map-only: words are remembered per worker, so nothing is shuffled."""
+    empty texts have no ids. Map-only: words are remembered per worker, so nothing is shuffled. Very long texts and runs
+    of blanks cost in proportion to their length (times its logarithm). Rows that repeat come out as often."""
 
     def run(batches):
         model = piece_model(model_path)
