@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tablemill.session import shared_dir
@@ -35,6 +35,21 @@ def written(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def sampled(rows: DataFrame, key: str, n: int, value: Column) -> list[Row]:
+    """At most ``n`` rows ``key, picked``, those with the smallest hashes of their keys; of rows with one key the
+    smallest ``value``. All rows if there are no more keys.
+
+    Hashes above a bound, which about ``3 * n`` keys keep, are left out first, so tasks hand on few rows however many
+    tasks there are.
+    """
+    keys = rows.agg(F.approx_count_distinct(key).alias("n")).first().n
+    order = F.xxhash64(key)
+    if keys > 4 * n:
+        rows = rows.where(order < -(1 << 63) + (3 * n << 64) // keys)
+    few = rows.groupBy(key).agg(F.min(value).alias("picked"))
+    return few.orderBy(order, key).limit(n).collect()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

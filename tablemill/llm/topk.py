@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablemill.llm.common import written
+from tablemill.llm.common import sampled, written
 
 PIVOTS = 32
 #: Pivots are chosen among so many vectors, those whose ids have the smallest hashes.
@@ -29,7 +29,7 @@ PIVOT_SAMPLE = 2048
 CELL_ROWS = 8192
 MAX_CELLS = 128
 ANNULUS_ROWS = 512
-#: Queries that search a cell in one task, and those that go through its annuli together.
+#: About so many queries from neighbouring cells search a cell in one task; so many go through its annuli together.
 QUERY_ROWS = 8192
 QUERY_GROUP = 256
 
@@ -135,9 +135,25 @@ def _cut(index: DataFrame) -> tuple[DataFrame, list]:
     return placed.withColumn("cell", cell_of("pivot", "part", F.xxhash64("vec_id"))), cells
 
 
+def _grouped(queries: DataFrame, cells: int) -> DataFrame:
+    """``vec_id, v, n2, part``: queries of neighbouring cells, which reach about the same cells, have one ``part`` of
+    about ``QUERY_ROWS``. A cell has a bounded number of rows, so a part has a bounded number of queries."""
+    many = np.zeros(cells, np.int64)
+    for row in queries.groupBy("q.cell").count().collect():
+        many[row.cell] = row["count"]
+    parts = ((np.cumsum(many) - many) // QUERY_ROWS).astype(np.int32)
+
+    @F.pandas_udf("int")
+    def part_of(cell: pd.Series) -> pd.Series:
+        return pd.Series(parts[cell.to_numpy()])
+
+    return queries.select("vec_id", "q.v", "q.n2", part_of("q.cell").alias("part"))
+
+
 def _route(batches, k: int, sample: tuple, pivots: np.ndarray, cells: list, longest2: int, in_floats: bool):
     """For each query the cells that may hold one of its ``k`` best. The k-th best score among the sample's vectors
     is a first bound."""
+    """Rows ``cell, vec_id, part, floor``."""
     numbers, owner = np.array([c[0] for c in cells], np.int32), np.array([c[1] for c in cells])
     low, high = np.array([c[2] for c in cells]), np.array([c[3] for c in cells])
     ids, points = sample
@@ -156,11 +172,10 @@ def _route(batches, k: int, sample: tuple, pivots: np.ndarray, cells: list, long
                 [
                     pa.array(numbers[cell]),
                     part.column("vec_id").take(pa.array(at)),
-                    part.column("v").take(pa.array(at)),
-                    part.column("n2").take(pa.array(at)),
+                    part.column("part").take(pa.array(at)),
                     pa.array(floor[at]),
                 ],
-                names=["cell", "vec_id", "v", "n2", "floor"],
+                names=["cell", "vec_id", "part", "floor"],
             )
 
 
@@ -230,7 +245,7 @@ def top_k(
     products with the other rows, ties to the smaller id.
 
     Rows without id take no part. Rows of one id are one another's own row, so they are left out of each other's
-    results, and as queries they count once. All vectors need the same number of components. A table without queries
+    results, and as queries they count once, with the smallest vector. All vectors need the same number of components. A table without queries
     gives no rows. A task searches one cell for a bounded number of queries; every cell within reach of a query's
     bound is searched, so results are exact.
     """
@@ -241,9 +256,8 @@ def top_k(
     ).first()
     if not size.queries:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    got = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(PIVOT_SAMPLE).select("vec_id", "v").collect()
-    ids, firsts = np.unique([row.vec_id for row in got], return_index=True)
-    points = np.array([got[i].v for i in firsts], np.int64)
+    got = sampled(vectors, "vec_id", PIVOT_SAMPLE, F.col("v"))
+    ids, points = np.array([row.vec_id for row in got]), np.array([row.picked for row in got], np.int64)
     pivots, longest2 = choose_pivots(points), size.longest2
     in_floats = longest2 < 2**52
 
@@ -252,17 +266,19 @@ def top_k(
         "vec_id bigint, v array<bigint>, n2 bigint, pivot int, distance double",
     )
     index, cells = _cut(written(spark, keyed, "pivot-index"))
-    groups = -(-size.queries // QUERY_ROWS)
-    queries = vectors.where(is_query(F.col("vec_id"))).dropDuplicates(["vec_id"])
+    asked = index.where(is_query(F.col("vec_id"))).groupBy("vec_id")
+    queries = _grouped(written(spark, asked.agg(F.min(F.struct("v", "n2", "cell")).alias("q")), "queries"), len(cells))
     routed = queries.mapInArrow(
         lambda batches: _route(batches, k, (ids, points), pivots, cells, longest2, in_floats),
-        "cell int, vec_id bigint, v array<bigint>, n2 bigint, floor bigint",
-    ).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(groups)))
-    dealt = index.select("cell", "pivot", "distance", "vec_id", "v").withColumn(
-        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))
+        "cell int, vec_id bigint, part int, floor bigint",
     )
+    routed = written(spark, routed, "routed-queries")
+    # A cell goes to the parts that have a query within reach of it.
+    met = routed.select(F.col("cell").alias("cell"), F.col("part").alias("part")).distinct()
+    dealt = index.select("cell", "pivot", "distance", "vec_id", "v").join(met, "cell")
+    searching = routed.join(queries.select("vec_id", "v", "n2"), "vec_id")
     hits = (
-        routed.groupBy("cell", "part")
+        searching.groupBy("cell", "part")
         .cogroup(dealt.groupBy("cell", "part"))
         .applyInArrow(lambda q, r: _search_cell(q, r, k, pivots, longest2, in_floats), _HITS)
     )
