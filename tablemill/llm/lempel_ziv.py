@@ -9,8 +9,10 @@ would compress the other.
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -152,6 +154,21 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fingerprint string")
 
 
+def _borders(rows: DataFrame, quantiles: list[int]) -> list[tuple[int, int]]:
+    """The smallest (id, hash) of each range but the last, ascending, at the quantiles of the ids."""
+    many = Counter(quantiles)
+    borders = [(k, _FIRST_ID) for k in many]
+    hot = [k for k, n in many.items() if n > 1]
+    if hot:  # fewer than there are ranges
+        most = max(many.values())
+        grid = [i / (8 * most) for i in range(1, 8 * most)]
+        own = rows.where(F.col("_k").isin(hot)).groupBy("_k").agg(F.percentile_approx("_h", grid, 100 * most).alias("q"))
+        for row in own.collect():
+            n = many[row["_k"]]
+            borders += [(row["_k"], row.q[8 * most * i // n - 1]) for i in range(1, n)]
+    return sorted(set(borders))
+
+
 def compare_with_next(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Each text against itself with its last half replaced, and against the next document by descending id.
 
@@ -159,29 +176,32 @@ def compare_with_next(spark: SparkSession, docs: DataFrame) -> DataFrame:
     the next document; after the last document comes the first, and a lone one follows itself. Null texts are empty.
     Null ids come last; rows of one id are in descending order of their text's hash, then by text.
 
-    Documents are dealt to ranges of ids whose borders are quantiles of the ids. The first document of a range also
-    goes to the range before it, where it is the next of the last one, so texts are shuffled once.
+    Documents are dealt to ranges whose borders are quantiles of the ids, and of the texts' hashes within an id that
+    has several quantiles. The first document of a range also goes to the range before it, where it is the next of the
+    last one, so texts are shuffled once. An empty table gives no rows; a task holds two texts at a time.
     """
     rows = keyed(docs).withColumn("_k", F.coalesce("doc_id", F.lit(_FIRST_ID)))
     ranges = shuffle_partitions(spark)
     shares = [i / ranges for i in range(1, ranges)] or [0.5]
     found = rows.agg(F.percentile_approx("_k", shares, 100 * ranges).alias("q")).first().q
-    borders = sorted(set(found or []))
+    borders = _borders(rows, found or [])
 
     @F.pandas_udf("int")
-    def range_of(ids):
-        return ids.map(lambda v: len(borders) - bisect_right(borders, v)).astype("int32")
+    def range_of(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        at = [len(borders) - bisect_right(borders, place) for place in zip(ids.tolist(), hashes.tolist())]
+        return pd.Series(at, dtype="int32")
 
-    rows = rows.withColumn("_range", range_of("_k"))
-    heads = {r["_range"]: r.head for r in rows.groupBy("_range").agg(F.max("_k").alias("head")).collect()}
+    rows = rows.withColumn("_range", range_of("_k", "_h"))
+    firsts = rows.groupBy("_range").agg(F.max(F.struct("_k", "_h")).alias("head")).collect()
+    heads = {r["_range"]: tuple(r.head) for r in firsts}
     order = sorted(heads)  # one entry per range
     before = {heads[r]: order[i - 1] for i, r in enumerate(order)}
 
     @F.pandas_udf("int")
-    def range_before(ids):
-        return ids.map(before.get).astype("Int32")
+    def range_before(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        return pd.Series([before.get(place) for place in zip(ids.tolist(), hashes.tolist())], dtype="Int32")
 
-    extra = range_before("_k")
+    extra = range_before("_k", "_h")
     places = F.array_compact(
         F.array(
             F.struct(F.col("_range").alias("range"), F.lit(False).alias("extra")),
