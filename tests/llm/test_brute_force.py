@@ -1,0 +1,272 @@
+"""Small inputs where every part of an operator's answer can be worked out another way."""
+
+from __future__ import annotations
+
+import itertools
+import time
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from tablemill.llm import hmm, lempel_ziv, pieces, simhash, substrings, topk, toxicity
+from tablemill.llm.common import sampled
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.mark.parametrize("window", [4, 63, 68, 100, 300])
+def test_windows_of_any_length(spark, window):
+    rng = np.random.default_rng(window)
+    shared = [f"s{i}" for i in rng.integers(0, 10**6, window + 20)]
+    texts = []
+    for i in range(8):
+        own = [f"w{i}" for i in rng.integers(0, 10**6, 400)]
+        at = int(rng.integers(0, 400))
+        texts.append(own[:at] + shared[: window - 2 + i] + own[at:])
+    rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    seen: dict[tuple, int] = {}
+    for t in texts:
+        for i in range(len(t) - window + 1):
+            seen[tuple(t[i : i + window])] = seen.get(tuple(t[i : i + window]), 0) + 1
+    want = {}
+    for d, t in enumerate(texts):
+        gone = {j for i in range(len(t) - window + 1) if seen[tuple(t[i : i + window])] > 1 for j in range(i, i + window)}
+        want[d] = " ".join(w for j, w in enumerate(t) if j not in gone)
+    got = {r.row.doc_id: r.kept for r in substrings.without_repeats(spark, rows, window).collect()}
+    assert got == want and any(len(want[d].split()) < len(t) for d, t in enumerate(texts))
+
+
+@pytest.mark.parametrize("text", [" " * 100_000, "a" + " " * 100_000 + "b", "▁" * 3001, " x" * 7 + " " * 77 + "y"])
+def test_long_runs_of_blanks(text):
+    import sentencepiece
+
+    model = pieces.PieceModel(PIECES)
+    begin = time.monotonic()
+    ids = model.encode([text])[0]
+    assert time.monotonic() - begin < 20
+    assert model.decode(ids) == text.replace(pieces.MARK, " ")
+    if len(text) < 10_000:
+        library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text)
+
+
+def test_best_scored_pieces(tmp_path):
+    """A unigram model of pieces and scores written here, against all ways to cut the words."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    proto.pieces.add(piece="<unk>", score=0.0, type=2)
+    for b in range(256):
+        proto.pieces.add(piece=f"<0x{b:02X}>", score=0.0, type=pieces.BYTE)
+    rng = np.random.default_rng(9)
+    texts = {"".join(p) for n in (2, 3, 4) for p in itertools.product("ab▁", repeat=n) if rng.random() < 0.3}
+    scores = {t: float(np.float32(-rng.uniform(1, 3 + 2 * len(t)))) for t in sorted(texts | {"a", "b", "▁"})}
+    for piece, score in scores.items():
+        proto.pieces.add(piece=piece, score=score, type=pieces.NORMAL)
+    proto.trainer_spec.model_type, proto.trainer_spec.byte_fallback = pieces.UNIGRAM, True
+    proto.normalizer_spec.add_dummy_prefix, proto.normalizer_spec.remove_extra_whitespaces = True, False
+    path = tmp_path / "unigram.model"
+    path.write_bytes(proto.SerializeToString())
+    model = pieces.PieceModel(str(path))
+    unknown = min(scores.values()) - pieces.UNKNOWN_PENALTY
+
+    def best(word: str) -> float:
+        found = [0.0]
+        for end in range(1, len(word) + 1):
+            ways = [found[s] + scores[word[s:end]] for s in range(end) if word[s:end] in scores]
+            found.append(max([*ways, found[end - 1] + unknown] if word[end - 1] not in scores else ways))
+        return found[-1]
+
+    for _ in range(200):
+        word = "".join(rng.choice(list("abab▁c"), int(rng.integers(1, 12)))).lstrip("▁")
+        ids = np.frombuffer(model.encode([word.replace("▁", " ")])[0], "<u4").tolist()
+        words = ["▁" + w for w in model._words(word.replace("▁", " "))]
+        total, lost = 0.0, 0
+        for i in ids:
+            piece = proto.pieces[i]
+            total += piece.score
+            lost += piece.type == pieces.BYTE  # c has one byte
+        assert total + lost * unknown == pytest.approx(sum(map(best, words)))
+        assert model.decode(np.array(ids, "<u4").tobytes()) == word.replace("▁", " ")
+
+
+def _random_model(rng, kinds):
+    emits = np.zeros((hmm.CLASSES + 2, hmm.STATES))
+    emits[:kinds] = rng.dirichlet(np.ones(kinds), hmm.STATES).T
+    return hmm.Model(rng.dirichlet(np.ones(hmm.STATES)), rng.dirichlet(np.ones(hmm.STATES), hmm.STATES), emits)
+
+
+def test_hidden_markov_by_all_paths():
+    """Likelihoods and expected counts as sums over every path of states."""
+    rng = np.random.default_rng(3)
+    model = _random_model(rng, 4)
+    sequences = [np.array(s) for s in ([0, 1, 2, 3], [3], [2, 2, 0], [1, 0])]
+    start, moves, emits = np.zeros(hmm.STATES), np.zeros((hmm.STATES,) * 2), np.zeros((hmm.CLASSES + 2, hmm.STATES))
+    logs = []
+    for codes in sequences:
+        paths = list(itertools.product(range(hmm.STATES), repeat=len(codes)))
+        chances = np.array(
+            [
+                model.start[p[0]]
+                * np.prod([model.moves[a, b] for a, b in zip(p, p[1:])])
+                * np.prod([model.emits[c, s] for c, s in zip(codes, p)])
+                for p in paths
+            ]
+        )
+        logs.append(np.log(chances.sum()))
+        for p, share in zip(paths, chances / chances.sum()):
+            start[p[0]] += share
+            for a, b in zip(p, p[1:]):
+                moves[a, b] += share
+            for c, s in zip(codes, p):
+                emits[c, s] += share
+    assert hmm.log_likelihoods(model, sequences) == pytest.approx(np.array(logs))
+    counts = hmm.Counts()
+    counts.add(model, sequences)
+    assert counts.log_likelihood == pytest.approx(sum(logs))
+    assert np.allclose(counts.start, start) and np.allclose(counts.moves, moves) and np.allclose(counts.emits, emits)
+
+
+def test_hidden_markov_learns_from_long_texts_only(spark, monkeypatch):
+    """Where all training texts are longer than the guess's pieces, states still come to differ."""
+    monkeypatch.setattr(hmm, "GUESS_TOKENS", 50)
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"t{i % 3}w{k}" for k in rng.integers(0, 40, 300))) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    corpus = hmm.read_corpus(spark, docs)
+    model = hmm.train(spark, corpus)
+    assert np.ptp(model.emits, axis=1).max() > 1e-3 and np.ptp(model.moves, axis=0).max() > 1e-3
+    got = hmm.score(spark, corpus, model).collect()
+    assert sum(r.score for r in got if r.held_out) > sum(r.base_score for r in got if r.held_out)
+
+
+def test_samples_are_small_and_one_per_key(spark):
+    rows = spark.range(0, 30_000, 1, 16).selectExpr("if(id % 3 = 0, 7, id) AS k", "id AS v")
+    got = sampled(rows, "k", 50, F.col("v"))
+    assert len(got) == 50 == len({r.k for r in got})
+    hashes = {r.k: r.h for r in rows.select("k", F.xxhash64("k").alias("h")).distinct().collect()}
+    assert [r.k for r in got] == sorted(hashes, key=hashes.get)[:50]
+    assert all(r.picked == (0 if r.k == 7 else r.k) for r in got)
+    assert len(sampled(rows.where("k < 20"), "k", 50, F.col("v"))) == rows.where("k < 20").select("k").distinct().count()
+    assert sampled(rows.limit(0), "k", 50, F.col("v")) == []
+
+
+def _phrases(text):
+    seen, current = set(), ""
+    for c in text:
+        current += c
+        if current not in seen:
+            seen.add(current)
+            current = ""
+    return seen | ({current} if current else set())
+
+
+def test_fingerprints_are_of_the_phrases():
+    rng = np.random.default_rng(6)
+    for _ in range(40):
+        a = "".join(rng.choice(list("abé🙂 "), int(rng.integers(0, 60))))
+        b = "".join(rng.choice(list("abé🙂 "), int(rng.integers(0, 60))))
+        one, other = _phrases(a), _phrases(b)
+        same = len(one & other) / len(one | other) if one | other else 1.0
+        pa, pb = lempel_ziv.Parse(a), lempel_ziv.Parse(b)
+        if max(len(one), len(other)) <= lempel_ziv.SIZE and len(one | other) <= lempel_ziv.SIZE:
+            assert lempel_ziv.likeness(pa.fingerprint, pb.fingerprint) == pytest.approx(same)
+        assert np.array_equal(lempel_ziv.Parse(a + b, len(a)).continued(b), lempel_ziv.Parse(a + b).fingerprint)
+
+
+def test_rows_of_one_id_are_dealt_to_many_tasks(spark):
+    rows = [(5, f"text {i} " + "ab" * (i % 7)) for i in range(400)] + [(i, f"other {i}") for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    keyed = docs.select(F.col("doc_id").alias("_k"), F.xxhash64("text").alias("_h"))
+    borders = lempel_ziv._borders(keyed, [2, 5, 5, 5, 5, 100, 400])
+    assert borders == sorted(borders) and sum(k == 5 for k, _ in borders) == 4
+    got = lempel_ziv.compare_with_next(spark, docs)
+    assert got.where("doc_id = 5").select(F.spark_partition_id()).distinct().count() >= 2
+    hashes = {t: h for t, h in docs.select("text", F.xxhash64("text")).collect()}
+    order = sorted(rows, key=lambda r: (-r[0], -hashes[r[1]], r[1]))
+    want = []
+    for (d, text), (_, following) in zip(order, [*order[1:], order[0]]):
+        half = len(text) // 2
+        want.append((d, text[: len(text) - half] + following[:half]))
+    assert sorted((r.doc_id, r.edited) for r in got.collect()) == sorted(want)
+
+
+def test_simhash_bit_by_bit_and_all_pairs(spark):
+    rng = np.random.default_rng(12)
+    texts = [None, "", "One", "one  two", "ONE two", "É x y z"]
+    for b in range(15):
+        words = [f"b{b}w{i}" for i in rng.integers(0, 300, 250)]
+        texts.append(" ".join(words))
+        for changed in (1, 2, 4, 12):
+            near = list(words)
+            for at in rng.choice(250, changed, replace=False):
+                near[at] = f"c{at}"
+            texts.append(" ".join(near))
+    prints = []
+    for text in texts:
+        words = "".join(c.lower() if c.isascii() else c for c in text or "").split()
+        runs = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+        hashes = [xxhash.xxh64_intdigest(r.encode(), seed=42) for r in runs]
+        prints.append(sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes)))
+    group = list(range(len(texts)))
+    for j in range(len(texts)):
+        for i in range(j):
+            if (prints[i] ^ prints[j]).bit_count() <= 3:
+                group = [group[i] if g == group[j] else g for g in group]
+    least = {g: min(i for i, other in enumerate(group) if other == g) for g in set(group)}
+    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id bigint, text string, fp int").repartition(3)
+    got = {r.doc_id: (r.fp % 2**64, r.component_id) for r in simhash.near_duplicates(spark, docs).collect()}
+    assert got == {i: (prints[i], least[group[i]]) for i in range(len(texts))}
+    assert 6 < len(set(group)) < len(texts)
+
+
+def test_cells_go_to_the_parts_that_reach_them(spark, monkeypatch):
+    for name, value in {"CELL_ROWS": 16, "ANNULUS_ROWS": 4, "PIVOT_SAMPLE": 40, "QUERY_ROWS": 5}.items():
+        monkeypatch.setattr(topk, name, value)
+    rng = np.random.default_rng(5)
+    centers = rng.normal(size=(8, 6)) * 6
+    vectors = (centers[rng.integers(0, 8, 900)] + rng.normal(size=(900, 6)) * 0.2).round(2)
+    vectors[::3] = vectors[0]
+    rows = [(i, v.tolist(), 1.5) for i, v in enumerate(vectors)] + [(None, [1.0] * 6, 0.0), (20, [0.0] * 6, 0.0)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, distance double").repartition(4)
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.top_k(spark, frame, 5, lambda i: i % 20 == 0).collect()}
+    whole = [(i, np.floor(64 * np.array(v)).astype(int)) for i, v, _ in rows if i is not None]
+    queries: dict[int, tuple] = {}
+    for i, v in whole:
+        if i % 20 == 0:
+            queries[i] = min(queries.get(i, tuple(v)), tuple(v))
+    want = {}
+    for q, vector in queries.items():
+        best = sorted((-int(np.dot(vector, v)), i) for i, v in whole if i != q)
+        best = [b for n, b in enumerate(best) if b not in best[:n]][:5]
+        want.update({(q, rank): (i, -s) for rank, (s, i) in enumerate(best, 1)})
+    assert got == want
+
+
+def test_severity_is_the_penalized_optimum():
+    """No small change of a weight or a threshold makes the penalized likelihood better, counted over grades by hand."""
+    rng = np.random.default_rng(4)
+    chosen = np.array([3, 8, 11, 20])
+    features = [sorted(int(f) for f in chosen if rng.random() < 0.4) for _ in range(300)]
+    strength = {3: 2.0, 8: -1.0, 11: 1.0, 20: 0.0}
+    grades = [int(np.clip(round(sum(strength[f] for f in fs) + rng.normal()), 0, 2)) for fs in features]
+    model = toxicity.fit(chosen, features, grades)
+
+    def value(weights, thresholds):
+        total = -toxicity.PENALTY / 2 * (weights**2).sum()
+        for fs, grade in zip(features, grades):
+            score = sum(weights[list(chosen).index(f)] for f in fs)
+            above = [1.0, *(1 / (1 + np.exp(t - score)) for t in thresholds), 0.0]
+            total += np.log(above[grade] - above[grade + 1])
+        return total
+
+    best = value(model.weights, model.thresholds)
+    for step in (0.2, -0.2):
+        for i in range(len(chosen)):
+            assert value(model.weights + step * (np.arange(len(chosen)) == i), model.thresholds) < best
+        for i in range(len(model.thresholds)):
+            assert value(model.weights, model.thresholds + step * (np.arange(len(model.thresholds)) == i)) < best
+    assert model.weights[0] > 1 and model.weights[1] < -0.3 and np.all(np.diff(model.thresholds) > 0)
