@@ -164,7 +164,8 @@ def read_token_blocks(spark: SparkSession, path: str) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids"],
                 )
 
-    located = blocks.join(bases, "part").select("base", "first", "doc_ids", "doc_lengths", "payload")
+    # As many rows as the file has parts, so the blocks need no shuffle.
+    located = blocks.join(F.broadcast(bases), "part").select("base", "first", "doc_ids", "doc_lengths", "payload")
     return located.mapInArrow(documents, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
