@@ -13,18 +13,21 @@ where they stand, so that no occurrence of them is shuffled.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemill.llm.common import binary_column, text_hash, written
+from tablemill.llm.common import text_hash, written
 
 WINDOW = 35
 MER = 5
@@ -32,21 +35,62 @@ MER = 5
 BUCKET_STRINGS = 5000
 #: There are at most so many of each: where there would be more, the bound above is higher.
 FREQUENT = 100_000
-_MEMO_WORDS = 500_000
+#: Texts are cut into words in groups of so many bytes, or one by one if longer; words are hashed in slices.
+_GROUP_BYTES = 4 << 20
+_SLICE_BYTES = 1 << 16
 #: Bytes of strings that a task combines before it hands them on.
 _HELD_BYTES = 16 << 20
 _FIRST_ID = -(1 << 63)
 _BLANK = re.compile(b" ")
 
 
-class _Hashes(dict):
-    """64-bit hashes of words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _MEMO_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
+_BLANKS = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+# Any fixed odd number and codes do; all tasks must have the same.
+_BASE = 0x9E3779B97F4A7C15
+_CODES = np.random.default_rng(20).integers(0, 1 << 64, 256, np.uint64)
+
+
+@functools.cache
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64."""
+    found = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        powers = np.full(_SLICE_BYTES + 1, base, np.uint64)
+        powers[0] = 1
+        found.append(np.multiply.accumulate(powers))
+    return tuple(found)
+
+
+def _bounds(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of each word in the bytes of documents that stand side by side; ``borders`` are theirs."""
+    blank = _BLANKS[data]
+    inside = ~blank
+    begins = inside.copy()
+    begins[1:] &= blank[:-1]
+    firsts = borders[borders < len(data)]
+    begins[firsts] = inside[firsts]
+    lasts = inside
+    lasts[:-1] &= blank[1:] | begins[1:]
+    return np.flatnonzero(begins), np.flatnonzero(lasts) + 1
+
+
+def _word_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words: the sum of their bytes' codes times powers of the base, from sums over a slice."""
+    powers, inverses = _powers()
+    out = np.empty(len(begins), np.uint64)
+    i = 0
+    while i < len(begins):
+        j = max(i + 1, int(np.searchsorted(ends, begins[i] + _SLICE_BYTES, "right")))
+        low, high = int(begins[i]), int(ends[j - 1])
+        if high - low > _SLICE_BYTES:  # one long word
+            out[i] = xxhash.xxh64_intdigest(data[low:high].tobytes())
+        else:
+            sums = np.zeros(high - low + 1, np.uint64)
+            np.cumsum(_CODES[data[low:high]] * powers[: high - low], out=sums[1:])
+            at = begins[i:j] - low
+            out[i:j] = (sums[ends[i:j] - low] - sums[at]) * inverses[at]
+        i = j
+    return out ^ (out >> np.uint64(32))
 
 
 def _sliding_min(values: np.ndarray, reach: int) -> np.ndarray:
@@ -57,33 +101,89 @@ def _sliding_min(values: np.ndarray, reach: int) -> np.ndarray:
     return values
 
 
-def super_kmers(words: list[bytes], window: int, hashes: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First windows, numbers of windows and minimisers of a document's super-k-mers."""
-    if len(words) < window:
-        return np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.int64)
+@dataclass
+class _Cut:
+    """Documents ``low`` to ``high`` of a batch. ``first`` has each one's first word and ``at`` its first super-k-mer
+    (and those behind the last); super-k-mers have the number of their first window in the document, their number of
+    windows, their minimiser and document."""
+
+    low: int
+    high: int
+    data: np.ndarray
+    begins: np.ndarray
+    ends: np.ndarray
+    first: np.ndarray
+    at: np.ndarray
+    starts: np.ndarray
+    counts: np.ndarray
+    keys: np.ndarray
+    documents: np.ndarray
+
+    def packed(self, document: int, start: int, stop: int) -> bytes:
+        """Words of a document, joined by one blank."""
+        first = self.first[document]
+        words = self.data[self.begins[first + start] : self.ends[first + stop - 1]].tobytes()
+        return b" ".join(words.split())
+
+
+def _super_kmers(low: int, high: int, data: np.ndarray, borders: np.ndarray, window: int) -> _Cut:
+    begins, ends = _bounds(data, borders)
+    first = np.searchsorted(begins, borders)
+    n_windows = np.maximum(np.diff(first) - window + 1, 0)
+    total, behind = int(n_windows.sum()), np.cumsum(n_windows)
+    if not total:
+        none = np.empty(0, np.int64)
+        return _Cut(low, high, data, begins, ends, first, np.zeros(high - low + 1, np.int64), none, none, none, none)
     mer = min(MER, window)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    n = len(words) - mer + 1
+    h = _word_hashes(data, begins, ends)
+    n = len(h) - mer + 1
     mixed = np.zeros(n, np.uint64)
     for j in range(mer):
         mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + h[j : j + n]
     mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     mixed ^= mixed >> np.uint64(32)
     least = _sliding_min(mixed, window - mer + 1)
-    leaves = mixed[: len(least) - 1] == least[:-1]  # the first run with the least hash begins the window
-    starts = np.concatenate([[0], np.flatnonzero((least[1:] != least[:-1]) | leaves) + 1])
-    counts = np.diff(np.concatenate([starts, [len(least)]]))
-    return starts.astype(np.int32), counts.astype(np.int32), least[starts].view(np.int64)
+
+    # Windows within one document, side by side.
+    document = np.repeat(np.arange(high - low), n_windows)
+    number = np.arange(total) - (behind - n_windows)[document]
+    word = first[document] + number
+    mixed, least = mixed[word], least[word]
+    new = number == 0
+    # The first run with the least hash begins the window before: the next one has its minimiser elsewhere.
+    new[1:] |= (least[1:] != least[:-1]) | (mixed[:-1] == least[:-1])
+    chosen = np.flatnonzero(new)
+    counts = np.diff(np.append(chosen, total))
+    document = document[chosen]
+    at = np.searchsorted(document, np.arange(high - low + 1))
+    keys = least[chosen].view(np.int64)
+    return _Cut(low, high, data, begins, ends, first, at, number[chosen], counts, keys, document)
+
+
+def _cuts(texts: pa.Array, window: int):
+    """The super-k-mers of a batch's documents, for groups of documents of bounded size; null texts are empty."""
+    texts = pc.fill_null(texts, "").cast(pa.large_binary())
+    _, borders, data = texts.buffers()
+    borders = np.frombuffer(borders, np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else [0]
+    data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
+    low = 0
+    while low < len(texts):
+        high = max(low + 1, int(np.searchsorted(borders, borders[low] + _GROUP_BYTES, "right")) - 1)
+        high = min(high, len(texts))
+        own = borders[low : high + 1]
+        yield _super_kmers(low, high, data[own[0] : own[-1]], own - own[0], window)
+        low = high
 
 
 def _minimisers(batches, window: int):
-    hashes = _Hashes()
     for batch in batches:
-        found = [super_kmers(raw.split(), window, hashes) for raw in binary_column(batch, "text")]
-        columns = [pa.array([f[i] for f in found], pa.list_(t)) for i, t in enumerate((pa.int32(), pa.int32(), pa.int64()))]
-        yield pa.record_batch(
-            [batch.column("_d"), batch.column("_h"), *columns], names=["_d", "_h", "starts", "counts", "keys"]
-        )
+        for cut in _cuts(batch.column("text"), window):
+            own = batch.slice(cut.low, cut.high - cut.low)
+            values = pa.array(cut.starts, pa.int32()), pa.array(cut.counts, pa.int32()), pa.array(cut.keys, pa.int64())
+            lists = [pa.ListArray.from_arrays(pa.array(cut.at, pa.int32()), v) for v in values]
+            yield pa.record_batch(
+                [own.column("_d"), own.column("_h"), *lists], names=["_d", "_h", "starts", "counts", "keys"]
+            )
 
 
 _PIECE = "_d bigint, _h bigint, start int, stop int, key bigint, packed binary"
@@ -110,20 +210,21 @@ def _batches(schema: str, rows):
 
 def _cut_strings(batches, window: int):
     """The packed strings of a document's chosen super-k-mers, keyed by minimiser."""
-    hashes, bits = _Hashes(), window.bit_length()
+    bits = window.bit_length()
 
     def rows():
         for batch in batches:
-            texts = batch.column("row").field("text").to_pylist()
-            chosen = batch.column("chosen").to_pylist()
-            for d, h, text, numbers in zip(*(batch.column(c).to_pylist() for c in ("_d", "_h")), texts, chosen):
-                words = (text or "").encode().split()
-                starts, _, keys = super_kmers(words, window, hashes)
-                key_at = dict(zip(starts.tolist(), keys.tolist()))
-                for number in numbers:
-                    start, many = number >> bits, number & (1 << bits) - 1
-                    stop = start + many - 1 + window
-                    yield d, h, start, stop, key_at[start], b" ".join(words[start:stop])
+            ids, hashes, chosen = (batch.column(c).to_pylist() for c in ("_d", "_h", "chosen"))
+            for cut in _cuts(batch.column("row").field("text"), window):
+                for document in range(cut.high - cut.low):
+                    numbers = np.array(chosen[cut.low + document], np.int64)
+                    own = slice(cut.at[document], cut.at[document + 1])
+                    starts = numbers >> bits
+                    stops = starts + (numbers & (1 << bits) - 1) - 1 + window
+                    keys = cut.keys[own][np.searchsorted(cut.starts[own], starts)]
+                    d, h = ids[cut.low + document], hashes[cut.low + document]
+                    for start, stop, key in zip(starts.tolist(), stops.tolist(), keys.tolist()):
+                        yield d, h, start, stop, key, cut.packed(document, start, stop)
 
     yield from _batches(_PIECE, rows())
 
@@ -150,29 +251,35 @@ def _marked(d: int, h: int, found, hot: frozenset[bytes]):
         yield d, h, *held, 0, None
 
 
-def _strings_of(words: list[bytes], window: int, often: np.ndarray, hashes: dict):
-    """Start, stop and packed string of the super-k-mers of frequent minimisers ``often`` (ascending)."""
-    starts, counts, keys = super_kmers(words, window, hashes)
-    for i in np.flatnonzero(np.isin(keys, often)).tolist():
-        start, stop = int(starts[i]), int(starts[i]) + int(counts[i]) - 1 + window
-        yield start, stop, b" ".join(words[start:stop])
+def _frequent_strings(batches, window: int, often: np.ndarray):
+    """Per document that has any: its key, and start, stop and packed string of the super-k-mers of frequent minimisers
+    ``often`` (ascending)."""
 
+    def strings(cut: _Cut, document: int, found: np.ndarray):
+        starts = cut.starts[found]
+        stops = starts + cut.counts[found] - 1 + window
+        for start, stop in zip(starts.tolist(), stops.tolist()):
+            yield start, stop, cut.packed(document, start, stop)
 
-def _documents(batches):
     for batch in batches:
-        yield from zip(*(batch.column(c).to_pylist() for c in ("_d", "_h")), binary_column(batch, "text"))
+        ids, hashes = (batch.column(c).to_pylist() for c in ("_d", "_h"))
+        for cut in _cuts(batch.column("text"), window):
+            place = np.minimum(np.searchsorted(often, cut.keys), len(often) - 1)
+            found = np.flatnonzero(often[place] == cut.keys)
+            documents, begin = np.unique(cut.documents[found], return_index=True)
+            for document, own in zip(documents.tolist(), np.split(found, begin[1:])):
+                yield ids[cut.low + document], hashes[cut.low + document], strings(cut, document, own)
 
 
 def _counted_strings(batches, window: int, often: np.ndarray):
     """The packed strings of frequent minimisers with their numbers in this task and the place of one of each. Equal
     ones are combined while a bounded number of bytes is held."""
-    hashes = _Hashes()
 
     def rows():
         counts: dict[bytes, list[int]] = {}
         held = 0
-        for d, h, raw in _documents(batches):
-            for start, _, packed in _strings_of(raw.split(), window, often, hashes):
+        for d, h, found in _frequent_strings(batches, window, often):
+            for start, _, packed in found:
                 if packed in counts:
                     counts[packed][0] += 1
                     continue
@@ -188,11 +295,10 @@ def _counted_strings(batches, window: int, often: np.ndarray):
 
 def _placed_strings(batches, window: int, often: np.ndarray, hot: frozenset[bytes]):
     """The packed strings of frequent minimisers, with their places."""
-    hashes = _Hashes()
 
     def rows():
-        for d, h, raw in _documents(batches):
-            yield from _marked(d, h, _strings_of(raw.split(), window, often, hashes), hot)
+        for d, h, found in _frequent_strings(batches, window, often):
+            yield from _marked(d, h, found, hot)
 
     yield from _batches(_PIECE, rows())
 
@@ -236,6 +342,9 @@ def repeated_windows(strings: list[bytes], window: int) -> list[tuple[int, list[
     copies: dict[bytes, list[int]] = {}
     for at, packed in enumerate(strings):
         copies.setdefault(packed, []).append(at)
+    if len(copies) == 1:
+        every = list(range(strings[0].count(b" ") + 2 - window))
+        return [(at, every) for at in range(len(strings))]
     windows: list[tuple[bytes, int, bytes]] = []
     for packed in copies:
         windows.extend((each, i, packed) for i, each in enumerate(_windows_of(packed, window)))

@@ -7,6 +7,7 @@ import time
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -39,6 +40,35 @@ def test_windows_of_any_length(spark, window):
     assert got == want and any(len(want[d].split()) < len(t) for d, t in enumerate(texts))
 
 
+@pytest.mark.parametrize("group", [1, 100, 1 << 22])
+def test_super_kmers_of_any_texts(monkeypatch, group):
+    """Words of any length and white space: equal windows have one minimiser, whatever stands beside them, and the
+    super-k-mers of a document hold each of its windows once."""
+    monkeypatch.setattr(substrings, "_GROUP_BYTES", group)
+    rng, window = np.random.default_rng(3), 7
+    blanks = [" ", "  ", "\t", "\n", "\r\n", "\x0b", "\x0c "]
+    words = [*"abcdefgh", "é", "語語", "x\u00a0y", "\u2003", "w" * 70_000, "v" * 65_536, "v" * 65_537]
+    texts = [None, "", " \n ", "a b c", "  ".join("abcdefg")]
+    for _ in range(60):
+        chosen = rng.integers(0, len(words), rng.integers(0, 60))
+        texts.append("".join(str(rng.choice(blanks)) + words[i] for i in chosen if i < 12 or rng.random() < 0.1))
+    keys: dict[tuple, set[int]] = {}
+    seen = 0
+    for cut in substrings._cuts(pa.array(texts), window):
+        for document in range(cut.high - cut.low):
+            own, covered = (texts[cut.low + document] or "").encode().split(), []
+            for i in range(cut.at[document], cut.at[document + 1]):
+                assert cut.documents[i] == document
+                start, n = int(cut.starts[i]), int(cut.counts[i])
+                covered += range(start, start + n)
+                assert cut.packed(document, start, start + n - 1 + window) == b" ".join(own[start : start + n - 1 + window])
+                for j in range(start, start + n):
+                    keys.setdefault(tuple(own[j : j + window]), set()).add(int(cut.keys[i]))
+            assert covered == list(range(max(len(own) - window + 1, 0)))
+            seen += 1
+    assert seen == len(texts) and len(keys) > 100 and all(len(found) == 1 for found in keys.values())
+
+
 @pytest.mark.parametrize("text", [" " * 100_000, "a" + " " * 100_000 + "b", "▁" * 3001, " x" * 7 + " " * 77 + "y"])
 def test_long_runs_of_blanks(text):
     import sentencepiece
