@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tablemill.llm.common import text_hash, written
 
 #: Variants are emitted of at most so many characters of a line, and one.
-LEFT_CHARS = 576
+LEFT_CHARS = 96
 
 _LAST_ID = (1 << 63) - 1
 _PLACE = ("_d", "_h", "pos")
@@ -163,8 +163,8 @@ def without_repeated_lines(docs: DataFrame, min_chars: int = 0) -> DataFrame:
     firsts = keyed.groupBy("line_key").agg(
         F.min("place").alias("first"), F.first("parts").alias("parts"), F.first("n").alias("n")
     )
-    # True for all; all that is made of the first lines needs the same columns and reads one shuffle.
-    firsts = firsts.drop("line_key").where(F.xxhash64("first", "parts", "n") >= F.lit(-(1 << 63)))
+    # Written, as several jobs read them.
+    firsts = written(docs.sparkSession, firsts.drop("line_key"), "first-lines")
 
     first_lines = firsts.select("first.*").groupBy("_d", "_h").agg(F.collect_set("pos").alias("firsts"))
     near_lines = _near_lines(rows, firsts).groupBy("_d", "_h").agg(F.collect_set("pos").alias("near"))
