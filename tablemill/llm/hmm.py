@@ -12,6 +12,7 @@ kept as class numbers, which is all that Baum-Welch and scoring read.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablemill.llm.common import binary_column, keyed, sampled, written
+from tablemill.llm.common import binary_column, keyed, written
 
 STATES = 8
 CLASSES = 32_768
@@ -28,8 +29,8 @@ ITERATIONS = 2
 CHUNK_BYTES = 16_000_000
 #: Strength, in tokens, of the prior that gives every state the words' overall shares.
 PRIOR = 1000.0
-#: The first guess of the model comes from so many training documents, or from so many tokens somewhere in each.
-GUESS_DOCS, GUESS_TOKENS, GUESS_ROUNDS = 400, 4000, 12
+#: The first guess takes all training texts in pieces of at most so many tokens and deals them to states so often.
+GUESS_TOKENS, GUESS_ROUNDS = 4000, 3
 #: Tokens that forward and backward passes hold at a time, and the longest sequence they train on as one.
 BATCH_TOKENS = 1_000_000
 #: Distinct words of its chunks that a task holds before it hands them on; a word may then have several rows of a chunk.
@@ -273,62 +274,67 @@ def _groups(batches, longest: int | None = None):
         yield held
 
 
-def _first_guess(sequences: list[np.ndarray], shares: np.ndarray) -> Model:
-    """States begin as documents that are most unlike, and are bettered on the given documents."""
-    counts = Counts()
-    if sequences:
-        shown = np.zeros((len(sequences), CLASSES + 2), np.float32)
-        for i, codes in enumerate(sequences):
-            np.add.at(shown[i], codes, 1)
-        vectors = np.sqrt(shown / shown.sum(axis=1, keepdims=True))
-        chosen = [int(np.argmax([len(s) for s in sequences]))]
-        nearest = vectors @ vectors[chosen[0]]
-        while len(chosen) < min(STATES, len(sequences)):
-            lengths = np.array([len(s) for s in sequences])
-            chosen.append(int(np.argmin(np.where(lengths >= np.median(lengths), nearest, np.inf))))
-            nearest = np.maximum(nearest, vectors @ vectors[chosen[-1]])
-        for s in range(STATES):
-            counts.emits[:, s] = shown[chosen[s % len(chosen)]] * (1 + s // len(chosen))
-        counts.start += 1.0
-        counts.moves += 1.0 + 9 * STATES * np.eye(STATES)
-    model = counts.model(shares)
-    for _ in range(GUESS_ROUNDS if sequences else 0):
+def _summed(texts: DataFrame, add: Callable[[Counts, list[np.ndarray]], None]) -> Counts:
+    """What ``add`` counts in all texts. Each task sums the counts of its texts and each class's counts are summed over
+    tasks, so what comes to the driver has the size of the model."""
+
+    def count(batches):
         counts = Counts()
-        counts.add(model, sequences)
+        for sequences in _groups(batches, SEQUENCE_TOKENS):
+            add(counts, sequences)
+        table = np.concatenate([counts.emits, counts.moves, counts.start[None, :]])
+        at = np.flatnonzero(table.any(axis=1))
+        columns = [pa.array(at.astype(np.int32)), *(pa.array(table[at, s].copy()) for s in range(STATES))]
+        yield pa.record_batch(columns, names=["k", *(f"s{s}" for s in range(STATES))])
+
+    sums = texts.select("classes").mapInArrow(count, _SUM).groupBy("k")
+    sums = sums.agg(*(F.sum(f"s{s}").alias(f"s{s}") for s in range(STATES))).toArrow()
+    table = np.zeros((CLASSES + 3 + STATES, STATES))
+    table[sums.column("k").to_numpy()] = np.stack([sums.column(f"s{s}").to_numpy() for s in range(STATES)], axis=1)
+    counts = Counts()
+    counts.emits, counts.moves, counts.start = table[: CLASSES + 2], table[CLASSES + 2 : -1], table[-1]
+    return counts
+
+
+def _add_pieces(counts: Counts, sequences: list[np.ndarray], longest: int, table: np.ndarray, start) -> None:
+    """Each piece goes whole to one state: by the signs of the sums of its classes' rows of ``table``, or, with the
+    states' chances ``start``, to the largest sum."""
+    pieces = [s[i : i + longest] for s in sequences for i in range(0, len(s), longest)]
+    lengths = np.array([len(p) for p in pieces])
+    flat = np.concatenate(pieces).astype(np.int64)
+    sums = np.add.reduceat(table[flat], np.cumsum(lengths) - lengths)
+    states = (sums > 0) @ (1 << np.arange(sums.shape[1])) % STATES if start is None else (sums + start).argmax(axis=1)
+    each = np.bincount(flat * STATES + np.repeat(states, lengths), minlength=counts.emits.size)
+    counts.emits += each.reshape(-1, STATES)
+    counts.start += np.bincount(states, minlength=STATES)
+
+
+def _dealt_to_states(spark: SparkSession, training: DataFrame, shares: np.ndarray) -> Counts:
+    """All training texts, dealt to states piece by piece: first by random sums, in which rare classes weigh more and
+    which are zero for the corpus as a whole, then to the state most likely to give the piece."""
+    table = np.random.default_rng(3).choice([-1.0, 1.0], (CLASSES + 2, (STATES - 1).bit_length()))
+    table /= np.sqrt(np.where(shares > 0, shares, 1.0))[:, None]
+    table -= shares @ table
+    longest, start = GUESS_TOKENS, None
+    for _ in range(GUESS_ROUNDS):
+        shared = spark.sparkContext.broadcast((table, start))
+        counts = _summed(training, lambda c, sequences, shared=shared: _add_pieces(c, sequences, longest, *shared.value))
         model = counts.model(shares)
-    return model
+        table, start = np.log(model.emits.clip(1e-300)), np.log(model.start)
+    return counts
 
 
 def train(spark: SparkSession, corpus: Corpus, iterations: int = ITERATIONS) -> Model:
-    """Baum-Welch over all training texts. Each task sums the counts of its texts and each class's counts are summed
-    over tasks, so what comes to the driver has the size of the model. The first guess comes from a bounded sample of
-    documents of any length."""
+    """Baum-Welch over all training texts, from a first guess that all of them make: states begin as groups of pieces
+    that are alike, and seldom change within one."""
     shares = corpus.mass / corpus.mass.sum()
     training = corpus.texts.where("NOT held_out")
-    spare = F.greatest(F.col("n_tokens") - GUESS_TOKENS + 1, F.lit(1))
-    begin = (1 + 2 * F.pmod(F.xxhash64("doc_id", "n_tokens"), spare)).cast("int")
-    piece = F.substring("classes", begin, F.lit(2 * GUESS_TOKENS))
-    few = sampled(training, "doc_id", GUESS_DOCS, F.struct("log_counts", piece.alias("classes")))
-    model = _first_guess([np.frombuffer(bytes(r.picked.classes), "<u2") for r in few], shares)
+    counts = _dealt_to_states(spark, training, shares)
+    counts.moves = 1.0 + 9 * STATES * np.eye(STATES)
+    model = counts.model(shares)
     for _ in range(iterations):
         shared = spark.sparkContext.broadcast(model)
-
-        def count(batches, shared=shared):
-            counts = Counts()
-            for sequences in _groups(batches, SEQUENCE_TOKENS):
-                counts.add(shared.value, sequences)
-            table = np.concatenate([counts.emits, counts.moves, counts.start[None, :]])
-            at = np.flatnonzero(table.any(axis=1))
-            columns = [pa.array(at.astype(np.int32)), *(pa.array(table[at, s].copy()) for s in range(STATES))]
-            yield pa.record_batch(columns, names=["k", *(f"s{s}" for s in range(STATES))])
-
-        sums = training.select("classes").mapInArrow(count, _SUM).groupBy("k")
-        sums = sums.agg(*(F.sum(f"s{s}").alias(f"s{s}") for s in range(STATES))).toArrow()
-        table = np.zeros((CLASSES + 3 + STATES, STATES))
-        table[sums.column("k").to_numpy()] = np.stack([sums.column(f"s{s}").to_numpy() for s in range(STATES)], axis=1)
-        counts = Counts()
-        counts.emits, counts.moves, counts.start = table[: CLASSES + 2], table[CLASSES + 2 : -1], table[-1]
-        model = counts.model(shares)
+        model = _summed(training, lambda c, sequences, shared=shared: c.add(shared.value, sequences)).model(shares)
     return model
 
 

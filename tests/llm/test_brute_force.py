@@ -173,6 +173,19 @@ def test_hidden_markov_learns_from_long_texts_only(spark, monkeypatch):
     assert sum(r.score for r in got if r.held_out) > sum(r.base_score for r in got if r.held_out)
 
 
+def test_hidden_markov_first_guess_counts_every_token(spark):
+    """Of many texts and of long ones alike, no training token is left out of the first guess."""
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 500, 9000 if i == 4 else 3))) for i in range(900)]
+    corpus = hmm.read_corpus(spark, spark.createDataFrame(rows, "doc_id bigint, text string"))
+    training = corpus.texts.where("NOT held_out")
+    counts = hmm._dealt_to_states(spark, training, corpus.mass / corpus.mass.sum())
+    texts = [np.frombuffer(bytes(r.classes), "<u2") for r in training.collect()]
+    assert len(texts) > 600 and max(map(len, texts)) == 9001
+    assert (counts.emits.sum(axis=1) == np.bincount(np.concatenate(texts), minlength=hmm.CLASSES + 2)).all()
+    assert counts.start.sum() == len(texts) + 2 and (counts.start > 0).sum() > 1
+
+
 def test_samples_are_small_and_one_per_key(spark):
     rows = spark.range(0, 30_000, 1, 16).selectExpr("if(id % 3 = 0, 7, id) AS k", "id AS v")
     got = sampled(rows, "k", 50, F.col("v"))
