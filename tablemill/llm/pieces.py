@@ -8,7 +8,8 @@ The table holds, for each prefix, the score of its encoding so far and its last
 best score decides; of encodings with one score up to rounding the library may take another, as it adds over the
 whole text. In a model of BPE type scores are ranks of merges and their sum decides nothing: there the last
 piece is the one that BPE would leave beside the last piece of the prefix before it. There is exactly one, so the ids
-are those of the SentencePiece library.
+are those of the SentencePiece library. The pieces that end a prefix come from an automaton over the beginnings of all
+pieces (Aho and Corasick), so no others are tried.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from tablemill.llm.common import binary_column, keyed
 MARK = "▁"
 MEMO_WORDS = 400_000
 MEMO_PAIRS = 400_000
+#: Steps of the automaton that are remembered.
+MEMO_STEPS = 200_000
 #: So many texts are taken together; their distinct words are sorted together.
 BATCH_ROWS = 512
 
@@ -60,12 +63,18 @@ class PieceModel:
         self.scores = [p.score for p in model.pieces]
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == BYTE}
         self.plain = [p.piece for p in model.pieces]
-        self.longest = max(map(len, self.ids))
         self.unknown = min(p.score for p in model.pieces if p.type == NORMAL) - UNKNOWN_PENALTY
         self.output = [self._output(p) for p in model.pieces]
         self.memo: dict[str, bytes] = {}
         self.pairs: dict[int, bool] = {}
         self.splits: dict[int, tuple[int, int] | None] = {}
+        self.states = {"": 0}
+        for piece in self.ids:
+            for end in range(1, len(piece) + 1):
+                self.states.setdefault(piece[:end], len(self.states))
+        self.begun = list(self.states)
+        self.steps: dict[tuple[int, str], int] = {}
+        self.ends: list[tuple[tuple[int, int], ...] | None] = [None] * len(self.begun)
 
     @staticmethod
     def _output(piece) -> bytes:
@@ -97,8 +106,9 @@ class PieceModel:
         return re.findall(f"{MARK}({MARK}*[^{MARK}]*)", MARK + text.replace(" ", MARK))
 
     def _encode_sorted(self, words: list[str]) -> None:
-        """Depth-first over the trie of the words; ``table[i]`` is (score, last piece, its length) of i characters."""
-        before, table = "", [(0.0, _BREAK, 0)]
+        """Depth-first over the trie of the words; ``table[i]`` is (score, last piece, its length, state of the automaton)
+        of i characters."""
+        before, table, last = "", [(0.0, _BREAK, 0, 0)], self._last
         for word in words:
             marked = MARK + word
             if self.by_rank and word.startswith(MARK):
@@ -109,36 +119,58 @@ class PieceModel:
                 same += 1
             del table[same + 1 :]
             for end in range(len(table), len(marked) + 1):
-                table.append(self._last(marked, end, table))
+                table.append(last(marked[end - 1], table))
             before = marked
             ids: list[int] = []
             end = len(marked)
             while end:
-                _, piece, length = table[end]
+                _, piece, length, _ = table[end]
                 ids.extend([piece] if piece != _BREAK else self._fallback(marked[end - 1])[::-1])
                 end -= length
             self.memo[word] = array("I", ids[::-1]).tobytes()
 
-    def _last(self, word: str, end: int, table: list) -> tuple[float, int, int]:
-        get, scores, pairs = self.ids.get, self.scores, self.pairs
+    def _last(self, character: str, table: list) -> tuple[float, int, int, int]:
+        """The table's next entry, for one character more."""
+        scores, pairs, size = self.scores, self.pairs, len(table)
+        key = table[-1][3], character
+        state = self.steps.get(key)
+        if state is None:
+            state = self._step(key)
+        ends = self.ends[state]
+        if ends is None:
+            ends = self._ends(state)
         best = None
-        for start in range(max(0, end - self.longest), end):
-            piece = get(word[start:end])
-            if piece is None:
-                continue
-            score, left, _ = table[start]
+        for piece, length in ends:
+            score, left, _, _ = table[size - length]
             if self.by_rank:
                 stands = pairs.get(left << 32 | piece)
                 if stands or stands is None and self._stands(left, piece):
-                    return score + scores[piece], piece, end - start
+                    return score + scores[piece], piece, length, state
             elif best is None or score + scores[piece] > best[0]:
-                best = score + scores[piece], piece, end - start
-        if best is None or not self.by_rank and word[end - 1] not in self.ids:
-            unknown = table[end - 1][0] + self.unknown
+                best = score + scores[piece], piece, length, state
+        if best is None or not self.by_rank and character not in self.ids:
+            unknown = table[-1][0] + self.unknown
             if best is None or unknown > best[0]:
-                best = unknown, _BREAK, 1
+                best = unknown, _BREAK, 1, state
         return best
 
+    def _step(self, key: tuple[int, str]) -> int:
+        """The state behind one character more: the longest end of what was read that begins a piece."""
+        text = self.begun[key[0]] + key[1]
+        while text not in self.states:
+            text = text[1:]
+        if len(self.steps) >= MEMO_STEPS:
+            self.steps.clear()
+        state = self.steps[key] = self.states[text]
+        return state
+
+    def _ends(self, state: int) -> tuple[tuple[int, int], ...]:
+        """The pieces that end what was read, longest first, with their lengths."""
+        text, n = self.begun[state], len(self.begun[state])
+        found = ((self.ids.get(text[start:]), n - start) for start in range(n))
+        ends = self.ends[state] = tuple((piece, length) for piece, length in found if piece is not None)
+        return ends
+
     def _fallback(self, character: str) -> list[int]:
         return [self.bytes[b] for b in character.encode("utf-8", "replace")]
 

@@ -186,6 +186,21 @@ def test_hidden_markov_first_guess_counts_every_token(spark):
     assert counts.start.sum() == len(texts) + 2 and (counts.start > 0).sum() > 1
 
 
+def test_only_pieces_that_end_a_prefix_are_tried():
+    """Exactly these, longest first, whatever was read before; steps may be forgotten at any time."""
+    import public_tokenizers
+
+    model = pieces.PieceModel(public_tokenizers.path("piece_bpe_32k.model"))
+    rng = np.random.default_rng(9)
+    most = max(map(len, model.ids))
+    read, state = "", 0
+    for c in rng.choice([*"theinrsoa▁d", "é", "🙂"], 3000):
+        read += str(c)
+        state = model._step((state, str(c)))
+        near = [read[i:] for i in range(max(0, len(read) - most), len(read))]
+        assert model._ends(state) == tuple((model.ids[p], len(p)) for p in near if p in model.ids)
+
+
 def test_samples_are_small_and_one_per_key(spark):
     rows = spark.range(0, 30_000, 1, 16).selectExpr("if(id % 3 = 0, 7, id) AS k", "id AS v")
     got = sampled(rows, "k", 50, F.col("v"))
