@@ -36,7 +36,7 @@ BUCKET_STRINGS = 5000
 #: There are at most so many of each: where there would be more, the bound above is higher.
 FREQUENT = 100_000
 #: Texts are cut into words in groups of so many bytes, or one by one if longer; words are hashed in slices.
-_GROUP_BYTES = 4 << 20
+_GROUP_BYTES = 512 << 10
 _SLICE_BYTES = 1 << 16
 #: Bytes of strings that a task combines before it hands them on.
 _HELD_BYTES = 16 << 20

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import time
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -188,9 +189,7 @@ def test_hidden_markov_first_guess_counts_every_token(spark):
 
 def test_only_pieces_that_end_a_prefix_are_tried():
     """Exactly these, longest first, whatever was read before; steps may be forgotten at any time."""
-    import public_tokenizers
-
-    model = pieces.PieceModel(public_tokenizers.path("piece_bpe_32k.model"))
+    model = pieces.PieceModel(PIECES)
     rng = np.random.default_rng(9)
     most = max(map(len, model.ids))
     read, state = "", 0
@@ -201,6 +200,20 @@ def test_only_pieces_that_end_a_prefix_are_tried():
         assert model._ends(state) == tuple((model.ids[p], len(p)) for p in near if p in model.ids)
 
 
+def test_super_kmers_hold_little_beside_the_texts():
+    """A batch of 8 MB in short texts takes some megabytes for words, hashes and windows at a time."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 90_000, 350)) for _ in range(3600)]
+    places = pa.array(range(len(texts)), pa.int64())
+    batch = pa.record_batch([places, places, pa.array(texts)], names=["_d", "_h", "text"])
+    next(substrings._minimisers([batch.slice(0, 1)], substrings.WINDOW))
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in substrings._minimisers([batch], substrings.WINDOW))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(texts) and sum(map(len, texts)) > 8 << 20 and most < 25e6
+
+
 def test_samples_are_small_and_one_per_key(spark):
     rows = spark.range(0, 30_000, 1, 16).selectExpr("if(id % 3 = 0, 7, id) AS k", "id AS v")
     got = sampled(rows, "k", 50, F.col("v"))
