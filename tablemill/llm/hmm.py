@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,15 +28,20 @@ CLASSES = 32_768
 ITERATIONS = 2
 #: Bytes of text in a chunk, on average.
 CHUNK_BYTES = 16_000_000
+#: Partitions for each chunk; with one, hashing gave a task 5 of 11 chunks.
+SPREAD = 2
 #: Strength, in tokens, of the prior that gives every state the words' overall shares.
 PRIOR = 1000.0
 #: The first guess takes all training texts in pieces of at most so many tokens and deals them to states so often.
 GUESS_TOKENS, GUESS_ROUNDS = 4000, 3
-#: Tokens that forward and backward passes hold at a time, and the longest sequence they train on as one.
-BATCH_TOKENS = 1_000_000
+#: Tokens that forward and backward passes hold at a time, with some 160 bytes each, and the longest sequence they train
+#: on as one. Sequences of about ``SORTED_TOKENS``, two bytes each, are ordered by length before they are grouped.
+BATCH_TOKENS, SORTED_TOKENS = 200_000, 2_000_000
+SEQUENCE_TOKENS = 100_000
 #: Distinct words of its chunks that a task holds before it hands them on; a word may then have several rows of a chunk.
 HELD_WORDS = 500_000
-SEQUENCE_TOKENS = 100_000
+#: Texts that are Python objects at a time, and words handed on at a time.
+TEXT_ROWS, WORD_ROWS = 256, 50_000
 
 END_CLASS, UNKNOWN_CLASS = CLASSES, CLASSES + 1
 _END = "\n"  # no word has it
@@ -81,24 +87,28 @@ def _chunk_words(batches, held_words: int):
 
     def rows():
         for chunk, counts in held.items():
-            yield pa.record_batch(
-                [
-                    pa.array(np.full(len(counts), chunk, np.int64)),
-                    pa.array([w.decode("utf-8", "replace") for w in counts], pa.string()),
-                    pa.array(list(counts.values()), pa.int64()),
-                ],
-                names=["chunk", "word", "n"],
-            )
+            items = iter(counts.items())
+            while some := list(islice(items, WORD_ROWS)):
+                yield pa.record_batch(
+                    [
+                        pa.array(np.full(len(some), chunk, np.int64)),
+                        pa.array([w.decode("utf-8", "replace") for w, _ in some], pa.string()),
+                        pa.array([n for _, n in some], pa.int64()),
+                    ],
+                    names=["chunk", "word", "n"],
+                )
         held.clear()
 
     for batch in batches:
-        trains = batch.column("held_out").to_pylist()
-        for chunk, out, raw in zip(batch.column("chunk").to_pylist(), trains, binary_column(batch, "text")):
-            counts = held.setdefault(chunk, Counter())
-            tokens = _tokens(raw)
-            counts.update(dict.fromkeys(tokens, 0) if out else tokens)
-        if sum(map(len, held.values())) > held_words:
-            yield from rows()
+        for start in range(0, batch.num_rows, TEXT_ROWS):
+            some = batch.slice(start, TEXT_ROWS)
+            trains = some.column("held_out").to_pylist()
+            for chunk, out, raw in zip(some.column("chunk").to_pylist(), trains, binary_column(some, "text")):
+                counts = held.setdefault(chunk, Counter())
+                tokens = _tokens(raw)
+                counts.update(dict.fromkeys(tokens, 0) if out else tokens)
+            if sum(map(len, held.values())) > held_words:
+                yield from rows()
     yield from rows()
 
 
@@ -112,18 +122,18 @@ def _encode(docs: pa.Table, words: pa.Table) -> pa.Table:
     """A chunk's texts as class numbers, and in one more row what the words that this chunk leads add to the totals."""
     n = words.column("n").to_numpy()
     kind = words.column("class").to_numpy()
-    text = words.column("word").to_pylist()
-    place = {w.encode(): i for i, w in enumerate(text)}
+    place = {w: i for i, w in enumerate(words.column("word").cast(pa.binary()).to_pylist())}
     lead = words.column("lead").to_numpy(zero_copy_only=False) & (n > 0)
     mass = np.bincount(kind[lead], n[lead] + 0.5, CLASSES + 2)
     codes = np.where(n > 0, kind, UNKNOWN_CLASS).astype("<u2")
     logs = np.log(n + 0.5)
     rows = []
-    ids, outs = docs.column("doc_id").to_pylist(), docs.column("held_out").to_pylist()
-    for doc_id, out, raw in zip(ids, outs, docs.column("text").cast(pa.binary()).to_pylist()):
-        at = np.fromiter(map(place.__getitem__, _tokens(raw)), np.int64)
-        known = int((n[at] > 0).sum())
-        rows.append((doc_id, out, len(at), known, float(logs[at].sum()), codes[at].tobytes(), None, None))
+    for some in docs.to_batches(TEXT_ROWS):
+        ids, outs = some.column("doc_id").to_pylist(), some.column("held_out").to_pylist()
+        for doc_id, out, raw in zip(ids, outs, binary_column(some, "text")):
+            at = np.fromiter(map(place.__getitem__, _tokens(raw)), np.int64)
+            known = int((n[at] > 0).sum())
+            rows.append((doc_id, out, len(at), known, float(logs[at].sum()), codes[at].tobytes(), None, None))
     rows.append((None, None, int(n[lead].sum()), None, None, None, mass.tobytes(), int(lead.sum())))
     types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.binary(), pa.int64()]
     names = [f.split()[0] for f in _TEXTS.split(", ")]
@@ -140,7 +150,7 @@ def read_corpus(spark: SparkSession, docs: DataFrame) -> Corpus:
         held_out_by_id(F.col("doc_id")).alias("held_out"),
         F.pmod(F.xxhash64("doc_id", "_h"), F.lit(chunks)).alias("chunk"),
         "text",
-    ).repartition(chunks, "chunk")
+    ).repartition(SPREAD * chunks, "chunk")
     held_words = HELD_WORDS
     met = dealt.mapInArrow(lambda batches: _chunk_words(batches, held_words), "chunk bigint, word string, n bigint")
     every = Window.partitionBy("word")
@@ -184,7 +194,7 @@ def _by_step(sequences: list[np.ndarray]) -> tuple[list[int], np.ndarray, np.nda
     falling = lengths[order]
     active = np.searchsorted(-falling, -np.arange(falling[0]), side="left")
     begins = np.concatenate([[0], np.cumsum(active)])
-    flat = np.empty(begins[-1], np.int64)
+    flat = np.empty(begins[-1], "<u2")
     for rank, i in enumerate(order.tolist()):
         flat[begins[: lengths[i]] + rank] = sequences[i]
     return order, begins, flat
@@ -258,29 +268,44 @@ class Counts:
         return Model(start / start.sum(), moves / moves.sum(axis=1, keepdims=True), emits / emits.sum(axis=0))
 
 
-def _groups(batches, longest: int | None = None):
-    """Lists of class arrays of about ``BATCH_TOKENS`` tokens; with ``longest``, longer ones in pieces."""
+def _alike(sequences: list[np.ndarray], most: int):
+    """The places of all sequences by falling length, in groups of at most ``most`` tokens, or of one sequence."""
+    group, size = [], 0
+    for i in np.argsort([-len(s) for s in sequences], kind="stable").tolist():
+        if group and size + len(sequences[i]) > most:
+            yield group
+            group, size = [], 0
+        group.append(i)
+        size += len(sequences[i])
+    if group:
+        yield group
+
+
+def _groups(batches, longest: int, most: int, ordered: int):
+    """Lists of class arrays of at most ``most`` tokens, alike in length among about ``ordered`` tokens; arrays of over
+    ``longest`` come in pieces."""
     held, size = [], 0
     for batch in batches:
         for raw in batch.column("classes").to_pylist():
             codes = np.frombuffer(raw, "<u2")
-            for start in range(0, len(codes), longest or len(codes)):
-                held.append(codes[start : start + (longest or len(codes))])
-            size += len(codes)
-            if size >= BATCH_TOKENS:
-                yield held
-                held, size = [], 0
-    if held:
-        yield held
+            for start in range(0, len(codes), longest):
+                held.append(codes[start : start + longest])
+                size += len(held[-1])
+                if size >= ordered:
+                    yield from ([held[i] for i in group] for group in _alike(held, most))
+                    held, size = [], 0
+    yield from ([held[i] for i in group] for group in _alike(held, most))
 
 
 def _summed(texts: DataFrame, add: Callable[[Counts, list[np.ndarray]], None]) -> Counts:
     """What ``add`` counts in all texts. Each task sums the counts of its texts and each class's counts are summed over
     tasks, so what comes to the driver has the size of the model."""
 
+    sizes = SEQUENCE_TOKENS, BATCH_TOKENS, SORTED_TOKENS
+
     def count(batches):
         counts = Counts()
-        for sequences in _groups(batches, SEQUENCE_TOKENS):
+        for sequences in _groups(batches, *sizes):
             add(counts, sequences)
         table = np.concatenate([counts.emits, counts.moves, counts.start[None, :]])
         at = np.flatnonzero(table.any(axis=1))
@@ -342,7 +367,7 @@ def score(spark: SparkSession, corpus: Corpus, model: Model) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every document; scores are
     logarithms to base 10."""
     shared = spark.sparkContext.broadcast((model, np.log(corpus.mass.clip(1e-300))))
-    tokens, smoothed = corpus.tokens, corpus.smoothed
+    tokens, smoothed, most = corpus.tokens, corpus.smoothed, BATCH_TOKENS
 
     def run(batches):
         chances, log_mass = shared.value
@@ -350,7 +375,9 @@ def score(spark: SparkSession, corpus: Corpus, model: Model) -> DataFrame:
             if not batch.num_rows:
                 continue
             codes = [np.frombuffer(raw, "<u2") for raw in batch.column("classes").to_pylist()]
-            found = np.concatenate([log_likelihoods(chances, codes[i : i + 4096]) for i in range(0, len(codes), 4096)])
+            found = np.empty(len(codes))
+            for group in _alike(codes, most):
+                found[group] = log_likelihoods(chances, [codes[i] for i in group])
             found -= np.array([log_mass[c].sum() for c in codes])
             logs, n = batch.column("log_counts").to_numpy(), batch.column("n_tokens").to_numpy()
             yield pa.record_batch(

@@ -187,6 +187,76 @@ def test_hidden_markov_first_guess_counts_every_token(spark):
     assert counts.start.sum() == len(texts) + 2 and (counts.start > 0).sum() > 1
 
 
+def _class_texts(spark, lengths):
+    rng = np.random.default_rng(12)
+    rows = [(i, i % 5 == 1, n, n, 0.0, rng.integers(0, 90, n).astype("<u2").tobytes()) for i, n in enumerate(lengths)]
+    schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, log_counts double, classes binary"
+    return spark.createDataFrame(rows, schema).coalesce(1), {r[0]: np.frombuffer(r[5], "<u2") for r in rows}
+
+
+def test_hidden_markov_passes_hold_few_tokens_at_a_time(spark):
+    """One long text, or many, come to forward and backward passes in small groups, and whole."""
+
+    def add(counts, sequences):
+        counts.start[0] = max(counts.start[0], sum(map(len, sequences)))
+        counts.start[1] += sum(map(len, sequences))
+        counts.start[2] += len(sequences)
+
+    lengths = [1_500_000, *[700] * 2000, 3, 1]
+    counts = hmm._summed(_class_texts(spark, lengths)[0], add)
+    assert counts.start[1] == sum(lengths) and counts.start[2] == len(lengths) + 14
+    assert counts.start[0] <= 250_000
+
+
+def test_hidden_markov_results_do_not_depend_on_groups(spark, monkeypatch):
+    """Scores return to their texts and counts are the same where each group is a few texts."""
+    model = _random_model(np.random.default_rng(6), 90)
+    texts, codes = _class_texts(spark, [5, 900, 1, 60, 61, 300, 2, 60, 7])
+    mass = np.ones(hmm.CLASSES + 2)
+    whole = hmm._summed(texts, lambda c, sequences: c.add(model, sequences))
+    monkeypatch.setattr(hmm, "BATCH_TOKENS", 100)
+    monkeypatch.setattr(hmm, "SORTED_TOKENS", 400)
+    got = {r.doc_id: r.score for r in hmm.score(spark, hmm.Corpus(texts, mass, 100, 90), model).collect()}
+    for doc_id, c in codes.items():
+        assert got[doc_id] == pytest.approx(hmm.log_likelihoods(model, [c])[0] / np.log(10))
+    some = hmm._summed(texts, lambda c, sequences: c.add(model, sequences))
+    for a, b in ((whole.start, some.start), (whole.moves, some.moves), (whole.emits, some.emits)):
+        assert np.allclose(a, b) and a.sum() > 0
+
+
+def test_hidden_markov_chunks_hold_little_beside_texts_and_words():
+    """A chunk's counts and class numbers take some megabytes; its texts are not all held as objects again."""
+    rng = np.random.default_rng(7)
+    texts = [" ".join(f"word{k}" for k in rng.integers(0, 60_000, 350)) for _ in range(3000)]
+    places, outs = pa.array(range(len(texts)), pa.int64()), pa.array([False] * len(texts))
+    chunk = pa.array(np.zeros(len(texts), np.int64))
+    batch = pa.record_batch([places, outs, chunk, pa.array(texts)], names=["doc_id", "held_out", "chunk", "text"])
+    tracemalloc.start()
+    met = pa.Table.from_batches(hmm._chunk_words([batch], hmm.HELD_WORDS))
+    counting = tracemalloc.get_traced_memory()[1]
+    kinds = pa.array(rng.integers(0, hmm.CLASSES, met.num_rows).astype(np.int32))
+    words = pa.table([met["word"], met["n"], kinds, pa.array([True] * met.num_rows)], ["word", "n", "class", "lead"])
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    rows = hmm._encode(pa.Table.from_batches([batch]), words).num_rows
+    encoding = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert rows == len(texts) + 1 and sum(met["n"].to_pylist()) == 351 * len(texts)
+    assert counting < 14e6 and encoding < 16e6
+
+
+def test_hidden_markov_chunks_are_spread_over_tasks(spark, monkeypatch):
+    """Of eleven chunks no task has nearly half."""
+    docs = spark.createDataFrame([(i, f"{i:06d} some words here") for i in range(1100)], "doc_id bigint, text string")
+    monkeypatch.setattr(hmm, "CHUNK_BYTES", 22 * 100)
+    made = []
+    monkeypatch.setattr(hmm, "written", lambda spark, rows, purpose: made.append(rows) or rows)
+    corpus = hmm.read_corpus(spark, docs)
+    per = made[0].where("mass IS NOT NULL").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per) == 11 and max(r["count"] for r in per) <= 3
+    assert corpus.texts.count() == 1100
+
+
 def test_only_pieces_that_end_a_prefix_are_tried():
     """Exactly these, longest first, whatever was read before; steps may be forgotten at any time."""
     model = pieces.PieceModel(PIECES)
